@@ -25,6 +25,7 @@ from ..operators.inventory import table_inventory_diff
 from ..sources import jdbc
 from ..sources.catalogs import DatabaseConfig
 from ..sources.lake import list_lake_tables
+from ..sources.scratch import checkpointed
 from ..sources.verdict_store import read_verdicts, write_verdicts
 from .checks import Run, table_inventory_check
 from .compare_table import compare_table, error_text, plain_verdict, read_check
@@ -172,28 +173,25 @@ def compare_database(
             write_verdicts(spark.createDataFrame(rows, VERDICT_SCHEMA), verdict_root)
 
     try:
+        known = read_verdicts(spark, verdict_root, run.run_id).filter(F.col("db_name") == run.db_name)
         lake = list_lake_tables(spark, lake_base, missing_ok=False)
         inventory = table_inventory_diff(source.tables(), lake)
         common = inventory.filter(F.col("status") == COMMON).select("table_name")
-        verdict_rows = [table_inventory_check(inventory, run).first()]
+        listed = known.filter((F.col("table_name") == CATALOG_TABLE) & (F.col("status") != ERROR))
+        if listed.isEmpty():
+            store([table_inventory_check(inventory, run).first()])
         # One row per table, all of them metadata.
         paths = {r["table_name"]: r["path"] for r in lake.collect()}
         todo = pending_tables(
             common.withColumn("run_id", F.lit(run.run_id)).withColumn("db_name", F.lit(run.db_name)),
-            read_verdicts(spark, verdict_root, run.run_id),
+            known,
         )
         names = [r["table_name"] for r in todo.orderBy("table_name").collect()]
-        declared = source.columns().filter(F.col("table_name").isin(names)).collect() if names else []
+        # One dictionary query for all tables; each comparison filters the stored result.
+        declared = checkpointed(source.columns().join(todo.select("table_name"), "table_name", "left_semi"))
     except Exception as error:  # noqa: BLE001 - without the lists nothing can be compared
         store([plain_verdict(run, CATALOG_TABLE, TABLE_COUNT, ERROR, error_text(error))])
         return read_verdicts(spark, verdict_root, run.run_id)
-    store(verdict_rows)
-
-    declared_by_table: dict[str, list[tuple]] = {}
-    for row in declared:
-        declared_by_table.setdefault(row["table_name"], []).append(
-            (row["table_name"], row["column_name"], row["data_type"])
-        )
 
     def one_table(name: str) -> list[Row]:
         rows: list[Row] = []
@@ -205,16 +203,12 @@ def compare_database(
             if failure is not None:
                 rows.append(failure)
                 return
-            columns = spark.createDataFrame(
-                declared_by_table.get(name, []),
-                "table_name string, column_name string, data_type string",
-            )
             compare_table(
                 left,
                 right,
                 run,
                 name,
-                source_columns=columns,
+                source_columns=declared,
                 dialect=source.dialect,
                 freeze_source=source.changes_while_read,
                 emit=rows.append,
