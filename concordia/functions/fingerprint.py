@@ -24,7 +24,16 @@ def fingerprint(
         FIELD_SEPARATOR, *[F.coalesce(quoted(n), F.lit(NULL_SENTINEL)) for n in names]
     )
     kept = [quoted(n) for n in names] if keep_columns else []
-    return canonical.select(*kept, F.sha2(row, 256).alias(HASH))
+    return canonical.select(*kept, _never_null(F.sha2(row, 256), "").alias(HASH))
+
+
+def _never_null(c: Column, stand_in: object) -> Column:
+    """Tell the optimizer that an expression is not NULL, which none of these ever is.
+
+    Before a join on a nullable key Spark adds a NOT NULL filter and pushes it down to
+    the scan, where it would compute every row hash a second time.
+    """
+    return F.coalesce(c, F.lit(stand_in))
 
 
 def hash_number(row_hash: Column, bucket_fn: str = XXHASH64) -> Column:
@@ -43,7 +52,7 @@ def hash_number(row_hash: Column, bucket_fn: str = XXHASH64) -> Column:
 def bucket_of(number: Column, bucket_count: int) -> Column:
     if bucket_count <= 0:
         raise ValueError(f"bucket_count must be positive, got {bucket_count}")
-    return F.pmod(number, F.lit(bucket_count).cast("bigint")).cast("int")
+    return _never_null(F.pmod(number, F.lit(bucket_count).cast("bigint")).cast("int"), 0)
 
 
 def with_bucket(hashes: DataFrame, bucket_count: int, bucket_fn: str = XXHASH64) -> DataFrame:
