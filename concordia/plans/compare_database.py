@@ -32,6 +32,9 @@ from .compare_table import compare_table, error_text, plain_verdict, read_check
 from .ledger import pending_tables
 
 
+_CANCEL_ATTEMPTS = 30
+
+
 class SourceTables(Protocol):
     """What the suite needs to know about the database side."""
 
@@ -122,21 +125,27 @@ class TimeLimitReached(Exception):
 def run_limited(spark: SparkSession, work: Callable[[], Any], seconds: float, tag: str) -> Any:
     """Run ``work`` with a time limit; on reaching it its Spark jobs are cancelled."""
     outcome: dict[str, Any] = {}
+    context = spark.sparkContext
 
     def tagged() -> None:
-        spark.addTag(tag)
+        context.addJobTag(tag)
         try:
             outcome["value"] = work()
         except Exception as error:  # noqa: BLE001 - handed to the caller below
             outcome["error"] = error
         finally:
-            spark.removeTag(tag)
+            context.removeJobTag(tag)
 
     worker = InheritableThread(target=tagged, daemon=True)
     worker.start()
     worker.join(seconds)
     if worker.is_alive():
-        spark.interruptTag(tag)
+        # Cancelling ends the running job; repeating it catches a job started meanwhile.
+        for _ in range(_CANCEL_ATTEMPTS):
+            context.cancelJobsWithTag(tag)
+            worker.join(1)
+            if not worker.is_alive():
+                break
         raise TimeLimitReached(f"not finished within {seconds:g} seconds")
     if "error" in outcome:
         raise outcome["error"]
