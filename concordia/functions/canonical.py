@@ -70,9 +70,35 @@ def _decimal(c: Column, dt: T.DecimalType) -> Column:
     return F.coalesce(c.try_cast(DECIMAL_TYPE).cast("string"), c.cast("string"))
 
 
+def _grouped(x: Column) -> Column:
+    """``format_number(x, 10)``, with a cheaper way to the same text for short numbers.
+
+    format_number takes most of the time of hashing a row.  If x is the double nearest
+    to some n/10000 (the division below tests just that) and below 2^19, it lies within
+    2^-35 of n/10000, so rounding to 10 digits gives the digits of n/10000 and zeros,
+    which whole-number arithmetic prints in about half the time.
+    """
+    n = F.rint(x * F.lit(10000.0))
+    units = F.abs(n).cast("bigint")
+    whole = F.call_function("div", units, F.lit(10000))
+    thousands = F.call_function("div", whole, F.lit(1000))
+    rest = F.lpad((whole % 1000).cast("string"), 3, "0")
+    text = F.concat(
+        F.when(x < 0, "-").otherwise(""),
+        F.when(whole < 1000, whole.cast("string")).otherwise(
+            F.concat(thousands.cast("string"), F.lit(","), rest)
+        ),
+        F.lit("."),
+        F.substring((units % 10000 + 10000).cast("string"), 2, 4),
+        F.lit("0" * (FLOAT_DIGITS - 4)),
+    )
+    short = (F.abs(x) < 2.0**19) & (n / F.lit(10000.0) == x)
+    return F.when(short, text).otherwise(F.format_number(x, FLOAT_DIGITS))
+
+
 def _float(c: Column, o: CanonicalOptions) -> Column:
     # Adding zero turns -0.0 into 0.0.
-    grouped = F.format_number(c.cast("double") + F.lit(0.0), FLOAT_DIGITS)
+    grouped = _grouped(c.cast("double") + F.lit(0.0))
     if o.numeric == "by_value":
         return F.coalesce(c.try_cast(DECIMAL_TYPE).cast("string"), grouped)
     return grouped

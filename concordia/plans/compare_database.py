@@ -202,6 +202,9 @@ def compare_database(
         store([plain_verdict(run, CATALOG_TABLE, TABLE_COUNT, ERROR, error_text(error))])
         return read_verdicts(spark, verdict_root, run.run_id)
 
+    options = {"reuse": "freeze_source" if source.changes_while_read else "rescan"}
+    options |= settings.compare or {}
+
     def one_table(name: str) -> list[Row]:
         rows: list[Row] = []
 
@@ -219,9 +222,8 @@ def compare_database(
                 name,
                 source_columns=declared,
                 dialect=source.dialect,
-                freeze_source=source.changes_while_read,
                 emit=rows.append,
-                **(settings.compare or {}),
+                **options,
             )
 
         try:

@@ -24,7 +24,7 @@ from ..functions.fingerprint import XXHASH64, fingerprint
 from ..operators.checksum import auto_bucket_count, bucket_checksum, bucket_compare
 from ..operators.row_diff import row_diff
 from ..operators.schema_diff import columns_of, schema_diff
-from ..sources.scratch import checkpointed, frozen_hashes
+from ..sources.scratch import cached_hashes, checkpointed, frozen_hashes
 from .checks import Run, checksum_check, count_check, row_diff_check, schema_check
 
 Emit = Callable[[Row], None]
@@ -69,7 +69,7 @@ def compare_table(
     bucket_count: int | str = CHECKSUM_BUCKETS,
     bucket_fn: str = XXHASH64,
     multiset: bool = True,
-    freeze_source: bool = False,
+    reuse: str = "rescan",
     emit: Emit | None = None,
 ) -> DataFrame:
     """SCHEMA, COUNT, CHECKSUM and ROW_DIFF verdicts of one table pair.
@@ -81,13 +81,17 @@ def compare_table(
     ``source_columns`` is the declared column list (table_name, column_name, data_type)
     in the type names of ``dialect``; without it the types of ``source`` itself are used.
     ``bucket_count="auto"`` derives the count from the size of the sink.
-    ``freeze_source`` stores the row hashes of the source for the time of the comparison,
-    for a source that may change or is costly to read twice.  Stored files are simply
-    read again: a clean table, the usual case, needs no second read.
+    ``reuse`` says where phase 2 gets the row hashes from.  "rescan" reads both sides
+    again: right for stored files, since a clean table, the usual case, then pays for
+    nothing but one scan.  "cache" persists the hashes (memory and disk), worth it where
+    differences are expected.  "freeze_source" stores those of the source as a table
+    first, for a database that changes meanwhile or must not be read twice.
     ``emit`` is called with each verdict as soon as it is known.
     """
     if columns not in ("all", "common"):
         raise ValueError(f"columns must be 'all' or 'common', got {columns!r}")
+    if reuse not in ("rescan", "cache", "freeze_source"):
+        raise ValueError(f"reuse must be rescan, cache or freeze_source, got {reuse!r}")
     spark = sink.sparkSession
     rows: list[Row] = []
 
@@ -122,9 +126,12 @@ def compare_table(
         compared: list[DataFrame] = []
 
         def phase_one() -> DataFrame:
-            nonlocal source_hashes
-            if freeze_source:
+            nonlocal source_hashes, sink_hashes
+            if reuse == "freeze_source":
                 source_hashes = stack.enter_context(frozen_hashes(source_hashes))
+            elif reuse == "cache":
+                source_hashes = stack.enter_context(cached_hashes(source_hashes))
+                sink_hashes = stack.enter_context(cached_hashes(sink_hashes))
             both = bucket_compare(
                 bucket_checksum(source_hashes, bucket_count, bucket_fn),
                 bucket_checksum(sink_hashes, bucket_count, bucket_fn),

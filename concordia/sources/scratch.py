@@ -7,6 +7,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -37,6 +38,27 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _as_bytes(hashes: DataFrame) -> DataFrame:
+    return hashes.select(F.unhex(HASH).alias(HASH))
+
+
+def _as_text(stored: DataFrame) -> DataFrame:
+    return stored.select(F.coalesce(F.lower(F.hex(HASH)), F.lit("")).alias(HASH))
+
+
+@contextmanager
+def cached_hashes(hashes: DataFrame) -> Iterator[DataFrame]:
+    """Row hashes kept on the executors (32 bytes per row, spilling to disk).
+
+    A lost executor means its rows are hashed again, so the table must not change.
+    """
+    stored = _as_bytes(hashes).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        yield _as_text(stored)
+    finally:
+        stored.unpersist()
+
+
 @contextmanager
 def frozen_hashes(hashes: DataFrame) -> Iterator[DataFrame]:
     """Row hashes of a table as of now, for sources that may change while being compared.
@@ -48,9 +70,7 @@ def frozen_hashes(hashes: DataFrame) -> Iterator[DataFrame]:
     spark = hashes.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/row-hashes-{uuid.uuid4().hex}"
     try:
-        hashes.select(F.unhex(HASH).alias(HASH)).write.parquet(path)
-        yield spark.read.schema(f"`{HASH}` binary").parquet(path).select(
-            F.lower(F.hex(HASH)).alias(HASH)
-        )
+        _as_bytes(hashes).write.parquet(path)
+        yield _as_text(spark.read.schema(f"`{HASH}` binary").parquet(path))
     finally:
         delete_directory(spark, path)

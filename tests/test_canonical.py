@@ -1,6 +1,9 @@
 """Canonical text of single values, and of whole rows."""
 
 import datetime as dt
+import math
+import random
+import struct
 from decimal import Decimal
 
 import pytest
@@ -149,6 +152,25 @@ def test_very_wide_rows(spark):
     assert fingerprint(df, keep_columns=False).distinct().count() == 50
 
 
+def test_floats_print_like_format_number(spark):
+    """The short way of printing numbers agrees with the function it replaces."""
+    rng = random.Random(1)
+    values = [0.0, -0.0, 0.5, 999.9999, 1000.0, -1000.0, 524287.9999, 524288.0, -524287.9999, 1e6]
+    values += [0.00005, 0.00004999, 0.0001, -0.0001, 1e-300, 5e-11, 15e-11, 1e22, 123456.00005]
+    for digits in range(12):
+        for size in (1, 10, 999, 1001, 99999, 524288, 10**7):
+            drawn = [round(rng.uniform(-size, size), digits) for _ in range(150)]
+            values += drawn + [math.nextafter(v, math.inf) for v in drawn]
+    values += [struct.unpack("d", rng.randbytes(8))[0] for _ in range(5000)]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    both = canonical_columns(df.withColumn("w", F.format_number(F.col("v") + F.lit(0.0), 10)),
+                             CanonicalOptions(strings="exact"))
+    assert both.filter("NOT (V <=> W)").collect() == []
+    floats = canonical_columns(df.filter("abs(v) < 1e30").select(F.col("v").cast("float").alias("v")))
+    expected = df.filter("abs(v) < 1e30").select(F.format_number(F.col("v").cast("float") + F.lit(0.0), 10))
+    assert floats.collect() == expected.collect()
+
+
 def test_all_types_in_one_row(spark):
     schema = T.StructType(
         [

@@ -47,7 +47,7 @@ def test_copies_count_unless_told_otherwise(spark, table, multiset, status):
 
 
 @pytest.mark.parametrize(
-    "settings", [{"bucket_count": "auto"}, {"bucket_count": 3}, {"freeze_source": True}, {"bucket_fn": "sha_prefix"}]
+    "settings", [{"bucket_count": "auto"}, {"bucket_count": 3}, {"reuse": "freeze_source"}, {"reuse": "cache"}, {"bucket_fn": "sha_prefix"}]
 )
 def test_settings_do_not_change_the_result(spark, table, settings):
     copy = t.sql(spark, SF, t.ORDERS_COPY, "orders")
@@ -69,6 +69,8 @@ def test_extra_column_breaks_hashes_unless_ignored(spark, table):
     assert (found["SCHEMA"].status, found["CHECKSUM"].status) == ("MISMATCH", "OK")
     with pytest.raises(ValueError, match="common"):
         compare_table(table("region"), table("nation"), RUN, "R", columns="common")
+    with pytest.raises(ValueError, match="reuse"):
+        compare_table(table("region"), wide, RUN, "R", reuse="always")
     with pytest.raises(ValueError, match="columns"):
         compare_table(table("region"), wide, RUN, "R", columns="some")
 

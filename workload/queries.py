@@ -430,7 +430,7 @@ def compare_table_orders(spark: SparkSession, sf: str) -> DataFrame:
 def compare_table_frozen_events(spark: SparkSession, sf: str) -> DataFrame:
     source, sink = _events_pair(spark, sf)
     return compare_table(
-        source, sink, RUN, "APP.EVENTS", bucket_fn=SHA_PREFIX, freeze_source=True
+        source, sink, RUN, "APP.EVENTS", bucket_fn=SHA_PREFIX, reuse="freeze_source"
     ).drop("duration_ms")
 
 
