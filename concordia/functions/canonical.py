@@ -9,7 +9,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -186,10 +186,27 @@ def canonical_names(df: DataFrame) -> list[str]:
     return sorted(names)
 
 
+# HotSpot never compiles a method of more bytecode than this.
+_COMPILED_METHOD_BYTES = 8000
+
+
+def compile_wide_rows(spark: SparkSession) -> None:
+    """Keep the generated code of wide tables compilable.
+
+    Whole-stage code puts all columns of a row into one method.  From some 35 columns on
+    (fewer with decimals) the JVM would only interpret it, which is several times slower;
+    with this limit Spark generates many small methods instead.
+    """
+    key = "spark.sql.codegen.hugeMethodLimit"
+    if int(spark.conf.get(key)) > _COMPILED_METHOD_BYTES:
+        spark.conf.set(key, _COMPILED_METHOD_BYTES)
+
+
 def canonical_columns(df: DataFrame, options: CanonicalOptions = DEFAULT_OPTIONS) -> DataFrame:
     """All columns as canonical text, names upper-cased and in alphabetical order."""
     if df is None:
         raise ValueError("a DataFrame is required")
+    compile_wide_rows(df.sparkSession)
     canonical_names(df)
     fields = sorted(df.schema.fields, key=lambda f: f.name.upper())
     return df.select(
