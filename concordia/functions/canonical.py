@@ -62,12 +62,19 @@ def _string(c: Column, o: CanonicalOptions) -> Column:
     return F.upper(F.trim(text)) if o.strings == "fold" else text
 
 
+def _decimal_text(d: Column) -> Column:
+    # Without ANSI mode a cast prints zero and tiny decimals as 0E-10.
+    text = d.cast("string")
+    plain = F.replace(F.format_number(d, FLOAT_DIGITS), F.lit(","), F.lit(""))
+    return F.when(F.contains(text, F.lit("E")), plain).otherwise(text)
+
+
 def _decimal(c: Column, dt: T.DecimalType) -> Column:
     whole_digits = dt.precision - dt.scale
     if whole_digits <= 27 or (whole_digits == 28 and dt.scale <= 10):
-        return c.cast(DECIMAL_TYPE).cast("string")
+        return _decimal_text(c.cast(DECIMAL_TYPE))
     # Values too large for the common form keep their own digits.
-    return F.coalesce(c.try_cast(DECIMAL_TYPE).cast("string"), c.cast("string"))
+    return F.coalesce(_decimal_text(c.try_cast(DECIMAL_TYPE)), c.cast("string"))
 
 
 def _grouped(x: Column) -> Column:
@@ -100,7 +107,7 @@ def _float(c: Column, o: CanonicalOptions) -> Column:
     # Adding zero turns -0.0 into 0.0.
     grouped = _grouped(c.cast("double") + F.lit(0.0))
     if o.numeric == "by_value":
-        return F.coalesce(c.try_cast(DECIMAL_TYPE).cast("string"), grouped)
+        return F.coalesce(_decimal_text(c.try_cast(DECIMAL_TYPE)), grouped)
     return grouped
 
 
@@ -126,7 +133,8 @@ def canonical_text(c: Column, dt: T.DataType, options: CanonicalOptions = DEFAUL
     if isinstance(dt, _STRINGS):
         return _string(c, options)
     if isinstance(dt, _INTEGERS):
-        return (c.cast(DECIMAL_TYPE) if options.numeric == "by_value" else c).cast("string")
+        by_value = options.numeric == "by_value"
+        return _decimal_text(c.cast(DECIMAL_TYPE)) if by_value else c.cast("string")
     if isinstance(dt, T.DecimalType):
         return _decimal(c, dt)
     if isinstance(dt, _FLOATS):

@@ -154,8 +154,11 @@ def run_limited(spark: SparkSession, work: Callable[[], Any], seconds: float, ta
 
 @dataclass(frozen=True)
 class SuiteSettings:
-    """``compare`` is passed on to compare_table; ``parallel_tables`` are compared at
-    the same time, so that small tables do not leave a cluster idle."""
+    """``compare`` is passed on to compare_table, in place of the suite's own choices:
+    a bucket count by table size, and frozen row hashes for a live source.
+    ``parallel_tables`` are compared at the same time, so that small tables do not leave
+    a cluster idle.
+    """
 
     time_limit_seconds: float = TABLE_TIMEOUT_MINUTES * 60
     batch_size: int = TABLE_BATCH
@@ -202,7 +205,10 @@ def compare_database(
         store([plain_verdict(run, CATALOG_TABLE, TABLE_COUNT, ERROR, error_text(error))])
         return read_verdicts(spark, verdict_root, run.run_id)
 
-    options = {"reuse": "freeze_source" if source.changes_while_read else "rescan"}
+    options = {
+        "reuse": "freeze_source" if source.changes_while_read else "rescan",
+        "bucket_count": "auto",
+    }
     options |= settings.compare or {}
 
     def one_table(name: str) -> list[Row]:

@@ -19,41 +19,50 @@ def text(spark, expression, **options):
     return canonical_columns(df, CanonicalOptions(**options)).first()[0]
 
 
-@pytest.mark.parametrize(
-    "expression, expected",
-    [
-        ("'  straße '", "STRASSE"),
-        ("'\t a \n'", "\t A \n"),
-        ("cast(5 as bigint)", "5"),
-        ("cast(-7 as tinyint)", "-7"),
-        ("cast(5 as decimal(10,0))", "5.0000000000"),
-        ("cast('99999999999999999999999999999999999999' as decimal(38,0))", "9" * 38),
-        ("cast(1.00000000005 as decimal(20,11))", "1.0000000001"),
-        ("1234567.125D", "1,234,567.1250000000"),
-        ("cast(0.1 as float)", "0.1000000015"),
-        ("-0.0D", "0.0000000000"),
-        ("double('NaN')", "NaN"),
-        ("double('Infinity')", "∞"),
-        ("5e-11D", "0.0000000000"),
-        ("date'2024-02-29'", "2024-02-29"),
-        ("timestamp'2024-01-01 00:00:00.123456 UTC'", "1704067200123"),
-        ("timestamp'1969-12-31 23:59:59.9995 UTC'", "-1"),
-        ("timestamp_ntz'2024-01-01 00:00:00.120'", "2024-01-01 00:00:00.120"),
-        ("timestamp_ntz'2024-01-01 00:00:00'", "2024-01-01 00:00:00.000"),
-        ("timestamp_ntz'2024-01-01 00:00:00.123456'", "2024-01-01 00:00:00.123"),
-        ("true", "1"),
-        ("false", "0"),
-        ("X'00FF'", "AP8="),
-        ("array('x, y', 'z')", '["x, y","z"]'),
-        ("array('x', 'y, z')", '["x","y, z"]'),
-        ("array(1.5D, -0.0D)", '["1.5000000000","0.0000000000"]'),
-        ("map('b', 2, 'a', 1)", '[{"key":"a","value":1},{"key":"b","value":2}]'),
-        ("named_struct('d', date'2024-01-01', 'n', map('k', 1.0D))",
-         '{"d":"2024-01-01","n":[{"key":"k","value":"1.0000000000"}]}'),
-        ("interval '1' day", "INTERVAL '1' DAY"),
-    ],
-)
-def test_golden_values(spark, expression, expected):
+GOLDEN = [
+    ("'  straße '", "STRASSE"),
+    ("'\t a \n'", "\t A \n"),
+    ("cast(5 as bigint)", "5"),
+    ("cast(-7 as tinyint)", "-7"),
+    ("cast(5 as decimal(10,0))", "5.0000000000"),
+    ("cast('99999999999999999999999999999999999999' as decimal(38,0))", "9" * 38),
+    ("cast(1.00000000005 as decimal(20,11))", "1.0000000001"),
+    ("1234567.125D", "1,234,567.1250000000"),
+    ("cast(0.1 as float)", "0.1000000015"),
+    ("-0.0D", "0.0000000000"),
+    ("double('NaN')", "NaN"),
+    ("double('Infinity')", "∞"),
+    ("5e-11D", "0.0000000000"),
+    ("date'2024-02-29'", "2024-02-29"),
+    ("timestamp'2024-01-01 00:00:00.123456 UTC'", "1704067200123"),
+    ("timestamp'1969-12-31 23:59:59.9995 UTC'", "-1"),
+    ("timestamp_ntz'2024-01-01 00:00:00.120'", "2024-01-01 00:00:00.120"),
+    ("timestamp_ntz'2024-01-01 00:00:00'", "2024-01-01 00:00:00.000"),
+    ("timestamp_ntz'2024-01-01 00:00:00.123456'", "2024-01-01 00:00:00.123"),
+    ("true", "1"),
+    ("false", "0"),
+    ("X'00FF'", "AP8="),
+    ("array('x, y', 'z')", '["x, y","z"]'),
+    ("array('x', 'y, z')", '["x","y, z"]'),
+    ("array(1.5D, -0.0D)", '["1.5000000000","0.0000000000"]'),
+    ("map('b', 2, 'a', 1)", '[{"key":"a","value":1},{"key":"b","value":2}]'),
+    ("named_struct('d', date'2024-01-01', 'n', map('k', 1.0D))",
+     '{"d":"2024-01-01","n":[{"key":"k","value":"1.0000000000"}]}'),
+    ("interval '1' day", "INTERVAL '1' DAY"),
+    ("cast(0 as decimal(12,2))", "0.0000000000"),
+    ("cast(0.0000001 as decimal(12,8))", "0.0000001000"),
+]
+
+
+@pytest.fixture(params=["true", "false"])
+def ansi(spark, request):
+    spark.conf.set("spark.sql.ansi.enabled", request.param)
+    yield
+    spark.conf.unset("spark.sql.ansi.enabled")
+
+
+@pytest.mark.parametrize("expression, expected", GOLDEN)
+def test_golden_values(spark, ansi, expression, expected):
     assert text(spark, expression) == expected
 
 

@@ -319,7 +319,10 @@ _SNAPSHOT_INVENTORY = (
 
 
 def oracle_sql() -> dict[str, str]:
-    sql = {f"canonical_{name}": _canonical_select(name) for name in t.COLUMNS}
+    sql = {}
+    for name in t.COLUMNS:
+        kind = "canonical_text" if name in t.TEXT_TABLES else "canonical"
+        sql[f"{kind}_{name}"] = _canonical_select(name)
     for name in ("orders", "lineitem", "events", "documents", "pages", "embeddings", "conversations"):
         sql[f"row_fingerprint_{name}"] = _hashes(name)
     for name in ("orders", "lineitem", "documents"):
@@ -341,9 +344,9 @@ def oracle_sql() -> dict[str, str]:
     sql["canonical_binary"] = (
         "SELECT CAST(page_id AS VARCHAR) AS PAGE_ID, base64(encode(html)) AS HTML FROM pages"
     )
-    sql["canonical_instant"] = f"SELECT {event}, CAST(epoch_us(ts) // 1000 AS VARCHAR) AS TS FROM events"
-    sql["canonical_ntz_as_instant"] = f"SELECT {event}, CAST(epoch_us(ts) AS VARCHAR) AS TS FROM events"
-    sql["canonical_micros"] = (
+    sql["canonical_timestamp_instant"] = f"SELECT {event}, CAST(epoch_us(ts) // 1000 AS VARCHAR) AS TS FROM events"
+    sql["canonical_timestamp_ntz_zone"] = f"SELECT {event}, CAST(epoch_us(ts) AS VARCHAR) AS TS FROM events"
+    sql["canonical_timestamp_micros"] = (
         f"SELECT {event}, strftime(ts, '%Y-%m-%d %H:%M:%S.%f') AS TS FROM events"
     )
     sql["canonical_by_value"] = "SELECT {} FROM lineitem".format(
@@ -365,7 +368,7 @@ def oracle_sql() -> dict[str, str]:
         + " || '\"}' AS PAIR, "
         "'[\"' || l_linestatus || '\",\"' || l_returnflag || '\"]' AS FLAGS FROM lineitem"
     )
-    sql["fingerprint_nulls"] = (
+    sql["canonical_nulls"] = (
         f"SELECT CAST(c_custkey AS VARCHAR) AS C_CUSTKEY, {_hash('customer')} AS row_hash "
         f"FROM ({t.CUSTOMER_NULLS}) c"
     )
@@ -407,17 +410,17 @@ def oracle_sql() -> dict[str, str]:
     sql["schema_diff_parts"] = _schema_diff(True)
     sql["schema_diff_parts_substring"] = _schema_diff(False)
     sql["schema_check_brand"] = _SCHEMA_CHECK
-    sql["inventory_diff"] = _INVENTORY_DIFF
-    sql["inventory_check"] = _INVENTORY_CHECK
-    sql["catalog_entries"] = t.TABLE_CATALOG_DUCKDB
-    sql["catalog_sizes"] = (
+    sql["table_inventory_diff"] = _INVENTORY_DIFF
+    sql["table_inventory_check"] = _INVENTORY_CHECK
+    sql["table_list_entries"] = t.TABLE_CATALOG_DUCKDB
+    sql["tables_per_database"] = (
         f"SELECT database, count(table_name) AS table_count FROM ({t.TABLE_CATALOG_DUCKDB}) e GROUP BY 1"
     )
-    sql["lake_tables"] = (
+    sql["list_lake_tables"] = (
         "SELECT DISTINCT upper('l_returnflag=' || l_returnflag || '.l_linestatus=' || l_linestatus) AS table_name, "
         "'l_returnflag=' || l_returnflag AS owner, 'l_linestatus=' || l_linestatus AS \"table\" FROM lineitem"
     )
-    sql["lake_scan"] = "SELECT * EXCLUDE (o_orderdate) FROM orders"
+    sql["scan_lake"] = "SELECT * EXCLUDE (o_orderdate) FROM orders"
 
     verdict_columns = "db_name, table_name, check_type, source_value, sink_value, detail"
     sql["verdict_summary"] = (
@@ -428,9 +431,9 @@ def oracle_sql() -> dict[str, str]:
     sql["verdict_mismatches"] = found
     sql["verdict_mismatches_shown"] = found + " ORDER BY db_name, table_name, check_type LIMIT 50"
     sql["verdict_mismatch_count"] = f"SELECT count(*) AS mismatches FROM ({found}) f"
-    sql["verdict_store"] = t.ORDER_VERDICTS
-    sql["progress_states"] = _STATES
-    sql["progress_pending"] = f"""
+    sql["write_read_verdicts"] = t.ORDER_VERDICTS
+    sql["table_states"] = _STATES
+    sql["pending_tables"] = f"""
 SELECT p.run_id, upper(p.db_name) AS db_name, upper(p.table_name) AS table_name
 FROM ({t.PROGRESS_TABLES}) p ANTI JOIN (SELECT * FROM ({_STATES}) s WHERE state = 'DONE') d
 ON d.db_name = upper(p.db_name) AND d.table_name = upper(p.table_name)"""

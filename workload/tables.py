@@ -45,6 +45,9 @@ COLUMNS = {
     "conversations": {"conv_id": "int", "turn": "int", "role": "str", "text": "str"},
 }
 
+# Tables of free text.
+TEXT_TABLES = ["documents", "pages", "benchmark", "conversations"]
+
 ORDERS_COPY = """
 SELECT o_orderkey, o_custkey, o_orderstatus,
        CASE WHEN o_orderkey % 89 = 0 THEN o_totalprice + 1.25 ELSE o_totalprice END AS o_totalprice,
