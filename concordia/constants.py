@@ -31,6 +31,9 @@ BROADCAST_BUCKETS = 1 << 20
 # Samples up to this many hashes are broadcast, larger ones are joined by shuffle.
 BROADCAST_SAMPLE = 100_000
 
+# Rows one reduce task of a row diff should count: some 400 MB of hashes and counters.
+ROWS_PER_SHUFFLE_TASK = 8_000_000
+
 OK, MISMATCH, ERROR = "OK", "MISMATCH", "ERROR"
 
 READ_SOURCE, READ_SINK = "READ_SOURCE", "READ_SINK"

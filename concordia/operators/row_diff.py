@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import (
@@ -15,12 +15,25 @@ from ..constants import (
     ONLY_IN_SINK,
     ONLY_IN_SOURCE,
     ROW_SAMPLE,
+    ROWS_PER_SHUFFLE_TASK,
 )
 from ..functions.canonical import DEFAULT_OPTIONS, CanonicalOptions, quoted
 from ..functions.fingerprint import XXHASH64, fingerprint, with_bucket
 from .frames import first_text, one_row
 
 
+def size_shuffle(spark: SparkSession, rows: int) -> None:
+    """Raise ``spark.sql.shuffle.partitions`` if ``rows`` hashes would overload its tasks.
+
+    It is never lowered, and adaptive execution merges tasks that turn out small, so a
+    larger value does no harm to other queries of the session.
+    """
+    key = "spark.sql.shuffle.partitions"
+    wanted = -(-rows // ROWS_PER_SHUFFLE_TASK)
+    if wanted > int(spark.conf.get(key)):
+        spark.conf.set(key, wanted)
+
+
 def row_multiplicity(hashes: DataFrame) -> DataFrame:
     """(row_hash, row_count): how often each row occurs."""
     return hashes.groupBy(F.col(HASH).alias("row_hash")).agg(F.count(F.lit(1)).alias("row_count"))

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from datetime import datetime
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,6 +36,11 @@ class Run:
     run_time: str
     db_name: str
 
+    @classmethod
+    def starting(cls, moment: datetime, db_name: str = "") -> Run:
+        """A run named after the time it starts at, to the second."""
+        return cls(moment.strftime("%Y%m%d_%H%M%S"), moment.strftime("%Y-%m-%d"), db_name)
+
 
 def _status(good: Column) -> Column:
     return F.when(good, OK).otherwise(MISMATCH)

@@ -22,7 +22,7 @@ from ..constants import (
 from ..functions.canonical import DEFAULT_OPTIONS, CanonicalOptions, quoted
 from ..functions.fingerprint import XXHASH64, fingerprint
 from ..operators.checksum import auto_bucket_count, bucket_checksum, bucket_compare
-from ..operators.row_diff import row_diff
+from ..operators.row_diff import row_diff, size_shuffle
 from ..operators.schema_diff import columns_of, schema_diff
 from ..sources.scratch import cached_hashes, checkpointed, frozen_hashes
 from .checks import Run, checksum_check, count_check, row_diff_check, schema_check
@@ -147,6 +147,9 @@ def compare_table(
             detail = "No checksum differences, row diff skipped"
             add(plain_verdict(run, table_name, ROW_DIFF, OK, detail))
         else:
+            # Phase 1 has counted exactly the rows that phase 2 is going to shuffle.
+            touched = differing.agg(F.sum("source_count"), F.sum("sink_count")).first()
+            size_shuffle(spark, sum(n or 0 for n in touched))
             diff = row_diff(source_hashes, sink_hashes, differing, bucket_count, bucket_fn)
             timed(lambda: row_diff_check(diff, run, table_name, multiset))
     return spark.createDataFrame(rows, VERDICT_SCHEMA)

@@ -1,11 +1,16 @@
 """Whole tables and whole databases."""
 
+import json
 import time
+from datetime import datetime
 
 import pytest
 from pyspark.sql import functions as F
 
 from concordia import ParquetTables, Run, SuiteSettings, compare_database, compare_table
+from concordia.__main__ import main
+from concordia.constants import ROWS_PER_SHUFFLE_TASK
+from concordia.operators.row_diff import size_shuffle
 from concordia.plans import read_check
 from concordia.plans.compare_database import TimeLimitReached, run_limited
 from concordia.plans.compare_table import error_text
@@ -151,6 +156,44 @@ def test_missing_lake_is_an_error_verdict(spark, two_sides):
     assert [(r.table_name, r.check_type, r.status) for r in rows] == [("_CATALOG_", "TABLE_COUNT", "ERROR")]
 
 
+CATALOGUE = [
+    {
+        "name": name, "dbType": db_type, "jdbcUrl": "jdbc:none:x", "user": "u", "password": "p",
+        "driver": "no.such.Driver", "hdfsBasePath": "/lake",
+    }
+    for name, db_type in (("ERP", "oracle"), ("CMIS", "db2"))
+]
+
+
+def test_unreachable_databases_do_not_stop_each_other(spark, tmp_path, capsys):
+    """Neither the driver class nor the second kind of database exists."""
+    (tmp_path / "databases.json").write_text(json.dumps(CATALOGUE))
+    main([f"{tmp_path}/databases.json", f"{tmp_path}/verdicts", "--run-id", "r9"])
+    rows = read_verdicts(spark, f"{tmp_path}/verdicts", "r9").collect()
+    assert {(r.db_name, r.check_type, r.status) for r in rows} == {
+        ("ERP", "TABLE_COUNT", "ERROR"), ("CMIS", "TABLE_COUNT", "ERROR"),
+    }
+    assert not any("jdbc:" in r.detail for r in rows)
+    shown = capsys.readouterr().out
+    assert "Run r9" in shown and "0 mismatches" in shown
+
+
+def test_run_named_after_its_start():
+    run = Run.starting(datetime(2024, 1, 2, 3, 4, 5), "ERP")
+    assert (run.run_id, run.run_time, run.db_name) == ("20240102_030405", "2024-01-02", "ERP")
+
+
+def test_shuffle_grows_with_the_rows_to_compare(spark):
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        size_shuffle(spark, 1000)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == before
+        size_shuffle(spark, 100 * ROWS_PER_SHUFFLE_TASK + 1)
+        assert spark.conf.get("spark.sql.shuffle.partitions") == "101"
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+
+
 def slow_frame(spark):
     return spark.range(200, numPartitions=200).select(
         F.expr("java_method('java.lang.Thread', 'sleep', id * 0 + 1000L)").alias("x")
