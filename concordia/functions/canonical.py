@@ -52,9 +52,13 @@ class CanonicalOptions:
 DEFAULT_OPTIONS = CanonicalOptions()
 
 
+def _quote(name: str) -> str:
+    return "`" + name.replace("`", "``") + "`"
+
+
 def quoted(name: str) -> Column:
     """Column reference that also works for names holding dots or back-quotes."""
-    return F.col("`" + name.replace("`", "``") + "`")
+    return F.col(_quote(name))
 
 
 def _string(c: Column, o: CanonicalOptions) -> Column:
@@ -77,40 +81,43 @@ def _decimal(c: Column, dt: T.DecimalType) -> Column:
     return F.coalesce(_decimal_text(c.try_cast(DECIMAL_TYPE)), c.cast("string"))
 
 
-def _grouped(x: Column) -> Column:
-    """``format_number(x, 10)``, with a cheaper way to the same text for short numbers.
-
-    format_number takes most of the time of hashing a row.  If x is the double nearest
-    to some n/10000 (the division below tests just that) and below 2^19, it lies within
-    2^-35 of n/10000, so rounding to 10 digits gives the digits of n/10000 and zeros,
-    which whole-number arithmetic prints in about half the time.
-    """
-    n = F.rint(x * F.lit(10000.0))
-    units = F.abs(n).cast("bigint")
-    whole = F.call_function("div", units, F.lit(10000))
-    thousands = F.call_function("div", whole, F.lit(1000))
-    rest = F.lpad((whole % 1000).cast("string"), 3, "0")
-    text = F.concat(
-        F.when(x < 0, "-").otherwise(""),
-        F.when(whole < 1000, whole.cast("string")).otherwise(
-            F.concat(thousands.cast("string"), F.lit(","), rest)
-        ),
-        F.lit("."),
-        F.substring((units % 10000 + 10000).cast("string"), 2, 4),
-        F.lit("0" * (FLOAT_DIGITS - 4)),
-    )
-    short = (F.abs(x) < 2.0**19) & (n / F.lit(10000.0) == x)
-    return F.when(short, text).otherwise(F.format_number(x, FLOAT_DIGITS))
-
-
 def _float(c: Column, o: CanonicalOptions) -> Column:
     # Adding zero turns -0.0 into 0.0.
-    grouped = _grouped(c.cast("double") + F.lit(0.0))
+    grouped = F.format_number(c.cast("double") + F.lit(0.0), FLOAT_DIGITS)
     if o.numeric == "by_value":
         return F.coalesce(_decimal_text(c.try_cast(DECIMAL_TYPE)), grouped)
     return grouped
 
 
+def _short_units(name: str) -> Column:
+    """|x| in units of 1/10000 if the double x is the one nearest to such a number.
+
+    NULL for all other x, and from 2^19 on.  Dividing back tests just that, since
+    division gives the nearest double.
+    """
+    return F.expr(
+        f"CASE WHEN abs({name}) < 524288D AND rint({name} * 10000D) / 10000D = {name} "
+        f"THEN CAST(abs(rint({name} * 10000D)) AS BIGINT) END"
+    )
+
+
+def _short_text(name: str, units: str) -> Column:
+    """``format_number(x + 0.0, 10)``, by whole-number arithmetic where units are known.
+
+    format_number takes most of the time of hashing a row.  A short x lies within 2^-35
+    of its n/10000, so rounding to 10 digits gives the digits of n/10000 and zeros.
+    """
+    return F.expr(
+        f"CASE WHEN {units} IS NULL THEN format_number({name} + 0D, {FLOAT_DIGITS}) ELSE concat("
+        f"IF({name} < 0D, '-', ''), "
+        f"IF({units} < 10000000, CAST({units} DIV 10000 AS STRING), "
+        f"concat(CAST({units} DIV 10000000 AS STRING), ',', "
+        f"substring(CAST({units} DIV 10000 % 1000 + 1000 AS STRING), 2, 3))), "
+        f"'.', substring(CAST({units} % 10000 + 10000 AS STRING), 2, 4), "
+        f"'{'0' * (FLOAT_DIGITS - 4)}') END"
+    )
+
+
 def _instant(c: Column, o: CanonicalOptions) -> Column:
     units = F.unix_millis(c) if o.ts_precision == "ms" else F.unix_micros(c)
     return units.cast("string")
@@ -194,6 +201,10 @@ def canonical_names(df: DataFrame) -> list[str]:
     return sorted(names)
 
 
+# With more double columns than this the generated code grows too large for the shorter
+# way of printing them to pay off.
+_SHORT_NUMBER_COLUMNS = 12
+
 # HotSpot never compiles a method of more bytecode than this.
 _COMPILED_METHOD_BYTES = 8000
 
@@ -202,7 +213,7 @@ def compile_wide_rows(spark: SparkSession) -> None:
     """Keep the generated code of wide tables compilable.
 
     Whole-stage code puts all columns of a row into one method.  From some 35 columns on
-    (fewer with decimals) the JVM would only interpret it, which is several times slower;
+    the JVM would only interpret it, which is several times slower;
     with this limit Spark generates many small methods instead.
     """
     key = "spark.sql.codegen.hugeMethodLimit"
@@ -217,6 +228,17 @@ def canonical_columns(df: DataFrame, options: CanonicalOptions = DEFAULT_OPTIONS
     compile_wide_rows(df.sparkSession)
     canonical_names(df)
     fields = sorted(df.schema.fields, key=lambda f: f.name.upper())
-    return df.select(
-        *[canonical_text(quoted(f.name), f.dataType, options).alias(f.name.upper()) for f in fields]
-    )
+    # Units of double columns are computed in a step of their own: they are used several
+    # times, and Spark keeps such a projection separate.
+    units = {}
+    doubles = [f.name for f in fields if isinstance(f.dataType, T.DoubleType)]
+    if options.numeric == "by_type" and 0 < len(doubles) <= _SHORT_NUMBER_COLUMNS:
+        units = {name: f"__units_{i}" for i, name in enumerate(doubles)}
+        df = df.select("*", *[_short_units(_quote(n)).alias(u) for n, u in units.items()])
+
+    def text(f: T.StructField) -> Column:
+        if f.name in units:
+            return _short_text(_quote(f.name), units[f.name])
+        return canonical_text(quoted(f.name), f.dataType, options)
+
+    return df.select(*[text(f).alias(f.name.upper()) for f in fields])
