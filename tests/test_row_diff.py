@@ -9,7 +9,13 @@ from pyspark.sql import functions as F
 from concordia.constants import BROADCAST_BUCKETS, ONLY_IN_SINK, ONLY_IN_SOURCE
 from concordia.functions.canonical import canonical_columns
 from concordia.functions.fingerprint import SHA_PREFIX, XXHASH64, fingerprint
-from concordia.operators import checksum_diff, diff_sample, row_diff, row_diff_summary
+from concordia.operators import (
+    checksum_diff,
+    diff_sample,
+    row_diff,
+    row_diff_report,
+    row_diff_summary,
+)
 from workload import tables as t
 
 SF = "/root/testdata/sf0.001"
@@ -94,6 +100,15 @@ def test_random_changes_match_except_all(spark, seed):
     assert sum(max(r.sink_count - r.src_count, 0) for r in diff) == b.exceptAll(a).count()
 
 
+def test_report_scans_the_tables_once(spark, table):
+    """Counts and both samples share one shuffle of the stacked sides."""
+    left, right = hashes(table("orders")), hashes(table("orders").filter("o_orderkey % 7 <> 0"))
+    report = row_diff_report(row_diff(left, right), 5)
+    assert report.collect()[0].only_in_source == 215
+    plan = report._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0]
+    assert plan.count("FileScan") == 2 and plan.count("ReusedExchange") == 2
+
+
 def test_third_of_all_rows_is_one_row(spark):
     common = spark.range(60_000).select(F.lit("hot").alias("v"))
     rest = spark.range(120_000).select(F.col("id").cast("string").alias("v"))
