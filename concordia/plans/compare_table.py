@@ -83,8 +83,8 @@ def compare_table(
     ``bucket_count="auto"`` derives the count from the size of the sink.
     ``reuse`` says where phase 2 gets the row hashes from.  "rescan" reads both sides
     again: right for stored files, since a clean table, the usual case, then pays for
-    nothing but one scan.  "cache" persists the hashes (memory and disk), worth it where
-    differences are expected.  "freeze_source" stores those of the source as a table
+    nothing but one scan.  "cache" persists the hashes (memory and disk), worth it for
+    wide rows where differences are expected.  "freeze_source" stores those of the source as a table
     first, for a database that changes meanwhile or must not be read twice.
     ``emit`` is called with each verdict as soon as it is known.
     """

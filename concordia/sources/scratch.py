@@ -38,25 +38,17 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
-def _as_bytes(hashes: DataFrame) -> DataFrame:
-    return hashes.select(F.unhex(HASH).alias(HASH))
-
-
-def _as_text(stored: DataFrame) -> DataFrame:
-    return stored.select(F.coalesce(F.lower(F.hex(HASH)), F.lit("")).alias(HASH))
-
-
 @contextmanager
 def cached_hashes(hashes: DataFrame) -> Iterator[DataFrame]:
-    """Row hashes kept on the executors (32 bytes per row, spilling to disk).
+    """Row hashes kept on the executors, spilling to disk.
 
     A lost executor means its rows are hashed again, so the table must not change.
     """
-    stored = _as_bytes(hashes).persist(StorageLevel.MEMORY_AND_DISK)
+    hashes = hashes.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        yield _as_text(stored)
+        yield hashes
     finally:
-        stored.unpersist()
+        hashes.unpersist()
 
 
 @contextmanager
@@ -70,7 +62,8 @@ def frozen_hashes(hashes: DataFrame) -> Iterator[DataFrame]:
     spark = hashes.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/row-hashes-{uuid.uuid4().hex}"
     try:
-        _as_bytes(hashes).write.parquet(path)
-        yield _as_text(spark.read.schema(f"`{HASH}` binary").parquet(path))
+        hashes.select(F.unhex(HASH).alias(HASH)).write.parquet(path)
+        stored = spark.read.schema(f"`{HASH}` binary").parquet(path)
+        yield stored.select(F.coalesce(F.lower(F.hex(HASH)), F.lit("")).alias(HASH))
     finally:
         delete_directory(spark, path)
