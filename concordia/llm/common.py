@@ -49,3 +49,17 @@ def n_words(text):
 def n_bytes(text):
     """Length of a text column in UTF-8 bytes; a null text has none."""
     return F.coalesce(F.octet_length(text), F.lit(0)).cast("long")
+
+
+def hash_sample(df: DataFrame, key: list[str], max_rows: int, seed: int = 1) -> DataFrame:
+    """About ``max_rows`` rows of a table, all of a smaller one, with their hash as ``place``.
+
+    Rows are chosen by the hash of ``key`` alone, so reruns choose the same ones.  The
+    table is counted first; that only hashes below a bound pass keeps the later sort for
+    an exact limit as small as the sample.
+    """
+    share = min(1.0, max_rows / max(1, df.count()))
+    placed = df.withColumn("place", F.xxhash64(*(F.col(k).cast("string") for k in key), F.lit(seed)))
+    if share == 1.0:
+        return placed
+    return placed.filter(F.col("place") < F.lit(int(-(2.0**63) + share * 2.0**64)))
