@@ -92,7 +92,10 @@ def _sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             at = np.cumsum(gaps)
             before = np.r_[0, at][starts]
             at -= np.repeat(before, ends - starts)
-            counts = np.zeros(1, np.int64) if row.counts is None else np.array(row.counts, dtype=np.int64)
+            counts = np.zeros(int(at.max(initial=0)) + 1, dtype=np.int64)
+            for piece in () if row.counts is None else row.counts:
+                numbers, n = (_numbers(half) for half in (piece[: len(piece) // 2], piece[len(piece) // 2 :]))
+                counts[np.cumsum(numbers.astype(np.int64))] = n
             total = np.r_[0, np.cumsum(counts[at] * freqs)] if len(at) else np.zeros(1, np.int64)
             yield pd.DataFrame(
                 {"id": list(row.ids), "n_bytes": list(row.bytes), "n_tokens": total[ends] - total[starts]}
@@ -118,8 +121,11 @@ def token_counts(
     blocks = stored(plain.mapInPandas(_frequencies, _BLOCK), "frequencies")
 
     def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        """Rows come sorted by term, so each is cut once, wherever it occurs."""
-        model, last, pieces = load_model(model_path), None, 0
+        """Rows come sorted by term, so each is cut once, wherever it occurs.
+
+        The counts go back to the blocks many in a row: numbers and counts, byte by byte.
+        """
+        model, last, known = load_model(model_path), None, 0
         for batch in batches:
             terms = batch["term"]
             if not len(terms):
@@ -127,20 +133,25 @@ def token_counts(
             new = terms != terms.shift()
             new.iloc[0] = terms.iloc[0] != last
             fresh = terms[new].tolist()
-            counts = [pieces, *map(len, pretoken_ids(model, fresh))]
+            counts = [known, *map(len, pretoken_ids(model, fresh))]
             n = np.array(counts, dtype=np.int64)[np.cumsum(new.to_numpy())]
-            last, pieces = terms.iloc[-1], int(n[-1])
-            yield pd.DataFrame({"block": batch["block"], "number": batch["number"], "n": n})
+            last, known = terms.iloc[-1], int(n[-1])
+            block, number = batch["block"].to_numpy(), batch["number"].to_numpy()
+            order = np.lexsort((number, block))
+            block, number, n = block[order], number[order], n[order]
+            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), len(block)]
+            pieces = [
+                _planes(np.diff(number[s:e], prepend=0)) + _planes(n[s:e]) for s, e in zip(cuts, cuts[1:])
+            ]
+            yield pd.DataFrame({"block": block[cuts[:-1]], "piece": pieces})
 
     counted = (
         blocks.select("block", F.posexplode("terms").alias("number", "term"))
         .repartition("term")
         .sortWithinPartitions("term")
-        .mapInPandas(count, "block long, number int, n int")
-    )
-    by_block = counted.groupBy(F.col("block").alias("counted")).agg(
-        F.transform(F.array_sort(F.collect_list(F.struct("number", "n"))), lambda x: x["n"]).alias("counts")
+        .mapInPandas(count, "block long, piece binary")
     )
+    by_block = counted.groupBy(F.col("block").alias("counted")).agg(F.collect_list("piece").alias("counts"))
     joined = blocks.drop("terms").join(by_block, F.col("block") == F.col("counted"), "left")
     return joined.drop("counted").mapInPandas(_sums, "id string, n_bytes long, n_tokens long").select(
         F.col("id").cast(kind).alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > over).alias("over_limit")
