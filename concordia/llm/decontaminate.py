@@ -32,6 +32,8 @@ from .common import stored
 WINDOW = 10
 #: Words of a block; the block of one very long document may have more.
 BLOCK_WORDS = 1_000_000
+#: Words of a block that a filter keeps only while it is searched.
+FILTER_WORDS = 400_000
 #: Windows of the benchmark sent to the tasks at a time (about 50 bytes each).
 CHUNK = 400_000
 #: Unused positions between documents: matches never reach over them.
@@ -402,21 +404,27 @@ def decontaminated(
 
 
 def _contaminated(chunk: Windows):
+    def block_hits(texts: list[list[bytes]]) -> np.ndarray:
+        hit = np.zeros(len(texts), dtype=bool)
+        block = Block.of(texts)
+        if len(block.counts):
+            _, start = phrase_matches(block, chunk, _keys(block))
+            hit[np.searchsorted(block.starts, start, side="right") - 1] = True
+        return hit
+
     @F.pandas_udf("boolean")
     def contaminated(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for batch in batches:
-            texts = [words(t) for t in batch]
-            hit = np.zeros(len(texts), dtype=bool)
-            size, first = 0, 0
-            for i, t in enumerate(texts):
-                size += len(t)
-                if size >= BLOCK_WORDS or i == len(texts) - 1:
-                    block = Block.of(texts[first : i + 1])
-                    if len(block.counts):
-                        _, start = phrase_matches(block, chunk, _keys(block))
-                        hit[first + np.searchsorted(block.starts, start, side="right") - 1] = True
-                    size, first = 0, i + 1
-            yield pd.Series(hit)
+            hits, texts, size = [np.zeros(0, dtype=bool)], [], 0
+            for text in batch:
+                texts.append(words(text))
+                size += len(texts[-1])
+                if size >= FILTER_WORDS:
+                    hits.append(block_hits(texts))
+                    texts, size = [], 0
+            if texts:
+                hits.append(block_hits(texts))
+            yield pd.Series(np.concatenate(hits))
 
     return contaminated
 

@@ -20,9 +20,9 @@ import sentencepiece
 SPACE = "▁"
 PRETOKEN = re.compile(rf"\n+[^\n {SPACE}]*|[ {SPACE}]+[^\n {SPACE}]*|[^\n {SPACE}]+")
 #: Pre-tokens whose ids a task remembers.
-CACHE = 1 << 20
+CACHE = 1 << 19
 #: Characters whose new pre-tokens are cut together.
-SLICE_CHARS = 4 << 20
+SLICE_CHARS = 2 << 20
 
 
 @lru_cache(maxsize=4)

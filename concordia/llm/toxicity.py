@@ -39,7 +39,7 @@ class _WordHashes(dict):
     """Hash of a word, and of its first letters below; forgets all when it grows too large."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) >= 1 << 18:
+        if len(self) >= 1 << 17:
             self.clear()
         whole, stem = (zlib.crc32(x.encode("utf-8", "replace")) for x in (word, word[:STEM_LETTERS]))
         found = self[word] = whole << 32 | stem
@@ -159,7 +159,7 @@ def fit(
 
     def train(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         known = [
-            (np.frombuffer(f, dtype="<u4").astype(np.int64), int(y))
+            (np.frombuffer(f, dtype="<u4"), int(y))
             for batch in batches
             for f, y in zip(batch["f"], batch["y"])
         ]
