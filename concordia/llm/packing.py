@@ -23,7 +23,7 @@ from .pieces import PieceIds
 
 WIDTH = 2048
 #: Tokens that are packed together.
-GROUP_TOKENS = 4 << 20
+GROUP_TOKENS = 2 << 20
 
 
 class CapacityTree:

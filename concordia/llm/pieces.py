@@ -20,7 +20,7 @@ import sentencepiece
 SPACE = "▁"
 PRETOKEN = re.compile(rf"\n+[^\n {SPACE}]*|[ {SPACE}]+[^\n {SPACE}]*|[^\n {SPACE}]+")
 #: Pre-tokens whose ids a task remembers.
-CACHE = 1 << 19
+CACHE = 1 << 18
 #: Characters whose new pre-tokens are cut together.
 SLICE_CHARS = 2 << 20
 
@@ -62,7 +62,7 @@ def pretoken_ids(model: sentencepiece.SentencePieceProcessor, terms: list[str])
 
 
 class PieceIds(dict):
-    """Ids of pre-tokens as little-endian bytes; forgets all when it grows too large."""
+    """Ids of pre-tokens as little-endian bytes; when full, only those in use are kept."""
 
     def __init__(self, model_path: str):
         self.model = load_model(model_path)
@@ -84,6 +84,7 @@ class PieceIds(dict):
     def _learn(self, terms: set[str]) -> None:
         new = [t for t in terms if t not in self]
         if len(self) + len(new) > CACHE:
+            used = {t: self[t] for t in terms if t in self}
             self.clear()
-            new = list(terms)
+            self.update(used)
         self.update((t, array(self.code, ids).tobytes()) for t, ids in zip(new, pretoken_ids(self.model, new)))
