@@ -3,7 +3,9 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -63,3 +65,9 @@ def hash_sample(df: DataFrame, key: list[str], max_rows: int, seed: int = 1) ->
     if share == 1.0:
         return placed
     return placed.filter(F.col("place") < F.lit(int(-(2.0**63) + share * 2.0**64)))
+
+
+def values(array: pa.Array, rows: int = 512) -> Iterator:
+    """Python values of an Arrow array, of which only some rows are held at a time."""
+    for start in range(0, len(array), rows):
+        yield from array.slice(start, rows).to_pylist()

@@ -23,11 +23,12 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stored
+from .common import stored, values
 
 WINDOW = 10
 #: Words of a block; the block of one very long document may have more.
@@ -412,11 +413,11 @@ def _contaminated(chunk: Windows):
             hit[np.searchsorted(block.starts, start, side="right") - 1] = True
         return hit
 
-    @F.pandas_udf("boolean")
-    def contaminated(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("boolean")
+    def contaminated(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
             hits, texts, size = [np.zeros(0, dtype=bool)], [], 0
-            for text in batch:
+            for text in values(batch):
                 texts.append(words(text))
                 size += len(texts[-1])
                 if size >= FILTER_WORDS:
@@ -424,7 +425,7 @@ def _contaminated(chunk: Windows):
                     texts, size = [], 0
             if texts:
                 hits.append(block_hits(texts))
-            yield pd.Series(np.concatenate(hits))
+            yield pa.array(np.concatenate(hits), pa.bool_())
 
     return contaminated
 

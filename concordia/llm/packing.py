@@ -13,12 +13,13 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from .common import values
 from .pieces import PieceIds
 
 WIDTH = 2048
@@ -26,6 +27,20 @@ WIDTH = 2048
 GROUP_TOKENS = 2 << 20
 
 
+_ROWS = pa.schema(
+    [
+        ("matrix", pa.int64()),
+        ("row", pa.int32()),
+        ("n_tokens", pa.int32()),
+        ("ids", pa.binary()),
+        ("cu_seqlens", pa.list_(pa.int32())),
+        ("position_ids", pa.binary()),
+        ("doc_ids", pa.list_(pa.string())),
+        ("doc_offsets", pa.list_(pa.int64())),
+    ]
+)
+
+
 class CapacityTree:
     """Rows by free capacity; finds the smallest capacity that is large enough."""
 
@@ -104,12 +119,12 @@ def pack(
     """
     kind = docs.schema[id_col].dataType
 
-    def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         part, serial = TaskContext.get().partitionId(), 0
         encoder = PieceIds(model_path)
         names, offsets, pieces, held = [], [], [], 0
 
-        def matrix() -> pd.DataFrame:
+        def matrix() -> pa.RecordBatch:
             packed = best_fit_decreasing(np.array([len(p) for p in pieces]), width)
             out = []
             for number, members in enumerate(packed):
@@ -132,12 +147,12 @@ def pack(
                 )
             for kept in (names, offsets, pieces):
                 kept.clear()
-            return pd.DataFrame(out)
+            return pa.RecordBatch.from_pylist(out, schema=_ROWS)
 
         for batch in batches:
-            for name, ids in zip(batch["id"], encoder.encode(batch["text"].tolist())):
+            for name, ids in zip(values(batch.column(0)), encoder.encode(values(batch.column(1)))):
                 for start in range(0, len(ids), width):
-                    names.append(None if pd.isna(name) else name)
+                    names.append(name)
                     offsets.append(start)
                     pieces.append(ids[start : start + width])
                     held += len(pieces[-1])
@@ -148,7 +163,7 @@ def pack(
             yield matrix()
 
     plain = docs.select(F.col(id_col).cast("string").alias("id"), F.col(text_col).alias("text"))
-    packed = plain.mapInPandas(
+    packed = plain.mapInArrow(
         rows,
         "matrix long, row int, n_tokens int, ids binary, cu_seqlens array<int>, "
         "position_ids binary, doc_ids array<string>, doc_offsets array<long>",

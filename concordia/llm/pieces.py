@@ -11,7 +11,7 @@ from __future__ import annotations
 
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -22,7 +22,7 @@ PRETOKEN = re.compile(rf"\n+[^\n {SPACE}]*|[ {SPACE}]+[^\n {SPACE}]*|[^\n {SPACE
 #: Pre-tokens whose ids a task remembers.
 CACHE = 1 << 18
 #: Characters whose new pre-tokens are cut together.
-SLICE_CHARS = 2 << 20
+SLICE_CHARS = 1 << 20
 
 
 @lru_cache(maxsize=4)
@@ -69,17 +69,22 @@ class PieceIds(dict):
         self.code = "H" if self.model.get_piece_size() <= 1 << 16 else "I"
         self.dtype = "<u2" if self.code == "H" else "<u4"
 
-    def encode(self, texts: list[str | None]) -> Iterator[np.ndarray]:
+    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
         """Token ids of whole texts; new pre-tokens of a few megabytes are cut in one call."""
-        first, chars = 0, 0
-        for i, text in enumerate(texts):
+        cuts: list[list[str]] = []
+        chars = 0
+        for text in texts:
+            cuts.append(pretokens(text))
             chars += len(text or "")
-            if chars >= SLICE_CHARS or i == len(texts) - 1:
-                cuts = [pretokens(t) for t in texts[first : i + 1]]
-                self._learn(set().union(*cuts))
-                for cut in cuts:
-                    yield np.frombuffer(b"".join(map(self.__getitem__, cut)), dtype=self.dtype)
-                first, chars = i + 1, 0
+            if chars >= SLICE_CHARS:
+                yield from self._encoded(cuts)
+                cuts, chars = [], 0
+        yield from self._encoded(cuts)
+
+    def _encoded(self, cuts: list[list[str]]) -> Iterator[np.ndarray]:
+        self._learn(set().union(*cuts))
+        for cut in cuts:
+            yield np.frombuffer(b"".join(map(self.__getitem__, cut)), dtype=self.dtype)
 
     def _learn(self, terms: set[str]) -> None:
         new = [t for t in terms if t not in self]

@@ -22,11 +22,12 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import stored
+from .common import stored, values
 from .components import components
 
 RADIUS = 3
@@ -69,10 +70,10 @@ def fingerprint(text: Column, shingle_words: int = 3) -> Column:
     XXH64 with seed 42 over UTF-8; a bit is set if it is in more than half of the shingles.
     """
 
-    @F.pandas_udf("long")
-    def simhash(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("long")
+    def simhash(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         for batch in batches:
-            yield pd.Series([text_fingerprint(t, shingle_words) for t in batch], dtype="int64")
+            yield pa.array([text_fingerprint(t, shingle_words) for t in values(batch)], pa.int64())
 
     return simhash(text)
 

@@ -21,10 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import hash_sample
+from .common import hash_sample, values
 
 #: Labelled rows that training may use at most.
 MAX_ROWS = 20_000
@@ -190,18 +191,18 @@ def fit(
 def score(text: Column, model: ToxicityModel) -> Column:
     """Probability of label 1 for a text column; null and empty texts have that of the bias."""
 
-    @F.pandas_udf("double")
-    def toxicity(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    @F.arrow_udf("double")
+    def toxicity(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         weights = np.zeros(1 << model.bits)
         weights[model.index] = model.weight
         seen = _WordHashes()
         for batch in batches:
             out = []
-            for t in batch:
+            for t in values(batch):
                 at = features(t, seen, model.bits)
                 at = np.unique(at[weights[at] != 0])
                 out.append(_sigmoid(model.bias + float(weights[at].sum())))
-            yield pd.Series(out, dtype="float64")
+            yield pa.array(out, pa.float64())
 
     return toxicity(text)
 
