@@ -39,11 +39,11 @@ def main(arguments: list[str] | None = None) -> None:
         SuiteSettings(parallel_tables=chosen.parallel_tables),
     )
     print(f"Run {run_id}")
-    summary(verdicts).show(SUMMARY_ROWS, truncate=False)
+    summary(verdicts, rows=SUMMARY_ROWS).show(SUMMARY_ROWS, truncate=False)
     found = mismatch_count(verdicts).first()["mismatches"]
     print(f"{found} mismatches")
     if found:
-        mismatches(verdicts).show(MISMATCH_ROWS, truncate=False)
+        mismatches(verdicts, rows=MISMATCH_ROWS).show(MISMATCH_ROWS, truncate=False)
 
 
 if __name__ == "__main__":

@@ -10,6 +10,7 @@ FLOAT_DIGITS = 10
 
 # Default sizes of the checks and of the text in their verdicts.
 CHECKSUM_BUCKETS = 1000
+CHECKSUM_REFINEMENT = 64
 ROW_SAMPLE = 100
 DETAIL_BUCKETS = 20
 DETAIL_SAMPLES = 5
@@ -17,7 +18,6 @@ DETAIL_TABLES = 50
 DETAIL_ERROR_CHARS = 500
 SUMMARY_ROWS = 200
 MISMATCH_ROWS = 50
-TABLE_BATCH = 20
 TABLE_TIMEOUT_MINUTES = 60
 JDBC_FETCH_SIZE = 5000
 
@@ -48,6 +48,7 @@ PROBE_FAILED = "PROBE_FAILED"
 ONLY_IN_SOURCE, ONLY_IN_SINK = "ONLY_IN_SOURCE", "ONLY_IN_SINK"
 COUNT_DIFFERS = "COUNT_DIFFERS"
 
+# The columns of the verdict table.
 VERDICT_SCHEMA = T.StructType(
     [
         T.StructField("run_id", T.StringType()),

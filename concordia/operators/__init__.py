@@ -1,13 +1,13 @@
-from .checksum import auto_bucket_count, bucket_checksum, bucket_compare, checksum_diff
+from .checksum import bucket_checksum, bucket_compare, checksum_diff, checksum_refined
 from .inventory import inventory_report, table_inventory_diff
 from .row_diff import diff_sample, row_diff, row_diff_report, row_diff_summary, row_multiplicity
 from .schema_diff import columns_of, schema_diff
 
 __all__ = [
-    "auto_bucket_count",
     "bucket_checksum",
     "bucket_compare",
     "checksum_diff",
+    "checksum_refined",
     "columns_of",
     "diff_sample",
     "inventory_report",

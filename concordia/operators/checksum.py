@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import CHECKSUM_BUCKETS, HASH
-from ..functions.fingerprint import XXHASH64, bucket_of, hash_number
+from ..constants import BUCKET, CHECKSUM_BUCKETS, CHECKSUM_REFINEMENT, HASH
+from ..functions.fingerprint import XXHASH64, bucket_of, hash_number, with_bucket
 
 # A 64-bit number is summed as three pieces of at most 22 bits.  Their bigint sums stay
 # exact for 2^41 rows in one bucket (beyond, ANSI mode raises instead of wrapping), and
@@ -15,17 +15,6 @@ _PIECE_BITS = 22
 _PIECE_MASK = (1 << _PIECE_BITS) - 1
 
 
-def auto_bucket_count(rows: int, ceiling: int = 1 << 20) -> int:
-    """Bucket count for a table of ``rows`` rows: about 100 rows per bucket.
-
-    With D differing rows in B buckets, a share of 1 - exp(-D/B) of all rows is looked at
-    again by the row diff, so large tables want more than the default 1000 buckets.  The
-    ceiling bounds what a map task keeps while pre-aggregating, and the broadcast of
-    differing ids.
-    """
-    return max(CHECKSUM_BUCKETS, min(rows // 100, ceiling))
-
-
 def bucket_checksum(
     hashes: DataFrame, bucket_count: int = CHECKSUM_BUCKETS, bucket_fn: str = XXHASH64
 ) -> DataFrame:
@@ -91,3 +80,26 @@ def checksum_diff(
         bucket_checksum(sink, bucket_count, bucket_fn),
     )
     return compared.filter("differs").drop("differs")
+
+
+def checksum_refined(
+    source: DataFrame,
+    sink: DataFrame,
+    coarse: DataFrame,
+    bucket_count: int = CHECKSUM_BUCKETS,
+    refinement: int = CHECKSUM_REFINEMENT,
+    bucket_fn: str = XXHASH64,
+) -> DataFrame:
+    """Differing buckets of a finer level, looked for inside the differing coarse ones only.
+
+    ``coarse`` holds the differing ``bucket_id`` of ``bucket_count`` buckets; each is cut
+    into ``refinement`` parts, so the ids are those of ``bucket_count * refinement``
+    buckets.  Map tasks shuffle at most that many rows however large the table is, and
+    rows of clean coarse buckets are dropped before they are grouped.
+    """
+    ids = F.broadcast(coarse.select(F.col("bucket_id").alias(BUCKET)))
+
+    def within(hashes: DataFrame) -> DataFrame:
+        return with_bucket(hashes, bucket_count, bucket_fn).join(ids, BUCKET, "left_semi").select(HASH)
+
+    return checksum_diff(within(source), within(sink), bucket_count * refinement, bucket_fn)

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor
+from concurrent.futures import ThreadPoolExecutor, as_completed
 from dataclasses import dataclass
 from typing import Any, Protocol
 
@@ -13,9 +14,9 @@ from pyspark.sql import functions as F
 
 from ..constants import (
     CATALOG_TABLE,
+    CHECKSUM_REFINEMENT,
     COMMON,
     ERROR,
-    TABLE_BATCH,
     TABLE_COUNT,
     TABLE_TIMEOUT_MINUTES,
     TIMEOUT,
@@ -24,9 +25,9 @@ from ..constants import (
 from ..operators.inventory import table_inventory_diff
 from ..sources import jdbc
 from ..sources.catalogs import DatabaseConfig
-from ..sources.lake import list_lake_tables
+from ..sources.lake import list_lake_tables, one_spelling
 from ..sources.scratch import checkpointed
-from ..sources.verdict_store import read_verdicts, write_verdicts
+from ..sources.verdict_store import read_verdicts, write_inventory, write_verdicts
 from .checks import Run, table_inventory_check
 from .compare_table import compare_table, error_text, plain_verdict, read_check
 from .ledger import pending_tables
@@ -62,11 +63,13 @@ class JdbcTables:
         self.spark, self.config = spark, config
         self.dialect = jdbc.dialect_of(config.db_type).name
         self.splits = {k.upper(): v for k, v in (splits or {}).items()}
-        self._names: dict[str, tuple[str, str]] = {}
+        self._names: dict[str, list[tuple[str, str]]] = {}
 
     def tables(self) -> DataFrame:
         listed = jdbc.list_source_tables(self.spark, self.config).collect()
-        self._names = {r["table_name"]: (r["owner"], r["table"]) for r in listed}
+        self._names = {}
+        for r in listed:
+            self._names.setdefault(r["table_name"], []).append((r["owner"], r["table"]))
         return jdbc.non_empty_tables(
             self.spark, self.config, [(r["table_name"], r["owner"], r["table"]) for r in listed]
         )
@@ -75,7 +78,7 @@ class JdbcTables:
         return jdbc.list_source_columns(self.spark, self.config)
 
     def scan(self, table_name: str) -> DataFrame:
-        owner, table = self._names[table_name]
+        owner, table = one_spelling(table_name, self._names[table_name])
         return jdbc.scan_jdbc(
             self.spark, self.config, owner, table, **self.splits.get(table_name, {})
         )
@@ -89,11 +92,13 @@ class ParquetTables:
 
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base
-        self._paths: dict[str, str] = {}
+        self._paths: dict[str, list[str]] = {}
 
     def tables(self) -> DataFrame:
         listed = list_lake_tables(self.spark, self.base, missing_ok=False).collect()
-        self._paths = {r["table_name"]: r["path"] for r in listed}
+        self._paths = {}
+        for r in listed:
+            self._paths.setdefault(r["table_name"], []).append(r["path"])
         rows = []
         for name in self._paths:
             try:
@@ -115,7 +120,7 @@ class ParquetTables:
         )
 
     def scan(self, table_name: str) -> DataFrame:
-        return self.spark.read.parquet(self._paths[table_name])
+        return self.spark.read.parquet(one_spelling(table_name, self._paths[table_name]))
 
 
 class TimeLimitReached(Exception):
@@ -155,13 +160,12 @@ def run_limited(spark: SparkSession, work: Callable[[], Any], seconds: float, ta
 @dataclass(frozen=True)
 class SuiteSettings:
     """``compare`` is passed on to compare_table, in place of the suite's own choices:
-    a bucket count by table size, and frozen row hashes for a live source.
+    a second level of checksums, and frozen row hashes for a live source.
     ``parallel_tables`` are compared at the same time, so that small tables do not leave
     a cluster idle.
     """
 
     time_limit_seconds: float = TABLE_TIMEOUT_MINUTES * 60
-    batch_size: int = TABLE_BATCH
     parallel_tables: int = 1
     compare: dict[str, Any] | None = None
 
@@ -176,13 +180,17 @@ def compare_database(
 ) -> DataFrame:
     """Compare the table lists, then every common table; returns the run's verdicts.
 
-    Verdicts are appended after the inventory and after each batch of tables.  Calling
-    it again with the same run continues with the tables that have not finished.
+    Verdicts are appended after the inventory and as each table finishes.  Calling it
+    again with the same run continues with the tables that have not finished; the new
+    verdicts of a table replace those of its earlier attempt.  All rows of the inventory
+    are stored beside the verdicts.
     """
 
+    attempt = f"{time.time_ns():020d}"
+
     def store(rows: list[Row]) -> None:
         if rows:
-            write_verdicts(spark.createDataFrame(rows, VERDICT_SCHEMA), verdict_root)
+            write_verdicts(spark.createDataFrame(rows, VERDICT_SCHEMA), verdict_root, attempt)
 
     try:
         known = read_verdicts(spark, verdict_root, run.run_id).filter(F.col("db_name") == run.db_name)
@@ -192,8 +200,11 @@ def compare_database(
         listed = known.filter((F.col("table_name") == CATALOG_TABLE) & (F.col("status") != ERROR))
         if listed.isEmpty():
             store([table_inventory_check(inventory, run).first()])
+            write_inventory(inventory, verdict_root, run.run_id, run.db_name)
         # One row per table, all of them metadata.
-        paths = {r["table_name"]: r["path"] for r in lake.collect()}
+        paths: dict[str, list[str]] = {}
+        for r in lake.collect():
+            paths.setdefault(r["table_name"], []).append(r["path"])
         todo = pending_tables(
             common.withColumn("run_id", F.lit(run.run_id)).withColumn("db_name", F.lit(run.db_name)),
             known,
@@ -207,7 +218,7 @@ def compare_database(
 
     options = {
         "reuse": "freeze_source" if source.changes_while_read else "rescan",
-        "bucket_count": "auto",
+        "refinement": CHECKSUM_REFINEMENT,
     }
     options |= settings.compare or {}
 
@@ -217,7 +228,7 @@ def compare_database(
         def work() -> None:
             left, failure = read_check(lambda: source.scan(name), run, name, "source")
             if failure is None:
-                right, failure = read_check(lambda: spark.read.parquet(paths[name]), run, name, "sink")
+                right, failure = read_check(lambda: spark.read.parquet(one_spelling(name, paths[name])), run, name, "sink")
             if failure is not None:
                 rows.append(failure)
                 return
@@ -240,10 +251,9 @@ def compare_database(
             return list(rows) + [plain_verdict(run, name, ERROR, ERROR, error_text(error))]
         return rows
 
-    for start in range(0, len(names), settings.batch_size):
-        batch = names[start : start + settings.batch_size]
-        with ThreadPoolExecutor(max_workers=settings.parallel_tables) as pool:
-            store([row for rows in pool.map(one_table, batch) for row in rows])
+    with ThreadPoolExecutor(max_workers=settings.parallel_tables) as pool:
+        for finished in as_completed([pool.submit(one_table, name) for name in names]):
+            store(finished.result())
     return read_verdicts(spark, verdict_root, run.run_id)
 
 
@@ -263,5 +273,6 @@ def compare_databases(
             compare_database(spark, source, config.lake_base, run, verdict_root, settings)
         except Exception as error:  # noqa: BLE001 - recorded, then the next database
             row = plain_verdict(run, CATALOG_TABLE, TABLE_COUNT, ERROR, error_text(error))
-            write_verdicts(spark.createDataFrame([row], VERDICT_SCHEMA), verdict_root)
+            failed = spark.createDataFrame([row], VERDICT_SCHEMA)
+            write_verdicts(failed, verdict_root, f"{time.time_ns():020d}")
     return read_verdicts(spark, verdict_root, run_id)

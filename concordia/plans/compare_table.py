@@ -21,7 +21,7 @@ from ..constants import (
 )
 from ..functions.canonical import DEFAULT_OPTIONS, CanonicalOptions, quoted
 from ..functions.fingerprint import XXHASH64, fingerprint
-from ..operators.checksum import auto_bucket_count, bucket_checksum, bucket_compare
+from ..operators.checksum import bucket_checksum, bucket_compare, checksum_refined
 from ..operators.row_diff import row_diff, size_shuffle
 from ..operators.schema_diff import columns_of, schema_diff
 from ..sources.scratch import cached_hashes, checkpointed, frozen_hashes
@@ -66,7 +66,8 @@ def compare_table(
     categories: str = "exact",
     options: CanonicalOptions = DEFAULT_OPTIONS,
     columns: str = "all",
-    bucket_count: int | str = CHECKSUM_BUCKETS,
+    bucket_count: int = CHECKSUM_BUCKETS,
+    refinement: int = 1,
     bucket_fn: str = XXHASH64,
     multiset: bool = True,
     reuse: str = "rescan",
@@ -80,7 +81,9 @@ def compare_table(
 
     ``source_columns`` is the declared column list (table_name, column_name, data_type)
     in the type names of ``dialect``; without it the types of ``source`` itself are used.
-    ``bucket_count="auto"`` derives the count from the size of the sink.
+    With ``refinement`` above 1 the differing buckets are cut into so many parts and
+    compared once more before phase 2, which then reads only the differing parts: worth
+    one more scan where few rows of a large table differ.
     ``reuse`` says where phase 2 gets the row hashes from.  "rescan" reads both sides
     again: right for stored files, since a clean table, the usual case, then pays for
     nothing but one scan.  "cache" persists the hashes (memory and disk), worth it for
@@ -117,8 +120,6 @@ def compare_table(
 
     if columns == "common":
         source, sink = shared_columns(source, sink)
-    if bucket_count == "auto":
-        bucket_count = auto_bucket_count(sink.count())
     source_hashes = fingerprint(source, options, keep_columns=False)
     sink_hashes = fingerprint(sink, options, keep_columns=False)
 
@@ -150,7 +151,15 @@ def compare_table(
             # Phase 1 has counted exactly the rows that phase 2 is going to shuffle.
             touched = differing.agg(F.sum("source_count"), F.sum("sink_count")).first()
             size_shuffle(spark, sum(n or 0 for n in touched))
-            diff = row_diff(source_hashes, sink_hashes, differing, bucket_count, bucket_fn)
+            if refinement > 1:
+                differing = checkpointed(
+                    checksum_refined(
+                        source_hashes, sink_hashes, differing, bucket_count, refinement, bucket_fn
+                    )
+                )
+            diff = row_diff(
+                source_hashes, sink_hashes, differing, bucket_count * refinement, bucket_fn
+            )
             timed(lambda: row_diff_check(diff, run, table_name, multiset))
     return spark.createDataFrame(rows, VERDICT_SCHEMA)
 

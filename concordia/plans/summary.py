@@ -5,22 +5,22 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import MISMATCH, MISMATCH_ROWS, SUMMARY_ROWS
+from ..constants import MISMATCH
 
 
 def _of_run(verdicts: DataFrame, run_id: str | None) -> DataFrame:
     return verdicts if run_id is None else verdicts.filter(F.col("run_id") == run_id)
 
 
-def summary(verdicts: DataFrame, run_id: str | None = None, rows: int = SUMMARY_ROWS) -> DataFrame:
-    """(db_name, check_type, status, cnt) in that order, at most ``rows`` rows."""
-    return (
+def summary(verdicts: DataFrame, run_id: str | None = None, rows: int | None = None) -> DataFrame:
+    """(db_name, check_type, status, cnt) in that order, the first ``rows`` if given."""
+    found = (
         _of_run(verdicts, run_id)
         .groupBy("db_name", "check_type", "status")
         .agg(F.count(F.lit(1)).alias("cnt"))
         .orderBy("db_name", "check_type", "status")
-        .limit(rows)
     )
+    return found if rows is None else found.limit(rows)
 
 
 def mismatch_count(verdicts: DataFrame, run_id: str | None = None) -> DataFrame:
@@ -31,9 +31,9 @@ def mismatch_count(verdicts: DataFrame, run_id: str | None = None) -> DataFrame:
 
 
 def mismatches(
-    verdicts: DataFrame, run_id: str | None = None, rows: int | None = MISMATCH_ROWS
+    verdicts: DataFrame, run_id: str | None = None, rows: int | None = None
 ) -> DataFrame:
-    """The mismatching verdicts; the first ``rows`` by database, table and check."""
+    """All mismatching verdicts, or the first ``rows`` by database, table and check."""
     found = (
         _of_run(verdicts, run_id)
         .filter(F.col("status") == MISMATCH)

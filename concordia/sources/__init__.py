@@ -8,7 +8,7 @@ from .catalogs import (
 from .jdbc import list_source_columns, list_source_tables, non_empty_tables, scan_jdbc
 from .lake import list_lake_tables, scan_lake
 from .scratch import checkpointed, frozen_hashes, shared_folder
-from .verdict_store import read_verdicts, write_verdicts
+from .verdict_store import read_inventory, read_verdicts, write_inventory, write_verdicts
 
 __all__ = [
     "DatabaseConfig",
@@ -20,11 +20,13 @@ __all__ = [
     "load_databases",
     "load_table_list",
     "non_empty_tables",
+    "read_inventory",
     "read_verdicts",
     "scan_jdbc",
     "scan_lake",
     "shared_folder",
     "table_list_entries",
     "tables_per_database",
+    "write_inventory",
     "write_verdicts",
 ]

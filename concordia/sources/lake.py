@@ -40,12 +40,24 @@ def split_table_name(table_name: str) -> tuple[str, str]:
     return parts[0], parts[1]
 
 
+def one_spelling(table_name: str, found: list):
+    """The only place of a table; names that differ by case alone are an error, not a guess."""
+    if len(found) > 1:
+        places = ", ".join(sorted(str(f) for f in found))
+        raise ValueError(f"{table_name} stands for several tables that differ by case only: {places}")
+    return found[0]
+
+
 def scan_lake(spark: SparkSession, base: str, table_name: str) -> DataFrame:
     """Read one lake table by its OWNER.TABLE name, whatever the case of its folders."""
     owner, table = split_table_name(table_name.upper())
-    for owner_dir, owner_path in child_directories(spark, base):
-        if owner_dir.upper() == owner:
-            for table_dir, path in child_directories(spark, owner_path):
-                if table_dir.upper() == table:
-                    return spark.read.parquet(path)
-    raise FileNotFoundError(f"lake table not found: {base}/{owner}/{table}")
+    paths = [
+        path
+        for owner_dir, owner_path in child_directories(spark, base)
+        if owner_dir.upper() == owner
+        for table_dir, path in child_directories(spark, owner_path)
+        if table_dir.upper() == table
+    ]
+    if not paths:
+        raise FileNotFoundError(f"lake table not found: {base}/{owner}/{table}")
+    return spark.read.parquet(one_spelling(table_name, paths))

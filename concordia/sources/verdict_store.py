@@ -3,21 +3,32 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import VERDICT_SCHEMA
 from .hadoop import path_exists
 
+_ATTEMPT = "attempt"
+_STORED = T.StructType([*VERDICT_SCHEMA.fields, T.StructField(_ATTEMPT, T.StringType())])
+_INVENTORY = (
+    "run_id string, db_name string, table_name string, in_source boolean, has_rows boolean, "
+    "in_lake boolean, status string, reason string"
+)
 
-def write_verdicts(verdicts: DataFrame, root: str) -> None:
+
+def write_verdicts(verdicts: DataFrame, root: str, attempt: str = "") -> None:
     """Append verdict rows, partitioned by run and database.
 
-    Appending keeps the rows of earlier writes of the same run.  The rebalance gives one
-    file per database and write, and splits a database whose rows would make a file too
-    large.
+    Appending keeps the rows of earlier writes of the same run.  Rows of a later
+    ``attempt`` (by text order) at a table replace those of earlier ones for readers.
+    The rebalance gives one file per database and write, and splits a database whose rows
+    would make a file too large.
     """
     ordered = verdicts.select(*VERDICT_SCHEMA.fieldNames()).na.fill("").na.fill(0)
     (
-        ordered.hint("rebalance", "run_id", "db_name")
+        ordered.withColumn(_ATTEMPT, F.lit(attempt))
+        .hint("rebalance", "run_id", "db_name")
         .write.mode("append")
         .partitionBy("run_id", "db_name")
         .option("compression", "snappy")
@@ -25,12 +36,51 @@ def write_verdicts(verdicts: DataFrame, root: str) -> None:
     )
 
 
-def read_verdicts(spark: SparkSession, root: str, run_id: str | None = None) -> DataFrame:
-    """All verdicts, or those of one run (only its folders are read)."""
+def read_verdicts(
+    spark: SparkSession, root: str, run_id: str | None = None, all_attempts: bool = False
+) -> DataFrame:
+    """All verdicts, or those of one run (only its folders are read).
+
+    Of a table that was tried more than once, the rows of the last attempt count, unless
+    ``all_attempts`` are asked for.
+    """
     if path_exists(spark, root):
         # The schema is given: run ids and database names made of digits stay text.
-        stored = spark.read.schema(VERDICT_SCHEMA).parquet(root)
+        stored = spark.read.schema(_STORED).parquet(root)
+    else:
+        stored = spark.createDataFrame([], _STORED)
+    if run_id is not None:
+        stored = stored.filter(stored.run_id == run_id)
+    names = VERDICT_SCHEMA.fieldNames()
+    if all_attempts:
+        return stored.select(*names)
+    attempt = F.coalesce(F.col(_ATTEMPT), F.lit(""))
+    rows = stored.withColumn(_ATTEMPT, attempt).withColumn("tried", F.upper("table_name"))
+    last = rows.groupBy("run_id", "db_name", "tried").agg(F.max(_ATTEMPT).alias(_ATTEMPT))
+    return rows.join(last, ["run_id", "db_name", "tried", _ATTEMPT], "left_semi").select(*names)
+
+
+def inventory_root(verdict_root: str) -> str:
+    """Folder of the inventory rows that belong to a verdict table."""
+    return f"{verdict_root.rstrip('/')}_inventory"
+
+
+def write_inventory(inventory: DataFrame, verdict_root: str, run_id: str, db_name: str) -> None:
+    """Store all rows of a table list comparison; a verdict's detail shows only the first."""
+    (
+        inventory.withColumn("run_id", F.lit(run_id))
+        .withColumn("db_name", F.lit(db_name))
+        .write.mode("append")
+        .partitionBy("run_id", "db_name")
+        .parquet(inventory_root(verdict_root))
+    )
+
+
+def read_inventory(spark: SparkSession, verdict_root: str, run_id: str | None = None) -> DataFrame:
+    """The stored inventory rows, or those of one run."""
+    root = inventory_root(verdict_root)
+    if path_exists(spark, root):
+        stored = spark.read.schema(_INVENTORY).parquet(root)
     else:
-        stored = spark.createDataFrame([], VERDICT_SCHEMA)
-    stored = stored.select(*VERDICT_SCHEMA.fieldNames())
+        stored = spark.createDataFrame([], _INVENTORY)
     return stored if run_id is None else stored.filter(stored.run_id == run_id)

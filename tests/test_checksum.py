@@ -6,8 +6,9 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+from concordia.constants import HASH
 from concordia.functions.fingerprint import SHA_PREFIX, XXHASH64, fingerprint
-from concordia.operators import auto_bucket_count, bucket_checksum, bucket_compare, checksum_diff
+from concordia.operators import bucket_checksum, bucket_compare, checksum_diff, checksum_refined
 from workload import tables as t
 
 SF = "/root/testdata/sf0.001"
@@ -72,10 +73,22 @@ def test_one_hot_row_sums_exactly(spark):
     assert as_dict(bucket_checksum(hashes)) == {bucket: (100_000, number * 100_000)}
 
 
-def test_bucket_count_by_table_size():
-    assert auto_bucket_count(0) == auto_bucket_count(100_000) == 1000
-    assert auto_bucket_count(5_000_000) == 50_000
-    assert auto_bucket_count(10**12) == 1 << 20
+def test_map_tasks_shuffle_few_rows_however_large_they_are(spark):
+    """A million distinct rows in one task leave at most one row per bucket."""
+    rows = spark.range(0, 1_000_000, 1, 1).select(F.sha2(F.col("id").cast("string"), 256).alias(HASH))
+    sums = bucket_checksum(rows)
+    assert sums.count() == 1000 and sums.agg(F.sum("row_count")).first()[0] == 1_000_000
+
+
+def test_refined_buckets_are_those_of_the_finer_level(spark):
+    def hashes(df):
+        return df.select(F.sha2(F.col("id").cast("string"), 256).alias(HASH))
+
+    source, sink = hashes(spark.range(3000)), hashes(spark.range(5, 3002))
+    coarse = checksum_diff(source, sink, 50).select("bucket_id")
+    fine = checksum_refined(source, sink, coarse, 50, 8)
+    assert sorted(fine.collect()) == sorted(checksum_diff(source, sink, 400).collect())
+
 
 
 def test_arguments_are_checked(spark, table):

@@ -14,7 +14,7 @@ from concordia.operators.row_diff import size_shuffle
 from concordia.plans import read_check
 from concordia.plans.compare_database import TimeLimitReached, run_limited
 from concordia.plans.compare_table import error_text
-from concordia.sources import read_verdicts
+from concordia.sources import list_lake_tables, read_inventory, read_verdicts
 from workload import tables as t
 
 SF = "/root/testdata/sf0.001"
@@ -52,7 +52,7 @@ def test_copies_count_unless_told_otherwise(spark, table, multiset, status):
 
 
 @pytest.mark.parametrize(
-    "settings", [{"bucket_count": "auto"}, {"bucket_count": 3}, {"reuse": "freeze_source"}, {"reuse": "cache"}, {"bucket_fn": "sha_prefix"}]
+    "settings", [{"refinement": 8}, {"bucket_count": 3}, {"reuse": "freeze_source"}, {"reuse": "cache"}, {"bucket_fn": "sha_prefix"}]
 )
 def test_settings_do_not_change_the_result(spark, table, settings):
     copy = t.sql(spark, SF, t.ORDERS_COPY, "orders")
@@ -129,7 +129,7 @@ def two_sides(spark, table, tmp_path):
 
 def test_one_failing_table_does_not_stop_the_others_and_a_rerun_finishes_it(spark, two_sides):
     left, right, root = two_sides
-    settings = SuiteSettings(batch_size=2)
+    settings = SuiteSettings()
     rows = compare_database(spark, Snapshot(spark, left), right, RUN, root, settings).collect()
     checks = sorted((r.table_name, r.check_type, r.status) for r in rows if r.table_name != "APP.A")
     assert checks == [
@@ -138,11 +138,40 @@ def test_one_failing_table_does_not_stop_the_others_and_a_rerun_finishes_it(spar
         ("_CATALOG_", "TABLE_COUNT", "OK"),
     ]
     again = compare_database(spark, ParquetTables(spark, left), right, RUN, root, settings).collect()
-    assert len(again) == len(rows) + 4
+    # The error of the first attempt gives way to the four verdicts of the second.
+    assert len(again) == len(rows) + 3
     assert {r.table_name for r in again if r not in rows} == {"APP.BROKEN"}
+    assert not [r for r in again if r.status == "ERROR"]
+    assert read_verdicts(spark, root, "r1", all_attempts=True).count() == len(rows) + 4
     assert len(compare_database(spark, ParquetTables(spark, left), right, RUN, root).collect()) == len(again)
 
 
+def test_lake_folders_that_differ_by_case_are_an_error(spark, two_sides):
+    left, right, root = two_sides
+    spark.range(3).write.parquet(f"{left}/app/z")
+    spark.range(3).write.parquet(f"{right}/app/z")
+    spark.range(5).write.parquet(f"{right}/APP/Z")
+    found = compare_database(spark, ParquetTables(spark, left), right, RUN, root)
+    row = found.filter("table_name = 'APP.Z'").collect()
+    assert [(r.check_type, r.status) for r in row] == [("READ_SINK", "ERROR")]
+    assert "app/z" in row[0].detail and "APP/Z" in row[0].detail
+
+
+def test_every_missing_table_is_stored(spark, tmp_path):
+    for i in range(53):
+        (tmp_path / "left" / "app" / f"t{i}").mkdir(parents=True)
+    spark.range(1).write.parquet(f"{tmp_path}/right/app/x")
+
+    class Names(ParquetTables):
+        def tables(self):
+            names = list_lake_tables(self.spark, self.base).select("table_name")
+            return names.withColumn("has_rows", F.lit(True))
+
+    root = f"{tmp_path}/verdicts"
+    compare_database(spark, Names(spark, f"{tmp_path}/left"), f"{tmp_path}/right", RUN, root)
+    assert read_inventory(spark, root, "r1").filter("status = 'MISSING_IN_SINK'").count() == 53
+
+
 def test_tables_compared_at_the_same_time(spark, two_sides):
     left, right, root = two_sides
     settings = SuiteSettings(parallel_tables=3)
@@ -211,7 +240,7 @@ def test_time_limit_cancels_the_jobs(spark):
 
 def test_time_limit_verdict(spark, two_sides):
     left, right, root = two_sides
-    settings = SuiteSettings(time_limit_seconds=0.01, batch_size=1)
+    settings = SuiteSettings(time_limit_seconds=0.01)
     rows = compare_database(spark, ParquetTables(spark, left), right, RUN, root, settings).collect()
     assert {r.check_type for r in rows if r.status == "ERROR"} == {"TIMEOUT"}
     stored = read_verdicts(spark, root, "r1").filter("check_type = 'TIMEOUT'").first()

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordia.constants import HASH, ONLY_IN_SINK, ONLY_IN_SOURCE
+from concordia.constants import HASH, MISMATCH_ROWS, ONLY_IN_SINK, ONLY_IN_SOURCE
 from concordia.functions.canonical import CanonicalOptions, canonical_columns
 from concordia.functions.fingerprint import SHA_PREFIX, XXHASH64, fingerprint
 from concordia.functions.type_category import type_category
@@ -16,6 +16,7 @@ from concordia.operators import (
     bucket_checksum,
     bucket_compare,
     checksum_diff,
+    checksum_refined,
     diff_sample,
     row_diff,
     row_diff_summary,
@@ -44,11 +45,13 @@ from concordia.plans import (
 from concordia.sources import (
     checkpointed,
     list_lake_tables,
+    read_inventory,
     read_verdicts,
     scan_lake,
     shared_folder,
     table_list_entries,
     tables_per_database,
+    write_inventory,
     write_verdicts,
 )
 
@@ -202,6 +205,14 @@ def checksum_diff_xxhash(spark: SparkSession, sf: str) -> DataFrame:
     return _portable(diff, "source_hash", "sink_hash").orderBy("bucket_id")
 
 
+def checksum_refined_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Second level of checksums inside the differing buckets of the first."""
+    source, sink = (_hashes(df) for df in _orders_pair(spark, sf))
+    coarse = checkpointed(checksum_diff(source, sink, BUCKETS, SHA_PREFIX).select("bucket_id"))
+    fine = checksum_refined(source, sink, coarse, BUCKETS, 64, SHA_PREFIX)
+    return _portable(fine, "source_hash", "sink_hash")
+
+
 def checksum_clean_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     """The same rows in other partitions, column order and letter case of names."""
     lines = t.table(spark, sf, "lineitem")
@@ -373,7 +384,7 @@ def lake_scan(spark: SparkSession, sf: str) -> DataFrame:
     """Write orders as a lake table with lower-case folders and read it back by name."""
     base = _scratch(spark, "lake")
     t.table(spark, sf, "orders").write.parquet(f"{base}/app/orders")
-    return scan_lake(spark, base, "APP.ORDERS").drop("o_orderdate")
+    return scan_lake(spark, base, "APP.ORDERS")
 
 
 # Verdicts -------------------------------------------------------------------------
@@ -389,11 +400,12 @@ def verdict_summary(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def verdict_mismatches(spark: SparkSession, sf: str) -> DataFrame:
-    return mismatches(_order_verdicts(spark, sf), "r1", rows=None)
+    return mismatches(_order_verdicts(spark, sf), "r1")
 
 
 def verdict_mismatches_shown(spark: SparkSession, sf: str) -> DataFrame:
-    return mismatches(_order_verdicts(spark, sf), "r1")
+    """The top of the report, as the command line shows it."""
+    return mismatches(_order_verdicts(spark, sf), "r1", rows=MISMATCH_ROWS)
 
 
 def verdict_mismatch_count(spark: SparkSession, sf: str) -> DataFrame:
@@ -410,6 +422,23 @@ def verdict_store(spark: SparkSession, sf: str) -> DataFrame:
     return read_verdicts(spark, root, "r1").drop("duration_ms")
 
 
+def resumed_summary(spark: SparkSession, sf: str) -> DataFrame:
+    """Totals of a run whose mismatching tables failed in a first attempt."""
+    root, rows = _scratch(spark, "verdicts"), _order_verdicts(spark, sf).filter("run_id = 'r1'")
+    failed = rows.filter("status = 'MISMATCH'").withColumn("status", F.lit("ERROR"))
+    write_verdicts(failed, root, "1")
+    write_verdicts(rows, root, "2")
+    return summary(read_verdicts(spark, root, "r1"))
+
+
+def stored_inventory(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row of a table list comparison, written beside the verdicts and read back."""
+    root = _scratch(spark, "verdicts")
+    rows = inventory_diff(spark, sf)
+    write_inventory(rows, root, "r1", "TPCH")
+    return read_inventory(spark, root, "r1").select(*rows.columns)
+
+
 def progress_states(spark: SparkSession, sf: str) -> DataFrame:
     return table_states(t.sql(spark, sf, t.PROGRESS_VERDICTS, "orders"))
 
@@ -461,7 +490,7 @@ def compare_database_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     part = t.table(spark, sf, "part")
     part.filter("p_partkey < 0").write.parquet(f"{left}/app/part")
     part.write.parquet(f"{right}/APP/PART")
-    settings = SuiteSettings(compare={"bucket_fn": SHA_PREFIX, "bucket_count": BUCKETS})
+    settings = SuiteSettings(compare={"bucket_fn": SHA_PREFIX})
     verdicts = compare_database(
         spark, ParquetTables(spark, left), right, RUN, _scratch(spark, "verdicts"), settings
     )
@@ -495,6 +524,7 @@ def queries() -> dict[str, Query]:
         "canonical_nulls": fingerprint_nulls,
         "checksum_diff_orders": checksum_diff_orders,
         "checksum_diff_xxhash": checksum_diff_xxhash,
+        "checksum_refined_orders": checksum_refined_orders,
         "checksum_clean_lineitem": checksum_clean_lineitem,
         "checksum_check_orders": checksum_check_orders,
         "count_check_orders": count_check_orders,
@@ -525,6 +555,8 @@ def queries() -> dict[str, Query]:
         "verdict_mismatches_shown": verdict_mismatches_shown,
         "verdict_mismatch_count": verdict_mismatch_count,
         "write_read_verdicts": verdict_store,
+        "resumed_summary": resumed_summary,
+        "inventory_rows": stored_inventory,
         "table_states": progress_states,
         "pending_tables": progress_pending,
         "compare_table_orders": compare_table_orders,
