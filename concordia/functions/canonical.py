@@ -31,6 +31,9 @@ class CanonicalOptions:
     ts_precision   "ms" cuts instants to milliseconds, "us" keeps microseconds
     ntz_zone       zone in which zone-less timestamps are read, so that they compare
                    with instants; None keeps them as wall-clock text
+    nested         "as_stored" keeps texts, whole numbers and fields inside arrays, maps
+                   and structs as JSON shows them; "by_options" applies all options at
+                   every level, sorts and upper-cases field names and keeps NULL fields
     """
 
     strings: str = "fold"
@@ -38,12 +41,14 @@ class CanonicalOptions:
     numeric: str = "by_type"
     ts_precision: str = "ms"
     ntz_zone: str | None = None
+    nested: str = "as_stored"
 
     def __post_init__(self) -> None:
         for name, allowed in (
             ("strings", ("fold", "exact")),
             ("numeric", ("by_type", "by_value")),
             ("ts_precision", ("ms", "us")),
+            ("nested", ("as_stored", "by_options")),
         ):
             if getattr(self, name) not in allowed:
                 raise ValueError(f"{name} must be one of {allowed}, got {getattr(self, name)!r}")
@@ -73,19 +78,23 @@ def _decimal_text(d: Column) -> Column:
     return F.when(F.contains(text, F.lit("E")), plain).otherwise(text)
 
 
-def _decimal(c: Column, dt: T.DecimalType) -> Column:
+def _decimal(c: Column, dt: T.DecimalType, o: CanonicalOptions) -> Column:
     whole_digits = dt.precision - dt.scale
     if whole_digits <= 27 or (whole_digits == 28 and dt.scale <= 10):
         return _decimal_text(c.cast(DECIMAL_TYPE))
     # Values too large for the common form keep their own digits.
-    return F.coalesce(_decimal_text(c.try_cast(DECIMAL_TYPE)), c.cast("string"))
+    own = c.cast("string")
+    if o.numeric == "by_value" and dt.scale > 0:
+        own = F.regexp_replace(own, r"\.?0*$", "")
+    return F.coalesce(_decimal_text(c.try_cast(DECIMAL_TYPE)), own)
 
 
 def _float(c: Column, o: CanonicalOptions) -> Column:
     # Adding zero turns -0.0 into 0.0.
     grouped = F.format_number(c.cast("double") + F.lit(0.0), FLOAT_DIGITS)
     if o.numeric == "by_value":
-        return F.coalesce(_decimal_text(c.try_cast(DECIMAL_TYPE)), grouped)
+        whole = c.try_cast("decimal(38,0)").cast("string")
+        return F.coalesce(_decimal_text(c.try_cast(DECIMAL_TYPE)), whole, grouped)
     return grouped
 
 
@@ -143,7 +152,7 @@ def canonical_text(c: Column, dt: T.DataType, options: CanonicalOptions = DEFAUL
         by_value = options.numeric == "by_value"
         return _decimal_text(c.cast(DECIMAL_TYPE)) if by_value else c.cast("string")
     if isinstance(dt, T.DecimalType):
-        return _decimal(c, dt)
+        return _decimal(c, dt, options)
     if isinstance(dt, _FLOATS):
         return _float(c, options)
     if isinstance(dt, T.DateType):
@@ -157,21 +166,26 @@ def canonical_text(c: Column, dt: T.DataType, options: CanonicalOptions = DEFAUL
     if isinstance(dt, T.BinaryType):
         return F.replace(F.base64(c), F.lit("\r\n"), F.lit(""))
     if isinstance(dt, _NESTED):
-        return F.to_json(_nested(c, dt, options))
+        keep_nulls = {"ignoreNullFields": "false"} if options.nested == "by_options" else None
+        return F.to_json(_nested(c, dt, options), keep_nulls)
     return F.trim(c.cast("string"))
 
 
-def _kept_in_json(dt: T.DataType) -> bool:
-    """Whether JSON already shows values of this type unambiguously."""
+def _kept_in_json(dt: T.DataType, o: CanonicalOptions) -> bool:
+    """Whether JSON already shows values of this type as the options want them."""
     if isinstance(dt, T.ArrayType):
-        return _kept_in_json(dt.elementType)
-    if isinstance(dt, T.StructType):
-        return all(_kept_in_json(f.dataType) for f in dt.fields)
-    return isinstance(dt, _STRINGS + _INTEGERS + (T.BooleanType,))
+        return _kept_in_json(dt.elementType, o)
+    if o.nested == "as_stored":
+        if isinstance(dt, T.StructType):
+            return all(_kept_in_json(f.dataType, o) for f in dt.fields)
+        return isinstance(dt, _STRINGS + _INTEGERS + (T.BooleanType,))
+    if isinstance(dt, _STRINGS):
+        return o.strings == "exact" and not o.empty_as_null
+    return isinstance(dt, T.BooleanType) or (isinstance(dt, _INTEGERS) and o.numeric == "by_type")
 
 
 def _nested(c: Column, dt: T.DataType, o: CanonicalOptions) -> Column:
-    if _kept_in_json(dt):
+    if _kept_in_json(dt, o):
         return c
     if isinstance(dt, T.ArrayType):
         return F.transform(c, lambda x: _nested(x, dt.elementType, o))
@@ -187,18 +201,26 @@ def _nested(c: Column, dt: T.DataType, o: CanonicalOptions) -> Column:
             )
         )
     if isinstance(dt, T.StructType):
-        fields = [_nested(c.getField(f.name), f.dataType, o).alias(f.name) for f in dt.fields]
+        named = [(f.name, f) for f in dt.fields]
+        if o.nested == "by_options":
+            _check_clashes([f.name for f in dt.fields])
+            named = sorted(((f.name.upper(), f) for f in dt.fields), key=lambda n: n[0])
+        fields = [_nested(c.getField(f.name), f.dataType, o).alias(name) for name, f in named]
         return F.when(c.isNotNull(), F.struct(*fields))
     return canonical_text(c, dt, o)
 
 
-def canonical_names(df: DataFrame) -> list[str]:
-    """Upper-cased column names in comparison order; clashes are an error."""
-    names = [n.upper() for n in df.columns]
+def _check_clashes(columns: list[str]) -> None:
+    names = [n.upper() for n in columns]
     clashes = sorted({n for n in names if names.count(n) > 1})
     if clashes:
         raise ValueError(f"columns clash once upper-cased: {', '.join(clashes)}")
-    return sorted(names)
+
+
+def canonical_names(df: DataFrame) -> list[str]:
+    """Upper-cased column names in comparison order; clashes are an error."""
+    _check_clashes(df.columns)
+    return sorted(n.upper() for n in df.columns)
 
 
 # With more double columns than this the generated code grows too large for the shorter

@@ -88,6 +88,33 @@ def test_numeric_by_value_gives_one_form(spark):
     assert text(spark, "1e300D", numeric="by_value").startswith("1,000,000")
 
 
+def test_large_numbers_by_value_share_one_form(spark):
+    forms = {
+        text(spark, e, numeric="by_value")
+        for e in ("1e30D", "cast('1e30' as decimal(38,0))", "cast('1e30' as decimal(38,5))")
+    }
+    assert forms == {"1" + "0" * 30}
+    assert text(spark, "cast('1e30' as decimal(38,5))") == "1" + "0" * 30 + ".00000"
+
+
+def test_options_reach_nested_values(spark):
+    deep = {"nested": "by_options"}
+    for a, b, options in [
+        ("array(5)", "array(cast(5 as decimal(10,2)))", {"numeric": "by_value"}),
+        ("array('A ')", "array('a')", {}),
+        ("array('')", "array(cast(null as string))", {"empty_as_null": True}),
+        ("map('b', 5D)", "map('B ', 5)", {"numeric": "by_value"}),
+        ("array(map('k', struct(1 as a)))", "array(map('K', struct(1D as A)))", {"numeric": "by_value"}),
+        ("named_struct('b', 1, 'A', null)", "named_struct('a', null, 'B', 1)", {}),
+    ]:
+        assert text(spark, a, **options, **deep) == text(spark, b, **options, **deep), a
+    missing, null = (text(spark, f"named_struct({f}'b', 'x')", **deep) for f in ("", "'a', cast(null as string), "))
+    assert (missing, null) == ('{"B":"X"}', '{"A":null,"B":"X"}')
+    assert text(spark, "array('A ')", strings="exact", **deep) == '["A "]'
+    with pytest.raises(ValueError, match="clash"):
+        text(spark, "array(named_struct('a', 1, 'A', 2))", **deep)
+
+
 def test_string_options(spark):
     assert text(spark, "' aB '", strings="exact") == " aB "
     assert text(spark, "''", empty_as_null=True) is None

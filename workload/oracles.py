@@ -436,6 +436,27 @@ def oracle_sql() -> dict[str, str]:
         + " || '\"}' AS PAIR, "
         "'[\"' || l_linestatus || '\",\"' || l_returnflag || '\"]' AS FLAGS FROM lineitem"
     )
+    d = _DECIMAL.format
+    sql["canonical_nested_by_value"] = (
+        f"""SELECT '{{"KEY":"' || {d('l_orderkey')} || '","L_QUANTITY":"' || {d('l_quantity')} || '"}}' AS PAIR, """
+        f"""'["' || {d('l_discount')} || '","' || {d('l_tax')} || '"]' AS RATES, """
+        f"""'["' || {d('l_linenumber')} || '","' || {d('l_partkey')} || '"]' AS WHOLES FROM lineitem """
+        f"""UNION ALL SELECT '{{"LABEL":"' || {d('label')} || '","VEC_ID":"' || {d('vec_id')} || '"}}', """
+        f"""'["' || {d('label')} || '"]', '["' || {d('vec_id')} || '"]' FROM embeddings"""
+    )
+    keys = "SELECT CAST(l_orderkey AS VARCHAR) AS L_ORDERKEY, CAST(l_linenumber AS VARCHAR) AS L_LINENUMBER, "
+    sql["canonical_nested_fold"] = keys + (
+        """'["' || l_returnflag || '",null,"' || l_linestatus || '"]' AS FLAGS, """
+        """'[{"key":"FLAG","value":"' || l_returnflag || '"},{"key":"STATUS","value":"' || l_linestatus || '"}]' """
+        "AS BY_NAME FROM lineitem"
+    )
+    sql["canonical_struct"] = keys + (
+        """'{"FLAG":' || flag || ',"INNER":' || coalesce(inner_part, 'null') || ',"KEY":' || l_orderkey || '}' AS WHOLE, """
+        "inner_part AS PART FROM (SELECT *, CASE WHEN l_linenumber % 2 = 0 "
+        """THEN '{"A":' || l_linenumber || ',"Z":' || flag || '}' END AS inner_part """
+        """FROM (SELECT *, CASE WHEN l_linenumber % 3 <> 0 THEN '"' || l_returnflag || '"' ELSE 'null' END AS flag """
+        "FROM lineitem) f) g"
+    )
     sql["canonical_nulls"] = (
         f"SELECT CAST(c_custkey AS VARCHAR) AS C_CUSTKEY, {_hash('customer')} AS row_hash "
         f"FROM ({t.CUSTOMER_NULLS}) c"

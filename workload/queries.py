@@ -167,6 +167,56 @@ def canonical_map(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def canonical_nested_by_value(spark: SparkSession, sf: str) -> DataFrame:
+    lines, embeddings = t.table(spark, sf, "lineitem"), t.table(spark, sf, "embeddings")
+    options = CanonicalOptions(numeric="by_value", nested="by_options")
+    numbers = canonical_columns(
+        lines.select(
+            F.struct("l_quantity", F.col("L_ORDERKEY").alias("key")).alias("pair"),
+            F.array("l_discount", "l_tax").alias("rates"),
+            F.array("l_linenumber", "l_partkey").alias("wholes"),
+        ),
+        options,
+    )
+    labels = embeddings.select(
+        F.struct("label", "vec_id").alias("pair"),
+        F.array(F.col("label").cast("double")).alias("rates"),
+        F.array("vec_id").alias("wholes"),
+    )
+    return numbers.unionByName(canonical_columns(labels, options))
+
+
+def canonical_nested_fold(spark: SparkSession, sf: str) -> DataFrame:
+    """Case, outer spaces and empty texts inside arrays and maps."""
+    lines = t.table(spark, sf, "lineitem")
+    spaced = F.concat(F.lit(" "), F.lower("l_returnflag"), F.lit("  "))
+    return canonical_columns(
+        lines.select(
+            "l_orderkey",
+            "l_linenumber",
+            F.array(spaced, F.lit(""), "l_linestatus").alias("flags"),
+            F.create_map(F.lit("status"), F.lower("l_linestatus"), F.lit("Flag"), spaced).alias("by_name"),
+        ),
+        CanonicalOptions(empty_as_null=True, nested="by_options"),
+    )
+
+
+def canonical_struct(spark: SparkSession, sf: str) -> DataFrame:
+    """Fields in any order and case, NULL fields and NULL structs."""
+    lines = t.table(spark, sf, "lineitem")
+    flag = F.when(F.col("l_linenumber") % 3 != 0, F.col("l_returnflag"))
+    inner = F.when(F.col("l_linenumber") % 2 == 0, F.struct(flag.alias("z"), F.col("l_linenumber").alias("a")))
+    return canonical_columns(
+        lines.select(
+            "l_orderkey",
+            "l_linenumber",
+            F.struct(flag.alias("flag"), F.col("l_orderkey").alias("Key"), inner.alias("inner")).alias("whole"),
+            inner.alias("part"),
+        ),
+        CanonicalOptions(nested="by_options"),
+    )
+
+
 def row_fingerprint(name: str) -> Query:
     return lambda spark, sf: _hashes(t.table(spark, sf, name)).select(F.col(HASH).alias("row_hash"))
 
@@ -521,6 +571,9 @@ def queries() -> dict[str, Query]:
         "canonical_by_value": canonical_by_value,
         "canonical_exact_strings": canonical_exact_strings,
         "canonical_map": canonical_map,
+        "canonical_nested_by_value": canonical_nested_by_value,
+        "canonical_nested_fold": canonical_nested_fold,
+        "canonical_struct": canonical_struct,
         "canonical_nulls": fingerprint_nulls,
         "checksum_diff_orders": checksum_diff_orders,
         "checksum_diff_xxhash": checksum_diff_xxhash,
