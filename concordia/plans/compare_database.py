@@ -17,6 +17,7 @@ from ..constants import (
     CHECKSUM_REFINEMENT,
     COMMON,
     ERROR,
+    READ_SOURCE,
     TABLE_COUNT,
     TABLE_TIMEOUT_MINUTES,
     TIMEOUT,
@@ -26,7 +27,6 @@ from ..operators.inventory import table_inventory_diff
 from ..sources import jdbc
 from ..sources.catalogs import DatabaseConfig
 from ..sources.lake import list_lake_tables, one_spelling
-from ..sources.scratch import checkpointed
 from ..sources.verdict_store import read_verdicts, write_inventory, write_verdicts
 from .checks import Run, table_inventory_check
 from .compare_table import compare_table, error_text, plain_verdict, read_check
@@ -34,6 +34,8 @@ from .ledger import pending_tables
 
 
 _CANCEL_ATTEMPTS = 30
+# Tables of a lake folder probed at the same time.
+_PROBES = 16
 
 
 class SourceTables(Protocol):
@@ -53,7 +55,7 @@ class SourceTables(Protocol):
 
 class JdbcTables:
     """A live database; ``splits`` gives scan_jdbc arguments (such as partition_column)
-    for tables that are read in parallel, by OWNER.TABLE."""
+    for tables that are read in parallel, by OWNER.TABLE, in place of the catalogue's."""
 
     changes_while_read = True
 
@@ -62,7 +64,8 @@ class JdbcTables:
     ):
         self.spark, self.config = spark, config
         self.dialect = jdbc.dialect_of(config.db_type).name
-        self.splits = {k.upper(): v for k, v in (splits or {}).items()}
+        chosen = config.splits if splits is None else splits
+        self.splits = {k.upper(): v for k, v in chosen.items()}
         self._names: dict[str, list[tuple[str, str]]] = {}
 
     def tables(self) -> DataFrame:
@@ -93,30 +96,32 @@ class ParquetTables:
     def __init__(self, spark: SparkSession, base: str):
         self.spark, self.base = spark, base
         self._paths: dict[str, list[str]] = {}
+        self._columns: list[tuple[str, str, str]] = []
 
     def tables(self) -> DataFrame:
         listed = list_lake_tables(self.spark, self.base, missing_ok=False).collect()
         self._paths = {}
         for r in listed:
             self._paths.setdefault(r["table_name"], []).append(r["path"])
+        self._columns = []
         rows = []
-        for name in self._paths:
-            try:
-                rows.append((name, bool(self.scan(name).take(1))))
-            except Exception:  # noqa: BLE001 - an unreadable table is reported, not skipped
-                rows.append((name, None))
+        with ThreadPoolExecutor(max_workers=_PROBES) as pool:
+            for name, has_rows, fields in pool.map(self._probe, self._paths):
+                rows.append((name, has_rows))
+                self._columns += [(name, f.name, f.dataType.simpleString()) for f in fields]
         return self.spark.createDataFrame(rows, "table_name string, has_rows boolean")
 
+    def _probe(self, name: str) -> tuple[str, bool | None, list]:
+        """Whether a table has rows, and its fields: one read of its footer."""
+        try:
+            table = self.scan(name)
+            return name, bool(table.take(1)), table.schema.fields
+        except Exception:  # noqa: BLE001 - an unreadable table is reported, not skipped
+            return name, None, []
+
     def columns(self) -> DataFrame:
-        rows = []
-        for name in self._paths:
-            try:
-                fields = self.scan(name).schema.fields
-            except Exception:  # noqa: BLE001 - reported when the table is read
-                continue
-            rows += [(name, f.name, f.dataType.simpleString()) for f in fields]
         return self.spark.createDataFrame(
-            rows, "table_name string, column_name string, data_type string"
+            self._columns, "table_name string, column_name string, data_type string"
         )
 
     def scan(self, table_name: str) -> DataFrame:
@@ -162,12 +167,15 @@ class SuiteSettings:
     """``compare`` is passed on to compare_table, in place of the suite's own choices:
     a second level of checksums, and frozen row hashes for a live source.
     ``parallel_tables`` are compared at the same time, so that small tables do not leave
-    a cluster idle.
+    a cluster idle.  ``tables`` restricts the comparison of a database, by its upper-cased
+    name, to the tables listed; the table lists are still compared as a whole, and a listed
+    table that neither side has is an error.  Databases not named are compared whole.
     """
 
     time_limit_seconds: float = TABLE_TIMEOUT_MINUTES * 60
     parallel_tables: int = 1
     compare: dict[str, Any] | None = None
+    tables: dict[str, list[str]] | None = None
 
 
 def compare_database(
@@ -197,6 +205,13 @@ def compare_database(
         lake = list_lake_tables(spark, lake_base, missing_ok=False)
         inventory = table_inventory_diff(source.tables(), lake)
         common = inventory.filter(F.col("status") == COMMON).select("table_name")
+        wanted = (settings.tables or {}).get(run.db_name.upper())
+        unknown: list[str] = []
+        if wanted is not None:
+            chosen = spark.createDataFrame([(n.upper(),) for n in wanted], "table_name string").distinct()
+            common = common.join(chosen, "table_name", "left_semi")
+            absent = chosen.join(inventory, "table_name", "left_anti").orderBy("table_name")
+            unknown = [r["table_name"] for r in absent.collect()]
         listed = known.filter((F.col("table_name") == CATALOG_TABLE) & (F.col("status") != ERROR))
         if listed.isEmpty():
             store([table_inventory_check(inventory, run).first()])
@@ -210,12 +225,16 @@ def compare_database(
             known,
         )
         names = [r["table_name"] for r in todo.orderBy("table_name").collect()]
-        # One dictionary query for all tables; each comparison filters the stored result.
-        declared = checkpointed(source.columns().join(todo.select("table_name"), "table_name", "left_semi"))
+        # One dictionary query for all tables, whose rows are then at hand for each.
+        declared: dict[str, list[Row]] = {}
+        for r in source.columns().join(todo.select("table_name"), "table_name", "left_semi").collect():
+            declared.setdefault(r["table_name"], []).append(r)
     except Exception as error:  # noqa: BLE001 - without the lists nothing can be compared
         store([plain_verdict(run, CATALOG_TABLE, TABLE_COUNT, ERROR, error_text(error))])
         return read_verdicts(spark, verdict_root, run.run_id)
 
+    detail = "Listed for comparison, but neither side has it"
+    store([plain_verdict(run, name, READ_SOURCE, ERROR, detail) for name in unknown])
     options = {
         "reuse": "freeze_source" if source.changes_while_read else "rescan",
         "refinement": CHECKSUM_REFINEMENT,
@@ -237,7 +256,9 @@ def compare_database(
                 right,
                 run,
                 name,
-                source_columns=declared,
+                source_columns=spark.createDataFrame(
+                    declared.get(name, []), "table_name string, column_name string, data_type string"
+                ),
                 dialect=source.dialect,
                 emit=rows.append,
                 **options,

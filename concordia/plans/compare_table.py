@@ -14,15 +14,18 @@ from ..constants import (
     DETAIL_ERROR_CHARS,
     ERROR,
     OK,
+    ONLY_IN_SINK,
+    ONLY_IN_SOURCE,
     READ_SINK,
     READ_SOURCE,
     ROW_DIFF,
+    ROW_SAMPLE,
     VERDICT_SCHEMA,
 )
 from ..functions.canonical import DEFAULT_OPTIONS, CanonicalOptions, quoted
 from ..functions.fingerprint import XXHASH64, fingerprint
 from ..operators.checksum import bucket_checksum, bucket_compare, checksum_refined
-from ..operators.row_diff import row_diff, size_shuffle
+from ..operators.row_diff import diff_sample, row_diff, size_shuffle
 from ..operators.schema_diff import columns_of, schema_diff
 from ..sources.scratch import cached_hashes, checkpointed, frozen_hashes
 from .checks import Run, checksum_check, count_check, row_diff_check, schema_check
@@ -72,6 +75,8 @@ def compare_table(
     multiset: bool = True,
     reuse: str = "rescan",
     emit: Emit | None = None,
+    samples: Callable[[str, DataFrame], None] | None = None,
+    sample_size: int = ROW_SAMPLE,
 ) -> DataFrame:
     """SCHEMA, COUNT, CHECKSUM and ROW_DIFF verdicts of one table pair.
 
@@ -90,6 +95,9 @@ def compare_table(
     wide rows where differences are expected.  "freeze_source" stores those of the source as a table
     first, for a database that changes meanwhile or must not be read twice.
     ``emit`` is called with each verdict as soon as it is known.
+    ``samples`` is called with "source" and "sink" and at most ``sample_size`` rows found on
+    that side only (see ``diff_sample``) if rows differ; it must write or collect them before
+    it returns.  They hold row contents, so verdicts never do, and take one more scan.
     """
     if columns not in ("all", "common"):
         raise ValueError(f"columns must be 'all' or 'common', got {columns!r}")
@@ -161,6 +169,9 @@ def compare_table(
                 source_hashes, sink_hashes, differing, bucket_count * refinement, bucket_fn
             )
             timed(lambda: row_diff_check(diff, run, table_name, multiset))
+            if samples is not None:
+                samples("source", diff_sample(source, diff, ONLY_IN_SOURCE, sample_size, options))
+                samples("sink", diff_sample(sink, diff, ONLY_IN_SINK, sample_size, options))
     return spark.createDataFrame(rows, VERDICT_SCHEMA)
 
 

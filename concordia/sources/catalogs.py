@@ -21,7 +21,8 @@ class DatabaseConfig:
     """One database and its lake folder.
 
     A password of the form ``env:NAME`` is read from that environment variable when a
-    connection is made.  Credentials never appear in the printed form.
+    connection is made.  Credentials never appear in the printed form.  ``splits`` says
+    by OWNER.TABLE how tables are read in parallel, as arguments of ``scan_jdbc``.
     """
 
     name: str
@@ -31,6 +32,7 @@ class DatabaseConfig:
     password: str = field(repr=False)
     driver: str
     lake_base: str
+    splits: dict[str, dict] = field(default_factory=dict)
 
     def resolved_password(self) -> str:
         if self.password.startswith("env:"):
@@ -38,18 +40,44 @@ class DatabaseConfig:
         return self.password
 
 
+# The optional field of a database entry for tables to be read in parallel.
+_SPLITS = "array<struct<table string, partitionColumn string, numPartitions int, predicates array<string>>>"
+
+
+def _splits(entries: list | None) -> dict[str, dict]:
+    """scan_jdbc arguments by table; an entry has a partition column or predicates."""
+    found = {}
+    for e in entries or []:
+        if not e["table"] or (e["partitionColumn"] is None) == (e["predicates"] is None):
+            raise ValueError("a split needs a table and either partitionColumn or predicates")
+        if e["predicates"] is not None:
+            split = {"predicates": list(e["predicates"])}
+        else:
+            if (e["numPartitions"] or 0) < 1:
+                raise ValueError(f"the split of {e['table']} needs numPartitions")
+            split = {"partition_column": e["partitionColumn"], "num_partitions": e["numPartitions"]}
+        found[e["table"].strip().upper()] = split
+    return found
+
+
 def _trimmed(c: Column) -> Column:
     return F.btrim(c.cast("string"), F.lit(_BLANKS))
 
 
 def load_databases(spark: SparkSession, path: str) -> list[DatabaseConfig]:
-    """Read the database catalogue (one multi-line JSON file); every field must be filled."""
+    """Read the database catalogue (one multi-line JSON file); every field must be filled.
+
+    An entry may add ``splits``, a list of tables to be read in parallel: ``table`` with
+    ``partitionColumn`` and ``numPartitions``, or with ``predicates``.
+    """
     df = spark.read.option("multiLine", True).json(path)
     missing = [f for f in DATABASE_FIELDS if f not in df.columns]
     if missing:
         raise ValueError(f"database catalogue lacks {', '.join(missing)}")
     configs = []
-    for row in df.select([_trimmed(F.col(f)).alias(f) for f in DATABASE_FIELDS]).toLocalIterator():
+    splits = F.from_json(F.to_json("splits"), _SPLITS) if "splits" in df.columns else F.lit(None).cast(_SPLITS)
+    fields = [_trimmed(F.col(f)).alias(f) for f in DATABASE_FIELDS]
+    for row in df.select(*fields, splits.alias("splits")).toLocalIterator():
         blank = [f for f in DATABASE_FIELDS if not row[f]]
         if blank:
             raise ValueError(f"empty value for {', '.join(blank)} in the database catalogue")
@@ -62,6 +90,7 @@ def load_databases(spark: SparkSession, path: str) -> list[DatabaseConfig]:
                 password=row["password"],
                 driver=row["driver"],
                 lake_base=row["hdfsBasePath"],
+                splits=_splits(row["splits"]),
             )
         )
     return configs

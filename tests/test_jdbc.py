@@ -168,3 +168,13 @@ def test_one_bad_table_does_not_spoil_the_probe_of_others(spark):
         "A.FULL": True, "A.EMPTY": False, "A.BAD": None, "A.MORE": True,
     }
     assert len(fake.log) == 1 + len(names)
+
+
+def test_scan_uses_the_splits_of_the_catalogue():
+    from concordia.plans.compare_database import JdbcTables
+
+    spark = FakeSpark(None)
+    tables = JdbcTables(spark, config(splits={"app.t1": {"predicates": ["a = 1", "a <> 1"]}}))
+    tables._names = {"APP.T1": [("APP", "T1")]}
+    tables.scan("APP.T1")
+    assert spark.log[0]["predicates"] == ["a = 1", "a <> 1"]

@@ -124,6 +124,22 @@ def test_database_catalogue_needs_every_column(spark, tmp_path):
         load_databases(spark, write(tmp_path, [short]))
 
 
+def test_splits_of_the_database_catalogue(spark, tmp_path):
+    splits = [
+        {"table": "app.orders ", "partitionColumn": "ID", "numPartitions": 8},
+        {"table": "APP.LINES", "predicates": ["a = 1", "a <> 1 OR a IS NULL"]},
+    ]
+    first, second = load_databases(spark, write(tmp_path, [DATABASE | {"splits": splits}, DATABASE]))
+    assert first.splits == {
+        "APP.ORDERS": {"partition_column": "ID", "num_partitions": 8},
+        "APP.LINES": {"predicates": ["a = 1", "a <> 1 OR a IS NULL"]},
+    }
+    assert second.splits == {}
+    for bad in ({"table": "A.B"}, {"table": "A.B", "partitionColumn": "X"}, {"predicates": ["a = 1"]}):
+        with pytest.raises(ValueError, match="split"):
+            load_databases(spark, write(tmp_path, [DATABASE | {"splits": [bad]}]))
+
+
 def test_password_from_the_environment(spark, tmp_path, monkeypatch):
     monkeypatch.setenv("ERP_PASSWORD", "from-env")
     (config,) = load_databases(spark, write(tmp_path, [DATABASE | {"password": "env:ERP_PASSWORD"}]))

@@ -245,3 +245,47 @@ def test_time_limit_verdict(spark, two_sides):
     assert {r.check_type for r in rows if r.status == "ERROR"} == {"TIMEOUT"}
     stored = read_verdicts(spark, root, "r1").filter("check_type = 'TIMEOUT'").first()
     assert "0.01 seconds" in stored.detail
+
+
+def test_a_table_list_restricts_the_run(spark, table, tmp_path):
+    for base in ("source", "lake"):
+        for name in ("region", "nation", "part"):
+            table(name).write.parquet(f"{tmp_path}/{base}/app/{name}")
+    settings = SuiteSettings(tables={"ERP": ["app.region", "APP.GONE", "APP.REGION"]}, parallel_tables=2)
+    rows = compare_database(
+        spark, ParquetTables(spark, f"{tmp_path}/source"), f"{tmp_path}/lake", RUN, f"{tmp_path}/v", settings
+    ).collect()
+    assert {r.table_name: r.status for r in rows} == {"_CATALOG_": "OK", "APP.REGION": "OK", "APP.GONE": "ERROR"}
+
+
+def test_samples_are_handed_out_only_if_rows_differ(spark, table):
+    found = {}
+    copy = t.sql(spark, SF, t.ORDERS_COPY, "orders")
+    options = {"samples": lambda side, rows: found.setdefault(side, rows.collect()), "reuse": "freeze_source"}
+    compare_table(table("labels"), table("labels"), RUN, "L", **options)
+    assert found == {}
+    compare_table(table("orders"), copy, RUN, "O", sample_size=7, **options)
+    assert {side: len(rows) for side, rows in found.items()} == {"source": 7, "sink": 7}
+
+
+def test_command_line_settings_reach_the_suite(spark, tmp_path, monkeypatch):
+    import concordia.__main__ as entry
+
+    seen = {}
+
+    def compared(spark, configs, run_id, run_time, root, settings):
+        seen["settings"] = settings
+        return spark.createDataFrame([], read_verdicts(spark, root, run_id).schema)
+
+    monkeypatch.setattr(entry, "compare_databases", compared)
+    (tmp_path / "databases.json").write_text(json.dumps(CATALOGUE))
+    (tmp_path / "tables.json").write_text(json.dumps([{"database": "erp", "tables": ["a.t"]}]))
+    main([
+        f"{tmp_path}/databases.json", f"{tmp_path}/v", "--tables", f"{tmp_path}/tables.json", "--time-limit", "5",
+        "--ntz-zone", "UTC", "--numeric", "by_value", "--nested", "by_options", "--bucket-count", "64",
+    ])
+    settings = seen["settings"]
+    assert (settings.time_limit_seconds, settings.tables) == (300, {"ERP": ["A.T"]})
+    assert settings.compare["bucket_count"] == 64
+    chosen = settings.compare["options"]
+    assert (chosen.ntz_zone, chosen.numeric, chosen.nested) == ("UTC", "by_value", "by_options")

@@ -533,6 +533,14 @@ FROM ({t.PROGRESS_TABLES}) p ANTI JOIN (SELECT * FROM ({_STATES}) s WHERE state
 ON d.db_name = upper(p.db_name) AND d.table_name = upper(p.table_name)"""
 
     sql["compare_table_orders"] = _compare("orders", "APP.ORDERS", t.ORDERS_COPY)
+    sql["compare_table_declared"] = sql["compare_table_orders"].replace(
+        _plain("APP.ORDERS", "SCHEMA", "OK"),
+        _plain("APP.ORDERS", "SCHEMA", "MISMATCH", detail="O_CUSTKEY:MISMATCH"),
+    )
+    sql["compare_table_samples"] = (
+        f"SELECT *, 'source' AS side FROM ({sql['diff_sample_source']}) a "
+        f"UNION ALL SELECT *, 'sink' AS side FROM ({sql['diff_sample_sink']}) b"
+    )
     sql["compare_table_frozen_events"] = _compare("events", "APP.EVENTS", t.EVENTS_COPY_DUCKDB)
     sql["compare_table_clean_lineitem"] = _clean("APP.LINEITEM", "lineitem")
     sql["compare_table_common_columns"] = _clean("APP.ORDERS", "orders").replace(

@@ -506,6 +506,31 @@ def compare_table_orders(spark: SparkSession, sf: str) -> DataFrame:
     return compare_table(source, sink, RUN, "APP.ORDERS", bucket_fn=SHA_PREFIX).drop("duration_ms")
 
 
+def compare_table_declared(spark: SparkSession, sf: str) -> DataFrame:
+    """Types as an Oracle dictionary declares them, one of them of another category."""
+    source, sink = _orders_pair(spark, sf)
+    declared = spark.createDataFrame(
+        [("APP.ORDERS", name, declared) for name, declared in t.ORDERS_DECLARED.items()],
+        "table_name string, column_name string, data_type string",
+    )
+    return compare_table(
+        source, sink, RUN, "APP.ORDERS", source_columns=declared, dialect="oracle", bucket_fn=SHA_PREFIX
+    ).drop("duration_ms")
+
+
+def compare_table_samples(spark: SparkSession, sf: str) -> DataFrame:
+    """The row samples that a comparison hands out."""
+    source, sink = _orders_pair(spark, sf)
+    found: list[DataFrame] = []
+
+    def keep(side: str, rows: DataFrame) -> None:
+        shown = rows.withColumnsRenamed({HASH: "row_hash", "__row_text": "row_text"})
+        found.append(shown.withColumn("side", F.lit(side)))
+
+    compare_table(source, sink, RUN, "APP.ORDERS", samples=keep, sample_size=SAMPLE)
+    return found[0].unionByName(found[1])
+
+
 def compare_table_frozen_events(spark: SparkSession, sf: str) -> DataFrame:
     source, sink = _events_pair(spark, sf)
     return compare_table(
@@ -613,6 +638,8 @@ def queries() -> dict[str, Query]:
         "table_states": progress_states,
         "pending_tables": progress_pending,
         "compare_table_orders": compare_table_orders,
+        "compare_table_declared": compare_table_declared,
+        "compare_table_samples": compare_table_samples,
         "compare_table_frozen_events": compare_table_frozen_events,
         "compare_table_clean_lineitem": compare_table_clean_lineitem,
         "compare_table_common_columns": compare_table_common_columns,

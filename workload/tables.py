@@ -45,6 +45,13 @@ COLUMNS = {
     "conversations": {"conv_id": "int", "turn": "int", "role": "str", "text": "str"},
 }
 
+# The columns of orders as an Oracle dictionary might declare them; the key of the customer
+# is text there.
+ORDERS_DECLARED = {
+    "O_ORDERKEY": "NUMBER", "O_CUSTKEY": "VARCHAR2", "O_ORDERSTATUS": "CHAR", "O_TOTALPRICE": "NUMBER",
+    "O_ORDERDATE": "TIMESTAMP(6)", "O_ORDERPRIORITY": "VARCHAR2",
+}
+
 # Tables of free text.
 TEXT_TABLES = ["documents", "pages", "benchmark", "conversations"]
 
