@@ -9,6 +9,7 @@ for the model at hand.
 
 from __future__ import annotations
 
+import gc
 import re
 from array import array
 from collections.abc import Iterable, Iterator
@@ -82,7 +83,12 @@ class PieceIds(dict):
         yield from self._encoded(cuts)
 
     def _encoded(self, cuts: list[list[str]]) -> Iterator[np.ndarray]:
-        self._learn(set().union(*cuts))
+        # Millions of small lists, none in a cycle: looking for cycles only costs time.
+        gc.disable()
+        try:
+            self._learn(set().union(*cuts))
+        finally:
+            gc.enable()
         for cut in cuts:
             yield np.frombuffer(b"".join(map(self.__getitem__, cut)), dtype=self.dtype)
 
