@@ -218,21 +218,27 @@ def ball_links(nodes: DataFrame, parts: int = 4) -> DataFrame:
 
 
 def _grouped(docs: DataFrame, id_col: str, text: Column, shingle_words: int, parts: int) -> DataFrame:
-    """``docs`` (narrow columns) with ``fp`` and ``component_id``."""
+    """``docs`` (narrow columns) with ``fp``, ``root`` and ``component_id``.
+
+    ``root`` is the smallest fingerprint of the linked ones and tells groups apart, which
+    ids cannot do where they are null or repeated.
+    """
     narrow = [c for c in docs.columns if c != "text_"]
     prints = stored(docs.select(*narrow, fingerprint(text, shingle_words).alias("fp")), "prints")
     nodes = stored(prints.groupBy("fp").agg(F.min(id_col).alias("first")), "nodes")
     roots = components(ball_links(nodes.select("fp"), parts), "a", "b")
     linked = roots.join(nodes, roots["node"] == nodes["fp"]).select("fp", "root", "first")
     least = linked.groupBy("root").agg(F.min("first").alias("component_id"))
-    moved = linked.join(least, "root").select("fp", "component_id")
+    moved = linked.join(least, "root").select("fp", "root", "component_id")
     labels = stored(
         nodes.join(moved, "fp", "left").select(
-            F.col("fp").alias("label_fp"), F.coalesce("component_id", "first").alias("component_id")
+            F.col("fp").alias("label_fp"),
+            F.coalesce("root", "fp").alias("root"),
+            F.coalesce("component_id", "first").alias("component_id"),
         ),
         "labels",
     )
-    return prints.join(labels, prints["fp"] == labels["label_fp"]).select(*narrow, "fp", "component_id")
+    return prints.join(labels, prints["fp"] == labels["label_fp"]).select(*narrow, "fp", "root", "component_id")
 
 
 def near_duplicates(
@@ -251,7 +257,27 @@ def near_duplicates(
     columns are not read; an empty table gives an empty table.
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text_"))
-    return _grouped(rows, "doc_id", F.col("text_"), shingle_words, parts)
+    return _grouped(rows, "doc_id", F.col("text_"), shingle_words, parts).drop("root")
+
+
+def row_key(id_: Column, text: Column) -> Column:
+    """Hash of id and text, by which the rows that stay are found again."""
+    return F.md5(
+        F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("-")), text.isNull().cast("string"), text)
+    )
+
+
+def leaders_of(docs: DataFrame, key: Column, marked: DataFrame) -> DataFrame:
+    """Rows of ``docs`` that lead a group: ``marked`` has ``doc_id``, ``key_`` and ``root`` of all."""
+    leaders = marked.groupBy("root").agg(
+        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key_"))["key_"].alias("leader_key_")
+    )
+    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_"), key.alias("key_"))
+    return (
+        whole.join(stored(leaders.select("leader_key_"), "leaders"), F.col("key_") == F.col("leader_key_"))
+        .dropDuplicates(["key_"])
+        .select("row_.*")
+    )
 
 
 def keep_representatives(
@@ -263,21 +289,11 @@ def keep_representatives(
 ) -> DataFrame:
     """All columns of one document of each group: the one with the smallest id.
 
-    Rows that share the smallest id are told apart by a hash of id and text; rows that
-    agree in both count as one.  A group of null ids keeps one of its rows, too.
+    A group is what fingerprints link, whatever its ids: null or repeated ids neither join
+    texts nor part them.  Rows that share the smallest id are told apart by a hash of id
+    and text; rows that agree in both count as one.  A group of null ids keeps one row.
     """
     id_, text = F.col(id_col), F.col(text_col)
-    key = F.md5(
-        F.concat_ws(":", F.coalesce(id_.cast("string"), F.lit("-")), text.isNull().cast("string"), text)
-    )
+    key = row_key(id_, text)
     rows = docs.select(id_.alias("doc_id"), key.alias("key_"), text.alias("text_"))
-    marked = _grouped(rows, "doc_id", F.col("text_"), shingle_words, parts)
-    leaders = marked.groupBy("component_id").agg(
-        F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "key_"))["key_"].alias("leader_key_")
-    )
-    whole = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row_"), key.alias("key_"))
-    return (
-        whole.join(stored(leaders.select("leader_key_"), "leaders"), F.col("key_") == F.col("leader_key_"))
-        .dropDuplicates(["key_"])
-        .select("row_.*")
-    )
+    return leaders_of(docs, key, _grouped(rows, "doc_id", F.col("text_"), shingle_words, parts))

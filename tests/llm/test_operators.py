@@ -127,6 +127,22 @@ def test_one_row_of_each_group_stays(untidy):
     assert len(kept.collect()) == len({r.component_id for r in simhash.near_duplicates(untidy).collect()})
 
 
+def test_texts_of_null_and_repeated_ids_stay(spark):
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choice("abcdefghijklmnopqrst") for _ in range(30))
+    rows = [(i, text()) for i in (None, None, None, None, 7, 7, 8, 8, 1, 2)]
+    rows += [(None, rows[4][1].upper()), (None, rows[0][1]), (0, rows[8][1]), (None, None), (None, " ")]
+    roots = plain_components({plain_simhash(t) for _, t in rows})
+    groups = {}
+    for i, t in rows:
+        groups.setdefault(roots[plain_simhash(t)], []).append((i is None, i or 0))
+    kept = simhash.keep_representatives(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(kept) == len(groups) == 11
+    assert {roots[plain_simhash(r.text)]: (r.doc_id is None, r.doc_id or 0) for r in kept} == {
+        g: min(members) for g, members in groups.items()
+    }
+
+
 def test_toxicity_on_held_out_rows(spark, table):
     docs, labels = (table(n, "/root/testdata/sf0.1") for n in ("documents", "labels"))
     model = toxicity.fit(docs, labels.filter(~toxicity.held_out(F.col("doc_id"))))
