@@ -31,6 +31,9 @@ from pyspark.sql import types as T
 from .common import stored, values
 
 WINDOW = 10
+#: Words on either side of a window's rarest term within which op8 looks for its others:
+#: a window and half as many inserted words.
+NEAR = 15
 #: Words of a block; the block of one very long document may have more.
 BLOCK_WORDS = 1_000_000
 #: Words of a block that a filter keeps only while it is searched.
@@ -430,8 +433,16 @@ def _contaminated(chunk: Windows):
     return contaminated
 
 
-def digest(found: DataFrame) -> DataFrame:
-    """The columns by which two searches are compared; ``items_sha256`` hashes the item ids."""
+def digest(found: DataFrame, proximity: bool = False) -> DataFrame:
+    """The columns by which two searches are compared; the hashes are of the item ids.
+
+    With ``proximity``, ``n_near_items`` and ``near_items_sha256`` follow; proximity matches
+    do not count for ``contaminated``.
+    """
+    near = [
+        F.size("near_items").cast("long").alias("n_near_items"),
+        F.sha2(F.array_join("near_items", ","), 256).alias("near_items_sha256"),
+    ]
     return found.select(
         "doc_id",
         "n_words",
@@ -439,6 +450,5 @@ def digest(found: DataFrame) -> DataFrame:
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
+        *(near if proximity else []),
     )
-
-

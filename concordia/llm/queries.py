@@ -64,7 +64,8 @@ def op7_packing(spark: SparkSession, sf: str) -> DataFrame:
 
 def op8_decontamination(spark: SparkSession, sf: str) -> DataFrame:
     index = decontaminate.build_index(source_table(spark, sf, "documents"))
-    return decontaminate.digest(decontaminate.search(index, source_table(spark, sf, "benchmark")))
+    found = decontaminate.search(index, source_table(spark, sf, "benchmark"), near=decontaminate.NEAR)
+    return decontaminate.digest(found, proximity=True)
 
 
 def op9_personal_data(spark: SparkSession, sf: str) -> DataFrame:

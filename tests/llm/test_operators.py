@@ -363,6 +363,19 @@ def test_proximity_matches(spark):
     assert {r.doc_id: r.near_items for r in found} == {1: ["i"], 2: [], 3: [], 4: []}
 
 
+def test_registered_search_has_proximity_matches(spark, tmp_path):
+    """Reordered and inserted words, neither of which is an exact window."""
+    item = "alpha bravo charlie delta echo foxtrot golf hotel india juliet"
+    other = " ".join(reversed(item.split()))
+    texts = ["x " + item + " y", other, item.replace("echo", "echo x y z"), item.replace("golf", "gulf"), None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([("i", item)], "item_id string, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    rows = sorted(queries.op8_decontamination(spark, str(tmp_path)).collect())
+    assert [r.n_items for r in rows] == [1, 0, 0, 0, 0]
+    assert [r.n_near_items for r in rows] == [1, 1, 1, 0, 0]
+    assert rows[1].near_items_sha256 == hashlib.sha256(b"i").hexdigest()
+
+
 PATTERNS = {
     "email": r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+",
     "ip": r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)",
