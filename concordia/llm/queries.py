@@ -11,10 +11,13 @@ from pyspark.sql import functions as F
 from . import (
     chat,
     decontaminate,
+    hard_negatives,
     mixing,
+    oracles,
     packing,
     pii,
     quality_list,
+    resampling,
     simhash,
     token_count,
     toxicity,
@@ -80,6 +83,16 @@ def op10_chat(spark: SparkSession, sf: str) -> DataFrame:
     return chat.repair(source_table(spark, sf, "conversations"))
 
 
+def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
+    vectors, number = source_table(spark, sf, "embeddings"), F.col("vec_id")
+    label = F.when(number % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", label), anchor=number % 50 == 0)
+
+
+def op13_resampling(spark: SparkSession, sf: str) -> DataFrame:
+    return resampling.resample(source_table(spark, sf, "documents"), source_table(spark, sf, "benchmark"))
+
+
 def queries() -> dict[str, Query]:
     return {
         f.__name__: f
@@ -94,9 +107,11 @@ def queries() -> dict[str, Query]:
             op8_decontamination,
             op9_personal_data,
             op10_chat,
+            op12_hard_negatives,
+            op13_resampling,
         )
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return oracles.oracle_sql()
