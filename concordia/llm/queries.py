@@ -12,6 +12,7 @@ from . import (
     chat,
     decontaminate,
     hard_negatives,
+    language_model,
     mixing,
     oracles,
     packing,
@@ -83,6 +84,10 @@ def op10_chat(spark: SparkSession, sf: str) -> DataFrame:
     return chat.repair(source_table(spark, sf, "conversations"))
 
 
+def op11_language_model(spark: SparkSession, sf: str) -> DataFrame:
+    return language_model.scored(source_table(spark, sf, "documents"))
+
+
 def op12_hard_negatives(spark: SparkSession, sf: str) -> DataFrame:
     vectors, number = source_table(spark, sf, "embeddings"), F.col("vec_id")
     label = F.when(number % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -107,6 +112,7 @@ def queries() -> dict[str, Query]:
             op8_decontamination,
             op9_personal_data,
             op10_chat,
+            op11_language_model,
             op12_hard_negatives,
             op13_resampling,
         )
