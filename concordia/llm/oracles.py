@@ -70,5 +70,47 @@ SELECT doc_id, n_features, weight, score,
 FROM scored LEFT JOIN placed USING (r)"""
 
 
+# Windows of a document are looked up by their text, for every length that an item has.
+DECONTAMINATION = f"""
+WITH item AS (
+  SELECT row_number() OVER () AS item, name, w
+  FROM (SELECT DISTINCT coalesce(item_id::VARCHAR, '') AS name, text, {_LETTER_WORDS} AS w FROM benchmark)
+  WHERE len(w) > 0),
+cut AS (
+  SELECT item, name, least(len(w), 10) AS n, w, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS i FROM item),
+wanted AS (SELECT DISTINCT item, name, n, array_to_string(w[i : i + n - 1], ' ') AS f FROM cut),
+d AS (SELECT row_number() OVER () AS r, doc_id, {_LETTER_WORDS} AS w FROM documents),
+place AS (
+  SELECT r, n, i, array_to_string(w[i : i + n - 1], ' ') AS f
+  FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM d, (SELECT DISTINCT n FROM wanted))),
+hit AS (SELECT r, item, name, i, n FROM place JOIN wanted USING (n, f)),
+covered AS (SELECT r, count(DISTINCT p) AS n_hit FROM (SELECT r, unnest(range(i, i + n)) AS p FROM hit) GROUP BY r),
+named AS (
+  SELECT r, count(*) AS n_items, string_agg(name, ',' ORDER BY name) AS names
+  FROM (SELECT DISTINCT r, item, name FROM hit) GROUP BY r),
+token AS (SELECT r, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS p FROM d),
+often AS (SELECT t, count(*) AS c FROM token GROUP BY t),
+rarest AS (
+  SELECT item, name, f, first(t ORDER BY c, t) AS t
+  FROM (SELECT item, name, f, unnest(list_distinct(string_split(f, ' '))) AS t FROM wanted) LEFT JOIN often USING (t)
+  GROUP BY item, name, f HAVING count(*) = count(c)),
+near_hit AS (
+  SELECT DISTINCT r, item, name FROM rarest JOIN token USING (t) JOIN d USING (r)
+  WHERE len(list_filter(string_split(f, ' '),
+                        lambda x: NOT list_contains(w[greatest(p - 15, 1) : p + 15], x))) = 0),
+close AS (
+  SELECT r, count(*) AS n_near_items, string_agg(name, ',' ORDER BY name) AS near_names FROM near_hit GROUP BY r)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(names, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AS contaminated,
+       coalesce(n_near_items, 0)::BIGINT AS n_near_items, sha256(coalesce(near_names, '')) AS near_items_sha256
+FROM d LEFT JOIN covered USING (r) LEFT JOIN named USING (r) LEFT JOIN close USING (r)"""
+
+
 def oracle_sql() -> dict[str, str]:
-    return {"op12_hard_negatives": HARD_NEGATIVES, "op13_resampling": RESAMPLING}
+    return {
+        "op8_decontamination": DECONTAMINATION,
+        "op12_hard_negatives": HARD_NEGATIVES,
+        "op13_resampling": RESAMPLING,
+    }
