@@ -13,8 +13,9 @@ composition is that of a random sample without replacement.  A shard's draw is a
 positions in each source's order, disjoint from all others, and every task finds it from
 the seed alone.  Rows are shuffled locally, by hash within their shard.
 
-Only one row per source passes through the driver, with one number per shard: sources and
-shards are catalogues of the mix, not data.
+The number of shards follows from the words to be taken.  Only one row per source passes
+through the driver, with one number per shard: sources and shards are catalogues of the
+mix, not data.
 """
 
 from __future__ import annotations
@@ -26,19 +27,23 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import WORD, n_words, stored
+from .common import WORD, n_words, stored, values
 
 WEIGHTS = (3.0, 1.0, 2.0)
 SHARE = 1.5
 MOST_PASSES = 2
 PIECE_WORDS = 4096
 BLOCK_WORDS = 16_384
-#: Blocks of a source at most; those of larger sources have more words.
-MOST_BLOCKS = 1 << 16
-SHARDS = 64
+#: Blocks of a source, and of all sources, at most; beyond that blocks have more words.
+MOST_BLOCKS = 1 << 20
+ALL_BLOCKS = 1 << 28
+#: Words of an output shard, and parts of a shard that tasks may shuffle apart.
+SHARD_WORDS = 1 << 25
+SHARD_PARTS = 16
 SEED = 20_240_229
 
 
@@ -132,9 +137,12 @@ def plan_mix(
     totals.sort(key=lambda r: (r["source"] is None, r["source"] or ""))
     words = [int(r["size"]) for r in totals]
     wanted = targets(words, [weights[i % len(weights)] for i in range(len(words))], share, most)
-    plan = []
-    for row, size, target in zip(totals, words, wanted):
-        blocks = min(MOST_BLOCKS, 1 << max(0, math.ceil(math.log2(max(1.0, size / BLOCK_WORDS)))))
+    plan, most_blocks = [], MOST_BLOCKS
+    own = [1 << max(0, math.ceil(math.log2(max(1.0, size / BLOCK_WORDS)))) for size in words]
+    while most_blocks > 1 and sum(min(most_blocks, b) for b in own) > ALL_BLOCKS:
+        most_blocks //= 2
+    for row, size, target, blocks in zip(totals, words, wanted, own):
+        blocks = min(most_blocks, blocks)
         quota = min(round(target), most * size)
         plan.append(SourceShare(row["source"], size, target, blocks, *(divmod(quota, size) if size else (0, 0))))
     parted = [p for p in plan if p.rest]
@@ -221,34 +229,6 @@ def with_shares(sizes: DataFrame, plan: list[SourceShare]) -> DataFrame:
     return sizes.join(F.broadcast(params), _null_safe(F.col("source"), "s")).drop("s")
 
 
-def taken(seed: int = SEED) -> Column:
-    """Words that the mix takes of a document, repeats counted."""
-    return F.col("passes") * F.col("size") + F.aggregate(
-        _numbers(), F.lit(0).cast("long"), lambda total, number: total + _taken_of_piece(number, seed)
-    )
-
-
-def mix_report(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    source_col: str = "source",
-    **settings,
-) -> DataFrame:
-    """``doc_id``, ``size``, ``source_size``, ``target``, ``taken`` per document.
-
-    Null texts have size 0, and so nothing is taken of them; a null source is a source of
-    its own.  Rows that agree in id and text are taken alike, which may leave the last
-    words of a target untaken, fewer than there are such rows.  Other columns are not
-    read; an empty table gives an empty table.
-    """
-    sizes = stored(sized(docs, id_col, text_col, source_col), "sizes")
-    plan = plan_mix(sizes, **settings)
-    return with_shares(sizes, plan).select(
-        "doc_id", "size", "source_size", "target", taken(settings.get("seed", SEED)).alias("taken")
-    )
-
-
 def shard_draw(shard: int, drawn: np.ndarray, shards: int, seed: int) -> np.ndarray:
     """First position of each source that a shard draws, found along its path in the tree.
 
@@ -272,7 +252,7 @@ def shard_draw(shard: int, drawn: np.ndarray, shards: int, seed: int) -> np.ndar
 
 
 def shard_starts(plan: list[SourceShare], shards: int, seed: int, spark) -> np.ndarray:
-    """One row per shard, one column per source: where the shard's draw begins."""
+    """One column per source: where the draw of each shard begins, and where that of the last ends."""
     drawn = np.array([p.drawn for p in plan], dtype=np.int64)
 
     def draw(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -281,20 +261,117 @@ def shard_starts(plan: list[SourceShare], shards: int, seed: int, spark) -> np.n
             yield pd.DataFrame({"shard": batch["id"], "starts": starts})
 
     rows = spark.range(shards).mapInPandas(draw, "shard long, starts array<long>").collect()
-    return np.array([r["starts"] for r in sorted(rows)], dtype=np.int64).reshape(shards, len(plan))
+    begins = np.array([r["starts"] for r in sorted(rows)], dtype=np.int64).reshape(shards, len(plan))
+    return np.concatenate([begins, drawn[None, :]])
+
+
+def shard_count(plan: list[SourceShare]) -> int:
+    """Shards of about ``SHARD_WORDS`` words each."""
+    return max(1, math.ceil(sum(p.target for p in plan) / SHARD_WORDS))
+
+
+def drawn_pieces(seed: int = SEED) -> Column:
+    """The pieces that a mix draws of a document: number, words and position in its source.
+
+    A document that is drawn several times has a piece for each turn.
+    """
+
+    def piece(number: Column, turn: Column, words: Column) -> Column:
+        block = _piece_hash(F.col("key"), number, F.col("blocks"), seed)[0]
+        return F.struct(
+            number.alias("number"),
+            words.alias("words"),
+            (turn * F.col("blocks") + _position(block, F.col("blocks"), turn)).alias("position"),
+        )
+
+    turns = F.when(F.col("passes") > 0, F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)).otherwise(
+        F.array().cast("array<bigint>")
+    )
+    full = F.flatten(
+        F.transform(
+            turns, lambda turn: F.transform(_numbers(), lambda n: piece(n, turn, _piece_words(F.col("size"), n)))
+        )
+    )
+    part = F.transform(_numbers(), lambda n: piece(n, F.col("passes"), _taken_of_piece(n, seed)))
+    return F.filter(F.concat(full, part), lambda p: p["words"] > 0)
+
+
+def shards_of(starts: np.ndarray, source: Column, positions: Column) -> Column:
+    """Shard that draws each of the positions of a source; -1 beyond what the tree gave out."""
+
+    @F.arrow_udf("array<int>")
+    def find(places: pa.Array, position: pa.Array) -> pa.Array:
+        values_, offsets = position.values.to_numpy(), position.offsets.to_numpy()
+        source_of = np.repeat(places.to_numpy(zero_copy_only=False), np.diff(offsets))
+        values_ = values_[offsets[0] : offsets[-1]]
+        found = np.full(len(values_), -1, dtype=np.int32)
+        for s in np.unique(source_of):
+            mine = source_of == s
+            at = np.searchsorted(starts[:, s], values_[mine], side="right") - 1
+            found[mine] = np.where(at < len(starts) - 1, at, -1)
+        return pa.ListArray.from_arrays(pa.array(offsets - offsets[0], pa.int32()), pa.array(found))
+
+    return find(source, positions)
+
+
+def shard_quotas(plan: list[SourceShare], starts: np.ndarray, spark) -> DataFrame:
+    """``shard``, ``source`` and ``blocks``: how many blocks of a source the tree gives a shard."""
+    counts = np.diff(starts, axis=0)
+    rows = [(int(i), p.source, int(counts[i, s])) for i in range(len(counts)) for s, p in enumerate(plan)]
+    return spark.createDataFrame(rows, "shard int, source string, blocks long")
+
+
+def mix_report(
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    source_col: str = "source",
+    shards: int | None = None,
+    seed: int = SEED,
+    **settings,
+) -> DataFrame:
+    """``doc_id``, ``size``, ``source_size``, ``target``, ``taken``, ``shards`` per document.
+
+    ``taken`` counts the words of the pieces that the splitting tree gives to some shard,
+    ``shards`` are these shards.  Null texts have size 0, and so nothing is taken of them;
+    a null source is a source of its own.  Rows that agree in id and text are taken alike,
+    which may leave the last words of a target untaken, fewer than there are such rows.
+    Other columns are not read; an empty table gives an empty table.
+    """
+    sizes = stored(sized(docs, id_col, text_col, source_col), "sizes")
+    plan = plan_mix(sizes, seed=seed, **settings)
+    starts = shard_starts(plan, shards or shard_count(plan), seed, docs.sparkSession)
+    pieces = with_shares(sizes, plan).withColumn("pieces", drawn_pieces(seed))
+    found = pieces.withColumn("found", shards_of(starts, F.col("place_of_source"), F.col("pieces.position")))
+    given = F.filter(F.arrays_zip("pieces", "found"), lambda x: x["found"] >= 0)
+    total = F.aggregate(given, F.lit(0).cast("long"), lambda n, x: n + x["pieces"]["words"])
+    return found.select(
+        "doc_id",
+        "size",
+        "source_size",
+        "target",
+        total.alias("taken"),
+        F.array_sort(F.array_distinct(F.transform(given, lambda x: x["found"]))).alias("shards"),
+    )
 
 
 _WORDS = re.compile(WORD)
 
 
-def cut_text(text: str, first: int, words: int, size: int) -> str:
-    """The words from ``first`` on, with the white space after them that a longer piece has."""
-    if first == 0 and words == size:
-        return text
+def cut_texts(text: str, numbers: list[int], words: list[int], size: int) -> list[str]:
+    """The first words of some pieces, with the white space after them that a longer piece has.
+
+    A piece begins at a multiple of ``PIECE_WORDS``; the first one and the last one have
+    what stands before the first word and after the last.
+    """
     starts = [m.start() for m in _WORDS.finditer(text)]
-    begin = 0 if first == 0 else starts[first]
-    end = len(text) if first + words == size else starts[first + words]
-    return text[begin:end]
+    out = []
+    for number, n in zip(numbers, words):
+        first = number * PIECE_WORDS
+        begin = 0 if first == 0 else starts[first]
+        end = len(text) if first + n == size else starts[first + n]
+        out.append(text[begin:end])
+    return out
 
 
 def mix(
@@ -302,7 +379,7 @@ def mix(
     id_col: str = "doc_id",
     text_col: str = "text",
     source_col: str = "source",
-    shards: int = SHARDS,
+    shards: int | None = None,
     seed: int = SEED,
     **settings,
 ) -> DataFrame:
@@ -310,75 +387,54 @@ def mix(
 
     A row is a piece of a document: all of it, unless it has more than ``PIECE_WORDS``
     words or is the one with which a target is met; the pieces of a whole pass joined are
-    the text.  Rows come partitioned by shard and in their shuffled order.  Texts without
-    a word are never drawn.
+    the text.  A text is cut into all of its pieces at once, so one of any length is read
+    through once.  Rows of a shard are in order of their place, which is random; a shard is
+    shuffled in ``SHARD_PARTS`` parts that may lie in different tasks, one after the other.
+    Texts without a word, null ones among them, are never drawn; an empty table gives an
+    empty table.
     """
     spark, names = docs.sparkSession, docs.columns
     plan = plan_mix(stored(sized(docs, id_col, text_col, source_col), "sizes"), seed=seed, **settings)
-    starts = shard_starts(plan, shards, seed, spark) if plan else np.zeros((shards, 0), np.int64)
-
-    whole = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in names]).alias("doc"),
-        F.col(source_col).cast("string").alias("source"),
-        n_words(F.col(text_col)).alias("size"),
-        _row_key(id_col, text_col).alias("key"),
-    )
-    block = lambda number: _piece_hash(F.col("key"), number, F.col("blocks"), seed)[0]
-
-    def piece(number: Column, turn: Column, words: Column) -> Column:
-        return F.struct(
-            number.alias("number"),
-            words.alias("words"),
-            (turn * F.col("blocks") + _position(block(number), F.col("blocks"), turn)).alias("position"),
-        )
-
-    full = F.flatten(
-        F.transform(
-            F.when(F.col("passes") > 0, F.sequence(F.lit(0).cast("long"), F.col("passes") - 1)).otherwise(
-                F.array().cast("array<bigint>")
-            ),
-            lambda turn: F.transform(_numbers(), lambda n: piece(n, turn, _piece_words(F.col("size"), n))),
-        )
-    )
-    part = F.transform(_numbers(), lambda n: piece(n, F.col("passes"), _taken_of_piece(n, seed)))
-    drawn = (
-        with_shares(whole, plan)
-        .select("doc", "size", "key", "place_of_source", F.explode(F.concat(full, part)).alias("piece"))
-        .filter("piece.words > 0")
-    )
-
-    @F.pandas_udf("int")
-    def shard_of(source: pd.Series, position: pd.Series) -> pd.Series:
-        found = np.zeros(len(source), dtype=np.int32)
-        for s in source.unique():
-            mine = (source == s).to_numpy()
-            found[mine] = np.searchsorted(starts[:, s], position[mine].to_numpy(), side="right") - 1
-        return pd.Series(found)
-
-    @F.pandas_udf("string")
-    def text_of(text: pd.Series, number: pd.Series, words: pd.Series, size: pd.Series) -> pd.Series:
-        return pd.Series(
-            [cut_text(t, int(n) * PIECE_WORDS, int(w), int(s)) for t, n, w, s in zip(text, number, words, size)]
-        )
-
-    piece_col = F.col("piece")
-    is_whole = piece_col["words"] == F.col("size")
-    cut = F.when(
-        ~is_whole,
-        text_of(
-            F.when(~is_whole, F.col("doc")[text_col]).otherwise(F.lit("")),
-            F.when(~is_whole, piece_col["number"]).otherwise(0),
-            F.when(~is_whole, piece_col["words"]).otherwise(0),
-            F.when(~is_whole, F.col("size")).otherwise(0),
+    starts = shard_starts(plan, shards or shard_count(plan), seed, spark)
+
+    @F.arrow_udf("array<string>")
+    def cut(text: pa.Array, numbers: pa.Array, words: pa.Array, size: pa.Array) -> pa.Array:
+        rows = zip(*(values(a) for a in (text, numbers, words, size)))
+        return pa.array([None if t is None else cut_texts(t, n, w, s) for t, n, w, s in rows], pa.list_(pa.string()))
+
+    others = [c for c in names if c != text_col]
+    rows = with_shares(
+        docs.select(
+            F.struct(*[F.col(f"`{c}`") for c in others] or [F.lit(0)]).alias("rest"),
+            F.col(text_col).alias("whole"),
+            F.col(source_col).cast("string").alias("source"),
+            n_words(F.col(text_col)).alias("size"),
+            _row_key(id_col, text_col).alias("key"),
         ),
-    ).otherwise(F.col("doc")[text_col])
-    fields = [cut.alias(c) if c == text_col else F.col("doc")[c].alias(c) for c in names]
+        plan,
+    ).select("rest", "whole", "size", "key", "place_of_source", drawn_pieces(seed).alias("pieces"))
+    is_cut = F.exists("pieces", lambda p: p["words"] != F.col("size"))
+    pieces = F.col("pieces")
+    texts = cut(F.when(is_cut, F.col("whole")), pieces["number"], pieces["words"], F.col("size"))
+    # Only texts that stay whole travel through the explode.
+    drawn = rows.select(
+        "rest",
+        "key",
+        F.when(~is_cut, F.col("whole")).alias("whole"),
+        F.explode(
+            F.arrays_zip(
+                pieces.alias("piece"),
+                shards_of(starts, F.col("place_of_source"), pieces["position"]).alias("shard"),
+                F.coalesce(texts, F.transform(pieces, lambda _: F.lit(None).cast("string"))).alias("text"),
+            )
+        ).alias("x"),
+    )
+    fields = [
+        F.coalesce("x.text", "whole").alias(c) if c == text_col else F.col("rest")[c].alias(c) for c in names
+    ]
+    place = F.xxhash64(F.lit(seed), F.col("x.piece.position"), "key", F.col("x.piece.number"))
     return (
-        drawn.select(
-            F.struct(*fields).alias("doc"),
-            shard_of("place_of_source", piece_col["position"]).alias("shard"),
-            F.xxhash64(F.lit(seed), piece_col["position"], "key", piece_col["number"]).alias("place"),
-        )
-        .repartition("shard")
-        .sortWithinPartitions("shard", "place")
+        drawn.select(F.struct(*fields).alias("doc"), F.col("x.shard").alias("shard"), place.alias("place"))
+        .repartition("shard", F.pmod("place", F.lit(SHARD_PARTS)))
+        .sortWithinPartitions("shard", F.pmod("place", F.lit(SHARD_PARTS)), "place")
     )

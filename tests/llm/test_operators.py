@@ -282,7 +282,8 @@ def test_shards_draw_disjoint_runs():
 
 def test_cut_pieces_restore_a_text():
     size = len(WORDS.findall(LONG))
-    pieces = [mixing.cut_text(LONG, s, min(4096, size - s), size) for s in range(0, size, 4096)]
+    numbers = list(range(-(-size // 4096)))
+    pieces = mixing.cut_texts(LONG, numbers, [min(4096, size - 4096 * n) for n in numbers], size)
     assert len(pieces) > 1 and "".join(pieces) == LONG
 
 
@@ -324,7 +325,12 @@ def test_decontamination_against_brute_force(spark, untidy, empty, table, monkey
     # Small blocks and chunks: several passes over several blocks.
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 3000)
     monkeypatch.setattr(decontaminate, "CHUNK", 700)
-    extra = [("s", "a b a"), ("n", None), ("e", "- -"), (None, "w5 x5")]
+    # Items are rows: windows of several lengths under one id, and under none.
+    extra = [
+        ("s", "a b a"), ("n", None), ("e", "- -"), (None, "w5 x5"),
+        ("x", "w1 x1 w2 x2 w3 x3 w4 x4 w5 x5"), ("x", "w2 x2 w3"), ("x", "w2 x2 w3"),
+        (None, "w9 x9 w10 x10 w11 x11 w12 x12 w13 x0"), (None, "w10 x10 w11"), (None, None),
+    ]
     bench = table("benchmark").select(F.col("item_id").cast("string"), "text").union(
         spark.createDataFrame(extra, "item_id string, text string")
     )
@@ -335,7 +341,7 @@ def test_decontamination_against_brute_force(spark, untidy, empty, table, monkey
     for item, text in bench.select(F.col("item_id").cast("string"), "text").collect():
         ws = words(text)
         for i in range(max(1, len(ws) - 9) if ws else 0):
-            windows.setdefault(tuple(ws[i : i + 10]), set()).add(item)
+            windows.setdefault(tuple(ws[i : i + 10]), set()).add((item, text))
     lengths, expected = {len(w) for w in windows}, []
     for i, text in docs.collect():
         ws, items, hit = words(text), set(), set()
@@ -344,7 +350,7 @@ def test_decontamination_against_brute_force(spark, untidy, empty, table, monkey
                 if (found := windows.get(tuple(ws[at : at + n]))) is not None:
                     items |= found
                     hit |= set(range(at, at + n))
-        names = sorted(x for x in items if x is not None)
+        names = sorted(x or "" for x, _ in items)
         digest = hashlib.sha256(",".join(names).encode()).hexdigest()
         expected.append((str(i), len(ws), len(hit), len(names), digest, bool(hit)))
     index = decontaminate.build_index(docs)
@@ -352,6 +358,7 @@ def test_decontamination_against_brute_force(spark, untidy, empty, table, monkey
     assert sorted((str(r[0]), *r[1:]) for r in rows) == sorted(expected)
     kept = decontaminate.decontaminated(docs, bench)
     assert kept.columns == docs.columns and kept.count() == sum(not e[-1] for e in expected)
+    assert decontaminate.decontaminated(docs, bench.limit(0)).count() == docs.count()
     assert decontaminate.search(decontaminate.build_index(empty), bench).count() == 0
     assert decontaminate.search(index, bench.limit(0)).filter("n_hit > 0").count() == 0
 
@@ -491,7 +498,7 @@ def test_one_conversation_in_many_runs(spark):
 def test_queries_return_their_contract(spark, sf_dir):
     documents = spark.read.parquet(f"{sf_dir}/documents.parquet").count()
     found = queries.queries()
-    assert [n.split("_")[0] for n in found] == [f"op{i}" for i in range(1, 11)]
+    assert [n.split("_")[0] for n in found] == [f"op{i}" for i in range(1, 14)]
     for name in ("op3_quality_rules", "op8_decontamination", "op9_personal_data"):
         assert found[name](spark, sf_dir).count() == documents
     assert found["op10_chat"](spark, sf_dir).count() > 0
