@@ -11,7 +11,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordia.llm import decontaminate, mixing, near_copies, packing, toxicity
+from concordia.llm import decontaminate, mixing, packing, simhash, toxicity
 from concordia.llm.common import source_table, stored
 
 TOKENIZER = "piece_bpe_32k.model"
@@ -24,8 +24,8 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row, that of the smallest id, of each group of texts with similar 5-word shingles."""
-    return near_copies.keep_one_of_each(docs, shingle_words=5, similarity=0.8)
+    """One row, that of the smallest id, of each group of texts with near fingerprints."""
+    return simhash.keep_representatives(docs, shingle_words=3)
 
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
