@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..constants import BUCKET, CHECKSUM_BUCKETS, CHECKSUM_REFINEMENT, HASH
+from ..constants import BROADCAST_BUCKETS, BUCKET, CHECKSUM_BUCKETS, CHECKSUM_REFINEMENT, HASH
 from ..functions.fingerprint import XXHASH64, bucket_of, hash_number, with_bucket
 
 # A 64-bit number is summed as three pieces of at most 22 bits.  Their bigint sums stay
@@ -94,10 +94,12 @@ def checksum_refined(
 
     ``coarse`` holds the differing ``bucket_id`` of ``bucket_count`` buckets; each is cut
     into ``refinement`` parts, so the ids are those of ``bucket_count * refinement``
-    buckets.  Map tasks shuffle at most that many rows however large the table is, and
+    buckets.  ``coarse`` is broadcast if ``bucket_count`` or its count proves it small.  Map tasks shuffle at most that many rows however large the table is, and
     rows of clean coarse buckets are dropped before they are grouped.
     """
-    ids = F.broadcast(coarse.select(F.col("bucket_id").alias(BUCKET)))
+    ids = coarse.select(F.col("bucket_id").alias(BUCKET))
+    if bucket_count <= BROADCAST_BUCKETS or coarse.count() <= BROADCAST_BUCKETS:
+        ids = F.broadcast(ids)
 
     def within(hashes: DataFrame) -> DataFrame:
         return with_bucket(hashes, bucket_count, bucket_fn).join(ids, BUCKET, "left_semi").select(HASH)

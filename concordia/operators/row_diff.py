@@ -45,6 +45,7 @@ def row_diff(
     differing_buckets: DataFrame | None = None,
     bucket_count: int = CHECKSUM_BUCKETS,
     bucket_fn: str = XXHASH64,
+    differing_count: int | None = None,
 ) -> DataFrame:
     """(row_hash, src_count, sink_count, diff_kind) of every row whose counts differ.
 
@@ -55,13 +56,14 @@ def row_diff(
 
     ``differing_buckets`` (a frame with bucket_id, as from ``checksum_diff``) drops rows
     of matching buckets before the shuffle.  It only saves work, the result is the same
-    without it, and it is used only while ``bucket_count`` proves it small enough to be
-    broadcast.
+    without it, and it is used only while ``differing_count``, its number of rows, or else
+    ``bucket_count`` proves it small enough to be broadcast.
     """
     stacked = source.select(HASH, F.lit(1).alias("in_source")).unionAll(
         sink.select(HASH, F.lit(0).alias("in_source"))
     )
-    if differing_buckets is not None and bucket_count <= BROADCAST_BUCKETS:
+    most = bucket_count if differing_count is None else differing_count
+    if differing_buckets is not None and most <= BROADCAST_BUCKETS:
         wanted = differing_buckets.select(F.col("bucket_id").alias(BUCKET))
         stacked = with_bucket(stacked, bucket_count, bucket_fn).join(
             F.broadcast(wanted), BUCKET, "left_semi"

@@ -2,9 +2,11 @@ from .checks import (
     Run,
     checksum_check,
     count_check,
+    footer_counts,
     row_counts,
     row_diff_check,
     schema_check,
+    schema_checks,
     table_inventory_check,
 )
 from .compare_database import (
@@ -28,6 +30,7 @@ __all__ = [
     "compare_databases",
     "compare_table",
     "count_check",
+    "footer_counts",
     "mismatch_count",
     "mismatches",
     "pending_tables",
@@ -35,6 +38,7 @@ __all__ = [
     "row_counts",
     "row_diff_check",
     "schema_check",
+    "schema_checks",
     "summary",
     "table_inventory_check",
     "table_states",

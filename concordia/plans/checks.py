@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import (
@@ -26,6 +26,7 @@ from ..constants import (
 from ..operators.frames import first_text, one_row
 from ..operators.inventory import inventory_report
 from ..operators.row_diff import row_diff_report
+from ..sources.sessions import child_session
 
 
 @dataclass(frozen=True)
@@ -49,14 +50,14 @@ def _status(good: Column) -> Column:
 def verdict(
     report: DataFrame,
     run: Run,
-    table_name: str,
+    table_name: str | Column,
     check_type: str,
     status: Column,
     source_value: Column | None = None,
     sink_value: Column | None = None,
     detail: Column | None = None,
 ) -> DataFrame:
-    """Turn a one-row report into a verdict row."""
+    """Turn each row of a report, mostly one, into a verdict row."""
 
     def text(c: Column | None) -> Column:
         return F.lit("") if c is None else F.coalesce(c.cast("string"), F.lit(""))
@@ -65,7 +66,7 @@ def verdict(
         "run_id": F.lit(run.run_id),
         "run_time": F.lit(run.run_time),
         "db_name": F.lit(run.db_name),
-        "table_name": F.lit(table_name),
+        "table_name": table_name if isinstance(table_name, Column) else F.lit(table_name),
         "check_type": F.lit(check_type),
         "status": status,
         "source_value": text(source_value),
@@ -91,6 +92,28 @@ def schema_check(diff: DataFrame, run: Run, table_name: str) -> DataFrame:
     )
 
 
+def schema_checks(diff: DataFrame, tables: DataFrame, run: Run) -> DataFrame:
+    """SCHEMA verdicts of all ``tables`` (table_name) from the ``schema_diff`` rows of all.
+
+    One aggregation whatever the number of tables; a table without an issue is OK.  The
+    rows of a table are gathered into its detail text: they are bounded by its columns.
+    """
+    issues = diff.select("table_name", F.concat_ws(":", "column_name", "issue").alias("entry"))
+    wanted = tables.select(F.upper("table_name").alias("table_name")).distinct()
+    # Every table adds a row without an entry, so those without an issue are there as well.
+    entries = F.array_sort(F.collect_list("entry"))
+    report = (
+        issues.withColumn("wanted", F.lit(False))
+        .union(wanted.select("table_name", F.lit(None).cast("string"), F.lit(True)))
+        .groupBy("table_name")
+        .agg(F.count("entry").alias("issues"), F.array_join(entries, ";").alias("entries"), F.bool_or("wanted").alias("wanted"))
+        .filter("wanted")
+    )
+    return verdict(
+        report, run, F.col("table_name"), SCHEMA, _status(F.col("issues") == 0), detail=F.col("entries")
+    )
+
+
 def row_counts(source: DataFrame, sink: DataFrame) -> DataFrame:
     """(source_count, sink_count) of two frames; only row counts are read."""
     return one_row(
@@ -99,6 +122,18 @@ def row_counts(source: DataFrame, sink: DataFrame) -> DataFrame:
     )
 
 
+def footer_counts(spark: SparkSession, source_path: str, sink_path: str) -> DataFrame:
+    """(source_count, sink_count) of two stored tables, from the footers of their files.
+
+    Spark pushes the count into its parquet reader, so no column is read, whatever the
+    size of the tables.  The setting that allows it belongs to a session of its own.
+    """
+    child = child_session(spark)
+    child.conf.set("spark.sql.sources.useV1SourceList", "")
+    child.conf.set("spark.sql.parquet.aggregatePushdown", "true")
+    return row_counts(child.read.parquet(source_path), child.read.parquet(sink_path))
+
+
 def count_check(counts: DataFrame, run: Run, table_name: str) -> DataFrame:
     """COUNT verdict from a frame holding source_count and sink_count.
 

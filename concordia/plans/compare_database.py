@@ -2,15 +2,17 @@
 
 from __future__ import annotations
 
+import copy
 import time
 from collections.abc import Callable
-from concurrent.futures import ThreadPoolExecutor, as_completed
+from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
 from typing import Any, Protocol
 
 from pyspark import InheritableThread
 from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..constants import (
     CATALOG_TABLE,
@@ -24,11 +26,24 @@ from ..constants import (
     VERDICT_SCHEMA,
 )
 from ..operators.inventory import table_inventory_diff
+from ..operators.schema_diff import schema_diff
 from ..sources import jdbc
 from ..sources.catalogs import DatabaseConfig
 from ..sources.lake import list_lake_tables, one_spelling
-from ..sources.verdict_store import read_verdicts, write_inventory, write_verdicts
-from .checks import Run, table_inventory_check
+from ..sources.hadoop import delete_directory
+from ..sources.sessions import child_session
+from ..sources.verdict_store import (
+    commit_attempt,
+    new_attempt,
+    read_running,
+    read_verdicts,
+    write_diff_buckets,
+    write_diff_rows,
+    write_inventory,
+    write_running,
+    write_verdicts,
+)
+from .checks import Run, schema_checks, table_inventory_check
 from .compare_table import compare_table, error_text, plain_verdict, read_check
 from .ledger import pending_tables
 
@@ -52,6 +67,9 @@ class SourceTables(Protocol):
 
     def scan(self, table_name: str) -> DataFrame: ...
 
+    def on(self, spark: SparkSession) -> SourceTables:
+        """The same tables, read through another session."""
+
 
 class JdbcTables:
     """A live database; ``splits`` gives scan_jdbc arguments (such as partition_column)
@@ -77,6 +95,11 @@ class JdbcTables:
             self.spark, self.config, [(r["table_name"], r["owner"], r["table"]) for r in listed]
         )
 
+    def on(self, spark: SparkSession) -> JdbcTables:
+        other = copy.copy(self)
+        other.spark = spark
+        return other
+
     def columns(self) -> DataFrame:
         return jdbc.list_source_columns(self.spark, self.config)
 
@@ -111,6 +134,11 @@ class ParquetTables:
                 self._columns += [(name, f.name, f.dataType.simpleString()) for f in fields]
         return self.spark.createDataFrame(rows, "table_name string, has_rows boolean")
 
+    def on(self, spark: SparkSession) -> ParquetTables:
+        other = copy.copy(self)
+        other.spark = spark
+        return other
+
     def _probe(self, name: str) -> tuple[str, bool | None, list]:
         """Whether a table has rows, and its fields: one read of its footer."""
         try:
@@ -170,12 +198,37 @@ class SuiteSettings:
     a cluster idle.  ``tables`` restricts the comparison of a database, by its upper-cased
     name, to the tables listed; the table lists are still compared as a whole, and a listed
     table that neither side has is an error.  Databases not named are compared whole.
+    ``shared_run`` leaves out tables on which another process working on the same run holds
+    a lease of ``lease_seconds``, renewed while it is at work.  ``store_diffs`` keeps every
+    differing row hash and bucket beside the verdicts.
     """
 
     time_limit_seconds: float = TABLE_TIMEOUT_MINUTES * 60
     parallel_tables: int = 1
     compare: dict[str, Any] | None = None
     tables: dict[str, list[str]] | None = None
+    shared_run: bool = False
+    lease_seconds: float = 300
+    store_diffs: bool = True
+
+
+def _schema_verdicts(
+    source: SourceTables, declared: DataFrame, landed: dict[str, T.StructType], run: Run, categories: str
+) -> dict[str, Row]:
+    """SCHEMA verdicts of all tables by one plan, from both sides' column lists."""
+    if not landed:
+        return {}
+    start, spark = time.monotonic(), declared.sparkSession
+    rows = [(name, f.name, f.dataType.simpleString()) for name, schema in landed.items() for f in schema.fields]
+    lake = spark.createDataFrame(rows, "table_name string, column_name string, data_type string")
+    tables = spark.createDataFrame([(name,) for name in landed], "table_name string")
+    found = declared.join(tables, "table_name", "left_semi")
+    verdicts = schema_checks(schema_diff(found, lake, source.dialect, categories), tables, run).collect()
+    each = int((time.monotonic() - start) * 1000) // len(landed)
+    names = VERDICT_SCHEMA.fieldNames()
+    return {
+        r["table_name"]: Row(*names)(*[each if n == "duration_ms" else r[n] for n in names]) for r in verdicts
+    }
 
 
 def compare_database(
@@ -190,15 +243,21 @@ def compare_database(
 
     Verdicts are appended after the inventory and as each table finishes.  Calling it
     again with the same run continues with the tables that have not finished; the new
-    verdicts of a table replace those of its earlier attempt.  All rows of the inventory
-    are stored beside the verdicts.
+    verdicts of a table replace those of its earlier attempt, which are visible only once
+    everything the attempt has to say of the table is stored.  A table whose phase 1 was
+    finished by an earlier attempt goes on with phase 2 if its files are the same.  All
+    rows of the inventory and all differing rows and buckets are stored beside the verdicts.
     """
 
-    attempt = f"{time.time_ns():020d}"
+    attempt = new_attempt()
+    phases = f"{verdict_root.rstrip('/')}_phases/{run.run_id}/{run.db_name}"
 
     def store(rows: list[Row]) -> None:
         if rows:
-            write_verdicts(spark.createDataFrame(rows, VERDICT_SCHEMA), verdict_root, attempt)
+            tables = list(dict.fromkeys(r["table_name"] for r in rows))
+            frame = spark.createDataFrame(rows, VERDICT_SCHEMA)
+            write_verdicts(frame, verdict_root, attempt, commit=False)
+            commit_attempt(spark, verdict_root, run.run_id, run.db_name, tables, attempt)
 
     try:
         known = read_verdicts(spark, verdict_root, run.run_id).filter(F.col("db_name") == run.db_name)
@@ -214,8 +273,9 @@ def compare_database(
             unknown = [r["table_name"] for r in absent.collect()]
         listed = known.filter((F.col("table_name") == CATALOG_TABLE) & (F.col("status") != ERROR))
         if listed.isEmpty():
+            # Committed with the verdict, so a later attempt at the lists replaces both.
+            write_inventory(inventory, verdict_root, run.run_id, run.db_name, attempt)
             store([table_inventory_check(inventory, run).first()])
-            write_inventory(inventory, verdict_root, run.run_id, run.db_name)
         # One row per table, all of them metadata.
         paths: dict[str, list[str]] = {}
         for r in lake.collect():
@@ -223,46 +283,55 @@ def compare_database(
         todo = pending_tables(
             common.withColumn("run_id", F.lit(run.run_id)).withColumn("db_name", F.lit(run.db_name)),
             known,
+            read_running(spark, verdict_root, run.run_id) if settings.shared_run else None,
         )
         names = [r["table_name"] for r in todo.orderBy("table_name").collect()]
-        # One dictionary query for all tables, whose rows are then at hand for each.
-        declared: dict[str, list[Row]] = {}
-        for r in source.columns().join(todo.select("table_name"), "table_name", "left_semi").collect():
-            declared.setdefault(r["table_name"], []).append(r)
+        options = {
+            "reuse": "freeze_source" if source.changes_while_read else "rescan",
+            "refinement": CHECKSUM_REFINEMENT,
+        }
+        options |= settings.compare or {}
+
+        def landed_schema(name: str) -> T.StructType | None:
+            try:
+                return spark.read.parquet(one_spelling(name, paths[name])).schema
+            except Exception:  # noqa: BLE001 - becomes the verdict of the table that cannot be read
+                return None
+
+        with ThreadPoolExecutor(max_workers=_PROBES) as pool:
+            landed = {n: s for n, s in zip(names, pool.map(landed_schema, names)) if s is not None}
+        declared = source.columns()
+        schemas = _schema_verdicts(source, declared, landed, run, options.get("categories", "exact"))
     except Exception as error:  # noqa: BLE001 - without the lists nothing can be compared
         store([plain_verdict(run, CATALOG_TABLE, TABLE_COUNT, ERROR, error_text(error))])
         return read_verdicts(spark, verdict_root, run.run_id)
 
     detail = "Listed for comparison, but neither side has it"
     store([plain_verdict(run, name, READ_SOURCE, ERROR, detail) for name in unknown])
-    options = {
-        "reuse": "freeze_source" if source.changes_while_read else "rescan",
-        "refinement": CHECKSUM_REFINEMENT,
-    }
-    options |= settings.compare or {}
-
     def one_table(name: str) -> list[Row]:
         rows: list[Row] = []
+        # Settings are adapted to the table in a session of its own.
+        session = child_session(spark)
+        target = (verdict_root, run.run_id, run.db_name, name, attempt)
+
+        def sink() -> DataFrame:
+            reader = session.read.schema(landed[name]) if name in landed else session.read
+            return reader.parquet(one_spelling(name, paths[name]))
 
         def work() -> None:
-            left, failure = read_check(lambda: source.scan(name), run, name, "source")
+            left, failure = read_check(lambda: source.on(session).scan(name), run, name, "source")
             if failure is None:
-                right, failure = read_check(lambda: spark.read.parquet(one_spelling(name, paths[name])), run, name, "sink")
+                right, failure = read_check(sink, run, name, "sink")
             if failure is not None:
                 rows.append(failure)
                 return
-            compare_table(
-                left,
-                right,
-                run,
-                name,
-                source_columns=spark.createDataFrame(
-                    declared.get(name, []), "table_name string, column_name string, data_type string"
-                ),
-                dialect=source.dialect,
-                emit=rows.append,
-                **options,
-            )
+            stores = {}
+            if settings.store_diffs:
+                stores["store_buckets"] = lambda nodes: write_diff_buckets(nodes, *target)
+                stores["store_rows"] = lambda diff: write_diff_rows(diff, *target)
+            given = stores | {"phase_folder": f"{phases}/{name}"} | options
+            compare_table(left, right, run, name, schema_verdict=schemas[name], emit=rows.append, **given)
+            delete_directory(spark, f"{phases}/{name}")
 
         try:
             run_limited(spark, work, settings.time_limit_seconds, f"{run.run_id}-{run.db_name}-{name}")
@@ -272,9 +341,28 @@ def compare_database(
             return list(rows) + [plain_verdict(run, name, ERROR, ERROR, error_text(error))]
         return rows
 
+    at_work: set[str] = set()
+
+    def claim(tables: list[str]) -> None:
+        lease = (run.run_id, run.db_name, tables, "COMPARE", settings.lease_seconds, attempt)
+        write_running(spark, verdict_root, *lease)
+
+    def claimed(name: str) -> list[Row]:
+        claim([name])
+        at_work.add(name)
+        try:
+            return one_table(name)
+        finally:
+            at_work.discard(name)
+
     with ThreadPoolExecutor(max_workers=settings.parallel_tables) as pool:
-        for finished in as_completed([pool.submit(one_table, name) for name in names]):
-            store(finished.result())
+        waiting = {pool.submit(claimed, name) for name in names}
+        while waiting:
+            finished, waiting = wait(waiting, settings.lease_seconds / 3, FIRST_COMPLETED)
+            for done in finished:
+                store(done.result())
+            if not finished:
+                claim(sorted(at_work))
     return read_verdicts(spark, verdict_root, run.run_id)
 
 

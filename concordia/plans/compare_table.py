@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import time
 from collections.abc import Callable
 from contextlib import ExitStack
@@ -20,14 +21,17 @@ from ..constants import (
     READ_SOURCE,
     ROW_DIFF,
     ROW_SAMPLE,
+    ROWS_PER_SHUFFLE_TASK,
     VERDICT_SCHEMA,
 )
 from ..functions.canonical import DEFAULT_OPTIONS, CanonicalOptions, quoted
 from ..functions.fingerprint import XXHASH64, fingerprint
-from ..operators.checksum import bucket_checksum, bucket_compare, checksum_refined
+from ..operators.checksum import bucket_checksum, bucket_compare
+from ..operators.hash_tree import checksum_tree
 from ..operators.row_diff import diff_sample, row_diff, size_shuffle
 from ..operators.schema_diff import columns_of, schema_diff
-from ..sources.scratch import cached_hashes, checkpointed, frozen_hashes
+from ..sources.scratch import cached_hashes, checkpointed, files_stamp, frozen_hashes, kept
+from ..sources.sessions import restored_settings
 from .checks import Run, checksum_check, count_check, row_diff_check, schema_check
 
 Emit = Callable[[Row], None]
@@ -77,6 +81,11 @@ def compare_table(
     emit: Emit | None = None,
     samples: Callable[[str, DataFrame], None] | None = None,
     sample_size: int = ROW_SAMPLE,
+    schema_verdict: Row | None = None,
+    leaf_rows: int = ROWS_PER_SHUFFLE_TASK,
+    phase_folder: str | None = None,
+    store_buckets: Callable[[DataFrame], None] | None = None,
+    store_rows: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """SCHEMA, COUNT, CHECKSUM and ROW_DIFF verdicts of one table pair.
 
@@ -87,8 +96,8 @@ def compare_table(
     ``source_columns`` is the declared column list (table_name, column_name, data_type)
     in the type names of ``dialect``; without it the types of ``source`` itself are used.
     With ``refinement`` above 1 the differing buckets are cut into so many parts and
-    compared once more before phase 2, which then reads only the differing parts: worth
-    one more scan where few rows of a large table differ.
+    compared again before phase 2, level by level as ``checksum_tree`` decides: only while
+    few of the buckets differ and they hold more than ``leaf_rows`` rows.
     ``reuse`` says where phase 2 gets the row hashes from.  "rescan" reads both sides
     again: right for stored files, since a clean table, the usual case, then pays for
     nothing but one scan.  "cache" persists the hashes (memory and disk), worth it for
@@ -98,6 +107,12 @@ def compare_table(
     ``samples`` is called with "source" and "sink" and at most ``sample_size`` rows found on
     that side only (see ``diff_sample``) if rows differ; it must write or collect them before
     it returns.  They hold row contents, so verdicts never do, and take one more scan.
+    ``store_buckets`` is handed all differing nodes of the checksum tree, ``store_rows`` all
+    rows of the row diff; it returns them from where it has put them, so that verdict and
+    samples need no second computation.
+    ``phase_folder`` keeps the result of phase 1 for a later attempt, which takes it up if
+    both sides still read the same files (only with "rescan").  ``schema_verdict`` is taken
+    for SCHEMA if it is at hand.  Session settings are the same afterwards as before.
     """
     if columns not in ("all", "common"):
         raise ValueError(f"columns must be 'all' or 'common', got {columns!r}")
@@ -105,6 +120,9 @@ def compare_table(
         raise ValueError(f"reuse must be rescan, cache or freeze_source, got {reuse!r}")
     spark = sink.sparkSession
     rows: list[Row] = []
+    settings = ExitStack()
+    for session in {id(s): s for s in (spark, source.sparkSession)}.values():
+        settings.enter_context(restored_settings(session))
 
     def add(row: Row) -> None:
         rows.append(row)
@@ -120,18 +138,20 @@ def compare_table(
         add(row)
         return row
 
-    if source_columns is None:
-        source_columns, dialect = columns_of(spark, table_name, source.schema), "spark"
-    declared = source_columns.filter(F.upper("table_name") == table_name.upper())
-    landed = columns_of(spark, table_name, sink.schema)
-    timed(lambda: schema_check(schema_diff(declared, landed, dialect, categories), run, table_name))
-
-    if columns == "common":
-        source, sink = shared_columns(source, sink)
-    source_hashes = fingerprint(source, options, keep_columns=False)
-    sink_hashes = fingerprint(sink, options, keep_columns=False)
-
-    with ExitStack() as stack:
+    with settings as stack:
+        if schema_verdict is not None:
+            add(schema_verdict)
+        else:
+            if source_columns is None:
+                source_columns, dialect = columns_of(spark, table_name, source.schema), "spark"
+            declared = source_columns.filter(F.upper("table_name") == table_name.upper())
+            landed = columns_of(spark, table_name, sink.schema)
+            timed(lambda: schema_check(schema_diff(declared, landed, dialect, categories), run, table_name))
+
+        if columns == "common":
+            source, sink = shared_columns(source, sink)
+        source_hashes = fingerprint(source, options, keep_columns=False)
+        sink_hashes = fingerprint(sink, options, keep_columns=False)
         compared: list[DataFrame] = []
 
         def phase_one() -> DataFrame:
@@ -145,8 +165,13 @@ def compare_table(
                 bucket_checksum(source_hashes, bucket_count, bucket_fn),
                 bucket_checksum(sink_hashes, bucket_count, bucket_fn),
             )
+            stamp = files_stamp(source, sink) if phase_folder is not None and reuse == "rescan" else None
             # At most bucket_count rows; all later steps read these instead of the tables.
-            compared.append(checkpointed(both))
+            if stamp is not None:
+                asked = hashlib.sha256(repr((stamp, options, bucket_count, bucket_fn)).encode()).hexdigest()
+                compared.append(kept(both, f"{phase_folder}/{asked}"))
+            else:
+                compared.append(checkpointed(both))
             return count_check(compared[0], run, table_name)
 
         timed(phase_one)
@@ -156,19 +181,25 @@ def compare_table(
             detail = "No checksum differences, row diff skipped"
             add(plain_verdict(run, table_name, ROW_DIFF, OK, detail))
         else:
-            # Phase 1 has counted exactly the rows that phase 2 is going to shuffle.
-            touched = differing.agg(F.sum("source_count"), F.sum("sink_count")).first()
-            size_shuffle(spark, sum(n or 0 for n in touched))
-            if refinement > 1:
-                differing = checkpointed(
-                    checksum_refined(
-                        source_hashes, sink_hashes, differing, bucket_count, refinement, bucket_fn
-                    )
-                )
+            tree = checksum_tree(
+                source_hashes, sink_hashes, bucket_count, refinement, bucket_fn, leaf_rows, compared[0]
+            )
+            if store_buckets is not None:
+                store_buckets(tree.nodes)
+            # The tree has counted exactly the rows that phase 2 is going to shuffle.
+            for session in (spark, source.sparkSession):
+                size_shuffle(session, tree.touched)
             diff = row_diff(
-                source_hashes, sink_hashes, differing, bucket_count * refinement, bucket_fn
+                source_hashes, sink_hashes, tree.leaves, tree.bucket_count, bucket_fn, tree.differing
             )
-            timed(lambda: row_diff_check(diff, run, table_name, multiset))
+
+            def phase_two() -> DataFrame:
+                nonlocal diff
+                if store_rows is not None:
+                    diff = store_rows(diff)
+                return row_diff_check(diff, run, table_name, multiset)
+
+            timed(phase_two)
             if samples is not None:
                 samples("source", diff_sample(source, diff, ONLY_IN_SOURCE, sample_size, options))
                 samples("sink", diff_sample(sink, diff, ONLY_IN_SINK, sample_size, options))

@@ -28,3 +28,9 @@ def child_directories(spark: SparkSession, path: str) -> list[tuple[str, str]]:
 def delete_directory(spark: SparkSession, path: str) -> None:
     fs, p = _path(spark, path)
     fs.delete(p, True)
+
+
+def delete_files(spark: SparkSession, paths: list[str]) -> None:
+    for path in paths:
+        fs, p = _path(spark, path)
+        fs.delete(p, False)

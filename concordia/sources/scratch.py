@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -12,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..constants import HASH
-from .hadoop import delete_directory
+from .hadoop import delete_directory, path_exists
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -67,3 +68,34 @@ def frozen_hashes(hashes: DataFrame) -> Iterator[DataFrame]:
         yield stored.select(F.coalesce(F.lower(F.hex(HASH)), F.lit("")).alias(HASH))
     finally:
         delete_directory(spark, path)
+
+
+def files_stamp(*frames: DataFrame) -> str | None:
+    """Digest of the names, sizes and times of the files the frames read.
+
+    None if a frame reads no files, so that nothing tells whether its rows have changed.
+    Files that lie beside those read count, too: a new one changes the stamp.
+    """
+    found = []
+    for frame in frames:
+        folders = sorted({name.rsplit("/", 1)[0] for name in frame.inputFiles()})
+        if not folders:
+            return None
+        spark = frame.sparkSession
+        listed = spark.read.format("binaryFile").load(folders).select("path", "length", "modificationTime")
+        entry = F.xxhash64("path", "length", F.unix_micros("modificationTime")).cast("decimal(20,0)")
+        found.append(tuple(listed.agg(F.count(F.lit(1)), F.sum(entry)).first()))
+        found.append(tuple(frame.columns))
+    return hashlib.sha256(repr(found).encode()).hexdigest()
+
+
+def kept(df: DataFrame, path: str) -> DataFrame:
+    """A small result that a later attempt may take up: computed unless it is there whole.
+
+    The folder counts only once its writer has left the mark of success, which it does
+    last, so a half written one is computed and written again.
+    """
+    spark = df.sparkSession
+    if not path_exists(spark, f"{path}/_SUCCESS"):
+        df.coalesce(1).write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
