@@ -34,6 +34,9 @@ class CanonicalOptions:
     nested         "as_stored" keeps texts, whole numbers and fields inside arrays, maps
                    and structs as JSON shows them; "by_options" applies all options at
                    every level, sorts and upper-cases field names and keeps NULL fields
+    digits         "ten" rounds decimals and doubles to ten decimals, "exact" keeps all
+                   digits: decimals without closing zeros, doubles as the text that reads
+                   back as the same value
     """
 
     strings: str = "fold"
@@ -42,6 +45,7 @@ class CanonicalOptions:
     ts_precision: str = "ms"
     ntz_zone: str | None = None
     nested: str = "as_stored"
+    digits: str = "ten"
 
     def __post_init__(self) -> None:
         for name, allowed in (
@@ -49,6 +53,7 @@ class CanonicalOptions:
             ("numeric", ("by_type", "by_value")),
             ("ts_precision", ("ms", "us")),
             ("nested", ("as_stored", "by_options")),
+            ("digits", ("ten", "exact")),
         ):
             if getattr(self, name) not in allowed:
                 raise ValueError(f"{name} must be one of {allowed}, got {getattr(self, name)!r}")
@@ -78,7 +83,32 @@ def _decimal_text(d: Column) -> Column:
     return F.when(F.contains(text, F.lit("E")), plain).otherwise(text)
 
 
+def _exact_decimal_text(d: Column) -> Column:
+    """All digits of a decimal, without a point or zeros that say nothing."""
+    text = d.cast("string")
+    # Without ANSI mode a cast prints tiny decimals with an exponent.
+    plain = F.replace(F.format_number(d, 38), F.lit(","), F.lit(""))
+    full = F.when(F.contains(text, F.lit("E")), plain).otherwise(text)
+    return F.when(F.contains(full, F.lit(".")), F.regexp_replace(full, r"\.?0*$", "")).otherwise(full)
+
+
+def _exact_float_text(c: Column, o: CanonicalOptions) -> Column:
+    """The text of a double that reads back as the same double; -0.0 is 0.0.
+
+    By value, it has the form of decimals, unless it is too large or small for that.
+    """
+    text = (c.cast("double") + F.lit(0.0)).cast("string")
+    if o.numeric == "by_value":
+        short = ~F.contains(text, F.lit("E")) & F.contains(text, F.lit("."))
+        whole = text.try_cast("decimal(38,0)")
+        large = whole.isNotNull() & (whole.cast("double") == c.cast("double"))
+        return F.when(short, F.regexp_replace(text, r"\.?0*$", "")).when(large, whole.cast("string")).otherwise(text)
+    return text
+
+
 def _decimal(c: Column, dt: T.DecimalType, o: CanonicalOptions) -> Column:
+    if o.digits == "exact":
+        return _exact_decimal_text(c)
     whole_digits = dt.precision - dt.scale
     if whole_digits <= 27 or (whole_digits == 28 and dt.scale <= 10):
         return _decimal_text(c.cast(DECIMAL_TYPE))
@@ -90,6 +120,8 @@ def _decimal(c: Column, dt: T.DecimalType, o: CanonicalOptions) -> Column:
 
 
 def _float(c: Column, o: CanonicalOptions) -> Column:
+    if o.digits == "exact":
+        return _exact_float_text(c, o)
     # Adding zero turns -0.0 into 0.0.
     grouped = F.format_number(c.cast("double") + F.lit(0.0), FLOAT_DIGITS)
     if o.numeric == "by_value":
@@ -149,7 +181,7 @@ def canonical_text(c: Column, dt: T.DataType, options: CanonicalOptions = DEFAUL
     if isinstance(dt, _STRINGS):
         return _string(c, options)
     if isinstance(dt, _INTEGERS):
-        by_value = options.numeric == "by_value"
+        by_value = options.numeric == "by_value" and options.digits == "ten"
         return _decimal_text(c.cast(DECIMAL_TYPE)) if by_value else c.cast("string")
     if isinstance(dt, T.DecimalType):
         return _decimal(c, dt, options)
@@ -254,7 +286,7 @@ def canonical_columns(df: DataFrame, options: CanonicalOptions = DEFAULT_OPTIONS
     # times, and Spark keeps such a projection separate.
     units = {}
     doubles = [f.name for f in fields if isinstance(f.dataType, T.DoubleType)]
-    if options.numeric == "by_type" and 0 < len(doubles) <= _SHORT_NUMBER_COLUMNS:
+    if options.numeric == "by_type" and options.digits == "ten" and 0 < len(doubles) <= _SHORT_NUMBER_COLUMNS:
         units = {name: f"__units_{i}" for i, name in enumerate(doubles)}
         df = df.select("*", *[_short_units(_quote(n)).alias(u) for n, u in units.items()])
 

@@ -7,7 +7,7 @@ from .catalogs import (
 )
 from .jdbc import list_source_columns, list_source_tables, non_empty_tables, scan_jdbc
 from .lake import list_lake_tables, scan_lake
-from .scratch import checkpointed, frozen_hashes, shared_folder
+from .scratch import checkpointed, files_stamp, frozen_hashes, shared_folder
 from .verdict_store import (
     commit_attempt,
     compact_verdicts,
@@ -29,6 +29,7 @@ __all__ = [
     "checkpointed",
     "commit_attempt",
     "compact_verdicts",
+    "files_stamp",
     "frozen_hashes",
     "list_lake_tables",
     "list_source_columns",

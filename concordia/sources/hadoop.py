@@ -30,7 +30,8 @@ def delete_directory(spark: SparkSession, path: str) -> None:
     fs.delete(p, True)
 
 
-def delete_files(spark: SparkSession, paths: list[str]) -> None:
-    for path in paths:
-        fs, p = _path(spark, path)
-        fs.delete(p, False)
+def delete_files(spark: SparkSession, uris: list[str]) -> None:
+    """Delete files by the names that Spark gives its rows, which are encoded as URIs."""
+    for uri in uris:
+        p = spark._jvm.org.apache.hadoop.fs.Path(spark._jvm.java.net.URI(uri))
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, False)

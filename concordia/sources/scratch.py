@@ -7,6 +7,7 @@ import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
+from urllib.parse import unquote
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -78,7 +79,7 @@ def files_stamp(*frames: DataFrame) -> str | None:
     """
     found = []
     for frame in frames:
-        folders = sorted({name.rsplit("/", 1)[0] for name in frame.inputFiles()})
+        folders = sorted({unquote(name).rsplit("/", 1)[0] for name in frame.inputFiles()})
         if not folders:
             return None
         spark = frame.sparkSession

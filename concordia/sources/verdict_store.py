@@ -245,8 +245,10 @@ def compact_verdicts(spark: SparkSession, root: str, run_id: str, db_name: str)
     """
     part = F.col("db_name") == db_name
     stored, commits = _read(spark, root, _STORED, run_id).filter(part), _commits(spark, root, run_id).filter(part)
-    old = stored.inputFiles() + commits.inputFiles()
-    if not stored.inputFiles():
+    # Files of this run and database only; one per attempt at a table or so.
+    files = [frame.select(F.input_file_name().alias("file")) for frame in (stored, commits)]
+    old = [r["file"] for r in files[0].union(files[1]).distinct().collect()]
+    if not old:
         return
     rows = stored.withColumn("tried", F.upper("table_name")).withColumn(_ATTEMPT, F.coalesce(_ATTEMPT, F.lit("")))
     rows = rows.withColumn(_GENERATION, F.coalesce(_GENERATION, F.lit("")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import partial
+
 from . import tables as t
 
 _SEPARATOR = "chr(30)"
@@ -123,6 +125,28 @@ FULL JOIN ({checksum(_hashes(name, f'({copy}) c'), 'sink_count', 'sink_hash')})
 WHERE source_count IS DISTINCT FROM sink_count OR source_hash IS DISTINCT FROM sink_hash"""
 
 
+def _tree(name: str, copy: str, leaf_rows: int = 16) -> str:
+    """Differing buckets level by level, as long as few of them differ and hold many rows."""
+    levels, buckets = [], 1000
+    while buckets <= 1 << 31:
+        levels.append((buckets, _buckets(name, copy, partial(_checksum, buckets=buckets))))
+        buckets *= 64
+    parts, shown, before = [], [], None
+    for i, (buckets, sql) in enumerate(levels):
+        parts.append(f"l{i} AS ({sql})")
+        parts.append(
+            f"n{i} AS (SELECT count(*) AS d, sum(coalesce(source_count, 0) + coalesce(sink_count, 0)) AS touched FROM l{i})"
+        )
+        looked_at = 1000 if i == 0 else f"64 * (SELECT d FROM n{i - 1})"
+        go_on = f"(SELECT touched > {leaf_rows} AND 2 * d <= {looked_at} FROM n{i})"
+        parts.append(f"g{i} AS (SELECT coalesce({go_on}, FALSE)" + (f" AND (SELECT ok FROM g{i - 1})" if i else "") + " AS ok)")
+        shown.append(
+            f"SELECT CAST({i} AS INTEGER) AS level, CAST({buckets} AS BIGINT) AS bucket_count, * FROM l{i}"
+            + (f" WHERE (SELECT ok FROM g{i - 1})" if i else "")
+        )
+    return f"WITH {', '.join(parts)} " + " UNION ALL ".join(shown)
+
+
 def _diff_of(source_hashes: str, sink_hashes: str) -> str:
     return f"""
 SELECT *, CASE WHEN sink_count = 0 THEN 'ONLY_IN_SOURCE' WHEN src_count = 0 THEN 'ONLY_IN_SINK'
@@ -368,6 +392,13 @@ SELECT 'r1' AS run_id, '2024-01-01' AS run_time, 'TPCH' AS db_name, 'Brand#2' AS
        coalesce(string_agg(column_name || ':' || issue, ';' ORDER BY column_name || ':' || issue), '') AS detail
 FROM ({_schema_diff(True)}) d WHERE table_name = 'BRAND#2'"""
 
+_SCHEMA_CHECK_ALL = f"""
+SELECT 'r1' AS run_id, '2024-01-01' AS run_time, 'TPCH' AS db_name, table_name, 'SCHEMA' AS check_type,
+       CASE WHEN count(issue) = 0 THEN 'OK' ELSE 'MISMATCH' END AS status, '' AS source_value, '' AS sink_value,
+       coalesce(string_agg(column_name || ':' || issue, ';' ORDER BY column_name || ':' || issue), '') AS detail
+FROM (SELECT DISTINCT upper(table_name) AS table_name FROM ({t.typed_parts('oracle')}) p)
+LEFT JOIN ({_schema_diff(True)}) d USING (table_name) GROUP BY table_name"""
+
 _STATES = f"""
 SELECT run_id, upper(db_name) AS db_name, upper(table_name) AS table_name,
        CASE WHEN bool_or(check_type = 'ROW_DIFF' AND status <> 'ERROR') THEN 'DONE'
@@ -468,6 +499,25 @@ def oracle_sql() -> dict[str, str]:
     sql["checksum_diff_xxhash"] = _buckets("orders", t.ORDERS_COPY, checksum=_xx_checksum)
     sql["bucket_checksum_xxhash"] = _xx_checksum(_hashes("orders"))
     sql["checksum_refined_orders"] = _buckets("orders", t.ORDERS_COPY, checksum=_fine_checksum)
+    sql["hash_tree_orders"] = _tree("orders", t.ORDERS_THREE_CHANGED)
+    sql["hash_tree_all_differ"] = _tree("orders", t.ORDERS_ALL_CHANGED)
+    sql["diff_rows"] = f"SELECT 'APP.ORDERS' AS table_name, * FROM ({orders_diff}) d"
+    sql["diff_buckets"] = (
+        "SELECT 'APP.ORDERS' AS table_name, CAST(0 AS INTEGER) AS level, CAST(1000 AS BIGINT) AS bucket_count, * "
+        f"FROM ({_buckets('orders', t.ORDERS_COPY)}) b"
+    )
+    sql["count_check_footers"] = _count_verdict("APP.ORDERS", "orders", f"({t.ORDERS_COPY}) c")
+    sql["schema_check_all"] = _SCHEMA_CHECK_ALL
+    sql["inventory_resumed"] = _INVENTORY_DIFF
+    sql["compacted_verdicts"] = t.ORDER_VERDICTS
+    sql["canonical_decimal_exact"] = (
+        "SELECT CAST(p_partkey AS VARCHAR) AS P_PARTKEY, "
+        f"regexp_replace(CAST(amount AS VARCHAR), '\\.?0*$', '') AS AMOUNT FROM ({t.LONG_DECIMALS}) d"
+    )
+    sql["canonical_double_exact"] = (
+        "SELECT CAST(l_orderkey AS VARCHAR) AS L_ORDERKEY, CAST(l_linenumber AS VARCHAR) AS L_LINENUMBER, "
+        "CAST(l_extendedprice AS VARCHAR) AS L_EXTENDEDPRICE, CAST(l_tax / 3 AS VARCHAR) AS THIRD FROM lineitem"
+    )
     sql["checksum_clean_lineitem"] = (
         "SELECT CAST(0 AS BIGINT) AS differing, count(*) AS source_rows, count(*) AS sink_rows FROM lineitem"
     )

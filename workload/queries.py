@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from concordia.constants import HASH, MISMATCH_ROWS, ONLY_IN_SINK, ONLY_IN_SOURCE
+from concordia.constants import CATALOG_TABLE, HASH, MISMATCH_ROWS, ONLY_IN_SINK, ONLY_IN_SOURCE
 from concordia.functions.canonical import CanonicalOptions, canonical_columns
 from concordia.functions.fingerprint import SHA_PREFIX, XXHASH64, fingerprint
 from concordia.functions.type_category import type_category
@@ -17,6 +17,7 @@ from concordia.operators import (
     bucket_compare,
     checksum_diff,
     checksum_refined,
+    checksum_tree,
     diff_sample,
     row_diff,
     row_diff_summary,
@@ -32,19 +33,25 @@ from concordia.plans import (
     compare_database,
     compare_table,
     count_check,
+    footer_counts,
     mismatch_count,
     mismatches,
     pending_tables,
     row_counts,
     row_diff_check,
     schema_check,
+    schema_checks,
     summary,
     table_inventory_check,
     table_states,
 )
 from concordia.sources import (
     checkpointed,
+    commit_attempt,
+    compact_verdicts,
     list_lake_tables,
+    read_diff_buckets,
+    read_diff_rows,
     read_inventory,
     read_verdicts,
     scan_lake,
@@ -61,6 +68,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 RUN = Run("r1", "2024-01-01", "TPCH")
 BUCKETS = 1000
+TREE_LEAF_ROWS = 16
 SAMPLE = 100
 
 
@@ -147,6 +155,17 @@ def canonical_by_value(spark: SparkSession, sf: str) -> DataFrame:
     return canonical_columns(t.table(spark, sf, "lineitem"), CanonicalOptions(numeric="by_value"))
 
 
+def canonical_decimal_exact(spark: SparkSession, sf: str) -> DataFrame:
+    """All digits of decimals that the ten-digit form would round."""
+    return canonical_columns(t.sql(spark, sf, t.LONG_DECIMALS, "part"), CanonicalOptions(digits="exact"))
+
+
+def canonical_double_exact(spark: SparkSession, sf: str) -> DataFrame:
+    lines = t.table(spark, sf, "lineitem")
+    picked = lines.select("l_orderkey", "l_linenumber", "l_extendedprice", (F.col("l_tax") / 3).alias("third"))
+    return canonical_columns(picked, CanonicalOptions(digits="exact"))
+
+
 def canonical_exact_strings(spark: SparkSession, sf: str) -> DataFrame:
     copy = t.sql(spark, sf, t.CUSTOMER_NULLS, "customer")
     return canonical_columns(copy, CanonicalOptions(strings="exact", empty_as_null=True))
@@ -263,6 +282,22 @@ def checksum_refined_orders(spark: SparkSession, sf: str) -> DataFrame:
     return _portable(fine, "source_hash", "sink_hash")
 
 
+def _tree(spark: SparkSession, sf: str, copy: str) -> DataFrame:
+    orders, changed = t.table(spark, sf, "orders"), t.sql(spark, sf, copy, "orders")
+    tree = checksum_tree(_hashes(orders), _hashes(changed), BUCKETS, 64, SHA_PREFIX, leaf_rows=TREE_LEAF_ROWS)
+    return _portable(tree.nodes, "source_hash", "sink_hash")
+
+
+def hash_tree_orders(spark: SparkSession, sf: str) -> DataFrame:
+    """Three changed rows: the tree is followed down to leaves of a few rows."""
+    return _tree(spark, sf, t.ORDERS_THREE_CHANGED)
+
+
+def hash_tree_all_differ(spark: SparkSession, sf: str) -> DataFrame:
+    """Every row changed: most buckets differ, and nothing is looked into."""
+    return _tree(spark, sf, t.ORDERS_ALL_CHANGED)
+
+
 def checksum_clean_lineitem(spark: SparkSession, sf: str) -> DataFrame:
     """The same rows in other partitions, column order and letter case of names."""
     lines = t.table(spark, sf, "lineitem")
@@ -282,6 +317,14 @@ def count_check_orders(spark: SparkSession, sf: str) -> DataFrame:
     return count_check(row_counts(*_orders_pair(spark, sf)), RUN, "APP.ORDERS").drop("duration_ms")
 
 
+def count_check_footers(spark: SparkSession, sf: str) -> DataFrame:
+    """COUNT of two stored tables without reading a column."""
+    path = _scratch(spark, "copy")
+    t.sql(spark, sf, t.ORDERS_COPY, "orders").write.parquet(path)
+    counts = footer_counts(spark, f"{sf}/orders.parquet", path)
+    return count_check(counts, RUN, "APP.ORDERS").drop("duration_ms")
+
+
 def checksum_check_orders(spark: SparkSession, sf: str) -> DataFrame:
     source, sink = _orders_pair(spark, sf)
     diff = checksum_diff(_hashes(source), _hashes(sink), BUCKETS, SHA_PREFIX)
@@ -401,6 +444,12 @@ def schema_check_brand(spark: SparkSession, sf: str) -> DataFrame:
     return schema_check(_part_columns(spark, sf, "exact"), RUN, "Brand#2").drop("duration_ms")
 
 
+def schema_check_all(spark: SparkSession, sf: str) -> DataFrame:
+    """One SCHEMA verdict for each table of a dictionary, by one aggregation."""
+    tables = t.sql(spark, sf, t.typed_parts("oracle"), "part").select("table_name")
+    return schema_checks(_part_columns(spark, sf, "exact"), tables, RUN).drop("duration_ms")
+
+
 def _inventory(spark: SparkSession, sf: str) -> DataFrame:
     source = t.sql(spark, sf, t.SOURCE_TABLES, "customer", "orders")
     return table_inventory_diff(source, t.sql(spark, sf, t.LAKE_TABLES, "customer", "supplier"))
@@ -489,6 +538,27 @@ def stored_inventory(spark: SparkSession, sf: str) -> DataFrame:
     return read_inventory(spark, root, "r1").select(*rows.columns)
 
 
+def inventory_resumed(spark: SparkSession, sf: str) -> DataFrame:
+    """Table lists of three attempts, the second of which alone was finished."""
+    root, rows = _scratch(spark, "verdicts"), inventory_diff(spark, sf)
+    write_inventory(rows.filter("status = 'COMMON'"), root, "r1", "TPCH", "1")
+    write_inventory(rows, root, "r1", "TPCH", "2")
+    commit_attempt(spark, root, "r1", "TPCH", [CATALOG_TABLE], "2")
+    write_inventory(rows.filter("status <> 'COMMON'"), root, "r1", "TPCH", "3")
+    return read_inventory(spark, root, "r1").select(*rows.columns)
+
+
+def compacted_verdicts(spark: SparkSession, sf: str) -> DataFrame:
+    """Verdicts appended in several attempts, read back after they were put into one file."""
+    root, rows = _scratch(spark, "verdicts"), _order_verdicts(spark, sf).filter("run_id = 'r1'")
+    failed = rows.filter("status = 'MISMATCH'").withColumn("status", F.lit("ERROR"))
+    write_verdicts(failed, root, "1")
+    write_verdicts(rows, root, "2")
+    for r in rows.select("db_name").distinct().collect():
+        compact_verdicts(spark, root, "r1", r["db_name"])
+    return read_verdicts(spark, root, "r1").drop("duration_ms")
+
+
 def progress_states(spark: SparkSession, sf: str) -> DataFrame:
     return table_states(t.sql(spark, sf, t.PROGRESS_VERDICTS, "orders"))
 
@@ -550,6 +620,28 @@ def compare_table_common_columns(spark: SparkSession, sf: str) -> DataFrame:
     return compare_table(orders, copy, RUN, "APP.ORDERS", columns="common").drop("duration_ms")
 
 
+def _orders_suite(spark: SparkSession, sf: str) -> str:
+    """The store of a run that compared orders with its changed copy."""
+    left, right, root = (_scratch(spark, name) for name in ("snapshot", "lake", "verdicts"))
+    orders, copy = _orders_pair(spark, sf)
+    orders.write.parquet(f"{left}/app/orders")
+    copy.write.parquet(f"{right}/APP/ORDERS")
+    settings = SuiteSettings(compare={"bucket_fn": SHA_PREFIX})
+    compare_database(spark, ParquetTables(spark, left), right, RUN, root, settings)
+    return root
+
+
+def diff_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """Every differing row hash that a suite run has stored."""
+    return read_diff_rows(spark, _orders_suite(spark, sf), RUN.run_id).drop("run_id", "db_name")
+
+
+def diff_buckets(spark: SparkSession, sf: str) -> DataFrame:
+    """Every differing bucket that a suite run has stored."""
+    found = read_diff_buckets(spark, _orders_suite(spark, sf), RUN.run_id).drop("run_id", "db_name")
+    return _portable(found, "source_hash", "sink_hash")
+
+
 def compare_database_snapshot(spark: SparkSession, sf: str) -> DataFrame:
     """A parquet snapshot against a lake: one table differs, one is clean, one was lost,
     one is new and one is empty in the snapshot."""
@@ -603,6 +695,16 @@ def queries() -> dict[str, Query]:
         "checksum_diff_orders": checksum_diff_orders,
         "checksum_diff_xxhash": checksum_diff_xxhash,
         "checksum_refined_orders": checksum_refined_orders,
+        "hash_tree_orders": hash_tree_orders,
+        "hash_tree_all_differ": hash_tree_all_differ,
+        "canonical_decimal_exact": canonical_decimal_exact,
+        "canonical_double_exact": canonical_double_exact,
+        "count_check_footers": count_check_footers,
+        "schema_check_all": schema_check_all,
+        "inventory_resumed": inventory_resumed,
+        "compacted_verdicts": compacted_verdicts,
+        "diff_rows": diff_rows,
+        "diff_buckets": diff_buckets,
         "checksum_clean_lineitem": checksum_clean_lineitem,
         "checksum_check_orders": checksum_check_orders,
         "count_check_orders": count_check_orders,

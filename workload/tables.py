@@ -84,6 +84,26 @@ SELECT doc_id, CASE WHEN doc_id % 17 = 0 THEN concat(text, '.') ELSE text END AS
 FROM documents WHERE doc_id % 29 <> 0
 """
 
+# Three rows differ, and every row differs.
+ORDERS_THREE_CHANGED = """
+SELECT o_orderkey, o_custkey, o_orderstatus,
+       CASE WHEN o_orderkey IN (SELECT o_orderkey FROM orders ORDER BY o_orderkey LIMIT 3)
+            THEN o_totalprice + 1 ELSE o_totalprice END AS o_totalprice,
+       o_orderdate, o_orderpriority
+FROM orders
+"""
+ORDERS_ALL_CHANGED = """
+SELECT o_orderkey, o_custkey, o_orderstatus, o_totalprice + 1 AS o_totalprice, o_orderdate, o_orderpriority
+FROM orders
+"""
+
+# Decimals with fourteen digits behind the point.
+LONG_DECIMALS = """
+SELECT p_partkey, CAST(concat(CAST(p_size AS VARCHAR(9)), '.', lpad(CAST(p_partkey AS VARCHAR(9)), 14, '0'))
+                       AS DECIMAL(38,14)) AS amount
+FROM part
+"""
+
 # Every row twice, and some rows once more: differs from the table in counts only.
 ORDERS_REPEATED = """
 SELECT * FROM orders UNION ALL SELECT * FROM orders WHERE o_orderkey % 101 = 0
