@@ -1,21 +1,31 @@
 """Personal data: candidate spans, boosted trees and calibrated thresholds.
 
 The base finds e-mail addresses, IP addresses, payment cards and phone numbers by fixed
-patterns with checks.  High-recall generators propose further, overlapping spans: numbers
-with any separators, groups joined by dots or colons, words around an at sign or its
-spelling.  Boosted trees judge each by its format and its context; spans that reach the
-threshold of their kind are redacted, too, the best first, and never over a base span.
-
-There is no labelled personal data, so the trees learn from the base itself.  Candidates
-that the base accepts are ones, with copies of them in other formats (no plus sign, other
-separators, a spelled at sign); candidates that its checks reject are zeros (wrong number
-of digits, failed check digit, parts over 255, no domain); all others teach nothing.  The
-training table is bounded: of about ``MAX_DOCS`` documents, chosen by hash, it has the
-``MAX_ROWS`` candidates of smallest hash.
+patterns with checks.  High-recall generators propose further, overlapping spans: every run
+of consecutive digit groups within a longer number, so neighbours that run into each other
+are told apart; groups joined by dots or colons; words around an at sign or its spelling;
+values given to a name such as ``token``, and long strings of letters and digits; numbers
+in the form of national ones.  Boosted trees judge each by its format and its context;
+spans that reach the threshold of their kind are redacted, too, the best first, and never
+over a base span.
+
+There is no labelled personal data.  What the trees learn from is:
+
+- candidates that the base accepts, with copies in other formats (no plus sign, other
+  separators, a spelled at sign), as ones, and those its checks reject as zeros;
+- values that a text itself calls a password, token, key or secret as ones, with copies
+  that have lost the name;
+- made-up national numbers by their published rules as ones, and as zeros look-alikes put
+  between the words of real texts: dates, times, amounts, catalogue numbers, identifiers,
+  paths, and national numbers that break the rules.
+
+All others teach nothing.  The training table is bounded: of about ``MAX_DOCS`` documents,
+chosen by hash, it has the ``MAX_ROWS`` candidates of smallest hash.
 """
 
 from __future__ import annotations
 
+import random
 import re
 import zlib
 from collections.abc import Iterator
@@ -30,6 +40,9 @@ from .boosting import Boosted, boost
 from .common import hash_sample
 
 KINDS = ("email", "ip", "card", "phone")
+#: Kinds that only the method finds, after those of the base.
+ADDED = ("secret", "national")
+ALL_KINDS = KINDS + ADDED
 #: Documents whose candidates are used for training (about), and candidates at most.
 MAX_DOCS = 50_000
 MAX_ROWS = 20_000
@@ -47,8 +60,16 @@ _PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 _MAYBE_EMAIL = re.compile(r"(?<![\w.%+-])[\w.%+-]++ ?(?:@|\[at\]|\(at\)|\{at\}) ?[\w-]+(?:(?: ?\[dot\] ?|\.)[\w-]+)*")
 _MAYBE_IP = re.compile(r"(?<![0-9A-Fa-f.:])[0-9A-Fa-f]++(?:[.:]+[0-9A-Fa-f]++){3,}")
 _MAYBE_NUMBER = re.compile(r"[+(]?[0-9][0-9 ().\-/]*[0-9]")
+_MAYBE_NATIONAL = re.compile(r"(?<![0-9-])[0-9]{3}[- ][0-9]{2}[- ][0-9]{4}(?![0-9-])")
+_MAYBE_SECRET = re.compile(r"(?<![\w+/=-])[A-Za-z0-9_+/-]{16,}+={0,2}(?![\w+/=-])")
+_NAMED = re.compile(
+    r"(?i)(?<![a-z])(?:pass(?:word|wd)?|pwd|secret|token|api[_ -]?key|key|auth)[\"']? {0,3}[:=] {0,3}[\"']?([^\s\"',;]{6,})"
+)
+_GROUP = re.compile("[0-9]+")
 _AT = re.compile(r"@|[\[({]at[\])}]")
-_ANY = re.compile(r"[0-9@]|[\[({]at[\])}]")
+_ANY = re.compile(r"[0-9@]|[\[({]at[\])}]|(?i:pass|pwd|secret|token|key|auth)")
+#: Digits of a number that is proposed.
+_FEWEST, _MOST = 7, 19
 
 Span = tuple[str, int, int]
 
@@ -93,17 +114,45 @@ def base_spans(text: str) -> list[Span]:
     return found
 
 
+def _numbers_within(text: str, start: int, end: int) -> Iterator[tuple[int, int]]:
+    """Runs of consecutive digit groups with 7 to 19 digits: at most 19 for each group."""
+    groups = [m.span() for m in _GROUP.finditer(text, start, end)]
+    for i, (s, _) in enumerate(groups):
+        while s > start and text[s - 1] in "+(":
+            s -= 1
+        digits = 0
+        for a, b in groups[i:]:
+            digits += b - a
+            if digits > _MOST:
+                break
+            if digits >= _FEWEST:
+                yield s, b
+
+
+def named_values(text: str) -> set[tuple[int, int]]:
+    """Spans of values that the text itself calls a secret."""
+    return {m.span(1) for m in _NAMED.finditer(text)}
+
+
 def candidates(text: str) -> list[Span]:
     """Overlapping proposals of all kinds."""
     found = [("email", *m.span()) for m in _MAYBE_EMAIL.finditer(text)] if _AT.search(text) else []
     found += [("ip", *m.span()) for m in _MAYBE_IP.finditer(text)]
     for m in _MAYBE_NUMBER.finditer(text):
-        if len(_digits(m[0])) >= 7:
-            found += [("card", *m.span()), ("phone", *m.span())]
+        for span in dict.fromkeys([*_numbers_within(text, *m.span())]):
+            found += [("card", *span), ("phone", *span)]
+    long = {m.span() for m in _MAYBE_SECRET.finditer(text) if _mixed(m[0])}
+    found += [("secret", *span) for span in sorted(long | named_values(text))]
+    found += [("national", *m.span()) for m in _MAYBE_NATIONAL.finditer(text)]
     return found
 
 
+def _mixed(span: str) -> bool:
+    return any(c.isdigit() for c in span) and any(c.isalpha() for c in span)
+
+
 _CONTEXT = 16
+_NAME_BEFORE = re.compile(r"(?i)(?:pass(?:word|wd)?|pwd|secret|token|key|auth)[\"']? {0,3}[:=] {0,3}[\"']?$")
 
 
 def features(text: str, kind: str, start: int, end: int) -> list[float]:
@@ -116,7 +165,7 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
     beside = [0.0 if not c or c.isspace() else 1.0 if c.isalnum() else 2.0 for c in (before[-1:], after[:1])]
     share = [sum(c.isdigit() for c in x) / max(1, len(x)) for x in (before, after)]
     return [
-        float(KINDS.index(kind)),
+        float(ALL_KINDS.index(kind)),
         float(len(span)),
         float(len(digits)),
         float(sum(c.isalpha() for c in span)),
@@ -135,6 +184,13 @@ def features(text: str, kind: str, start: int, end: int) -> list[float]:
         *share,
         float(len(word)),
         float(word.endswith((":", "=", "#"))),
+        float(bool(_NAME_BEFORE.search(before))),
+        float(len(set(span)) / len(span)),
+        float(sum(a.isdigit() != b.isdigit() for a, b in zip(span, span[1:])) / len(span)),
+        float(max(map(len, re.findall("[A-Za-z]+", span)), default=0)),
+        float(max((int(g) for g in re.findall("[0-9]+", span[:3])), default=-1)),
+        float(bool(re.search("[a-z]", span)) + 2 * bool(re.search("[A-Z]", span))),
+        float(bool(re.search(r"(?:^|[^0-9])(?:19|20)[0-9]{2}[-/. ](?:0[1-9]|1[0-2])", span))),
     ]
 
 
@@ -164,22 +220,72 @@ def _rejected(kind: str, span: str) -> bool:
     return not 9 <= len(digits) <= 15
 
 
+def made_up(text: str) -> Iterator[tuple[str, str, str, str, int]]:
+    """Kind, head, span, tail and label of examples set between words of a text.
+
+    The same text always gives the same ones.  National numbers follow the published rules
+    of one country: three digits, not 000, 666 or from 900; two, not 00; four, not 0000.
+    """
+    rng = random.Random(zlib.crc32(text.encode("utf-8", "replace")))
+    words = re.findall(r"[A-Za-z]{2,12}", text[:2000]) or ["no"]
+    digits = lambda n: "".join(rng.choice("0123456789") for _ in range(n))
+    word = lambda: rng.choice(words)
+    date = f"{rng.randint(1900, 2030)}-{rng.randint(1, 12):02d}-{rng.randint(1, 28):02d}"
+    area = rng.choice([rng.randint(1, 665), rng.randint(667, 899)])
+    good = f"{area:03d}-{rng.randint(1, 99):02d}-{rng.randint(1, 9999):04d}"
+    bad = rng.choice([f"{rng.choice([0, 666, rng.randint(900, 999)]):03d}-{digits(2)}-{digits(4)}", f"{area:03d}-00-{digits(4)}"])
+    lookalikes = [
+        ("national", bad),
+        ("phone", rng.choice([date + " " + digits(2), date.replace("-", "/"), f"{rng.randint(1900, 2000)}-{rng.randint(2001, 2030)}"])),
+        ("phone", rng.choice([f"{rng.randint(1, 99)} {digits(3)} {digits(3)}.00", f"978-{digits(1)}-{digits(2)}-{digits(6)}-{digits(1)}", digits(8)])),
+        ("card", rng.choice([f"{date} {digits(6)}", digits(8), digits(10)])),
+        ("secret", rng.choice(["_".join([word(), word(), word(), word(), digits(2)]), "/".join([word(), word(), word(), word() + digits(1), word()])])),
+        ("secret", rng.choice([word().title() + word().title() + word().title() + word().title() + digits(1), f"{word()}-{word()}-{word()}-{date}"])),
+    ]
+    yield "national", f"{word()} {word()} ", good, f" {word()}", 1
+    name, sign = rng.choice(["password", "passwd", "pwd", "secret"]), rng.choice([": ", "=", " = ", ' = "'])
+    yield "secret", f"{word()} {name}{sign}", word() + digits(rng.randint(1, 4)) + rng.choice(["", "x", "!"]), f" {word()}", 1
+    yield "secret", f"{word()} key: ", word(), f" {word()}", 0
+    for kind, span in lookalikes:
+        yield kind, f"{word()} {word()} ", span, f" {word()}", 0
+
+
 def training_rows(text: str) -> Iterator[tuple[int, int, list[float]]]:
-    """Hash, label and features of the candidates of a text that the base can judge."""
-    base = set(base_spans(text))
+    """Hash, label and features of the candidates of a text that something can judge."""
+
+    def row(kind: str, head: str, span: str, tail: str, label: int) -> tuple[int, int, list[float]]:
+        whole = head + span + tail
+        found = features(whole, kind, len(head), len(head) + len(span))
+        return zlib.crc32(f"{kind}:{whole}".encode("utf-8", "replace")), label, found
+
+    base, named = set(base_spans(text)), named_values(text)
     for kind, start, end in candidates(text):
         span = text[start:end]
+        head, tail = text[max(0, start - _CONTEXT) : start], text[end : end + _CONTEXT]
         if (kind, start, end) in base:
             forms, label = [span, *(form(span) for form in _OTHER_FORMS[kind])], 1
+        elif kind == "secret":
+            if (start, end) in named:
+                yield row(kind, head, span, tail, 1)
+                if len(span) >= 16 and _mixed(span):
+                    yield row(kind, " ".join(re.findall("[a-z]+", text[:200])[:2]) + " ", span, " ", 1)
+            continue
+        elif kind == "national":
+            continue
         elif _rejected(kind, span) and not any(s < end and start < e for k, s, e in base if k == kind):
             forms, label = [span], 0
         else:
             continue
-        head, tail = text[max(0, start - _CONTEXT) : start], text[end : end + _CONTEXT]
         for form in dict.fromkeys(forms):
-            whole = head + form + tail
-            row = features(whole, kind, len(head), len(head) + len(form))
-            yield zlib.crc32(f"{kind}:{whole}".encode("utf-8", "replace")), label, row
+            yield row(kind, head, form, tail, label)
+        if label and kind in ("card", "phone"):
+            # The same number beside another one.
+            other = re.sub("[0-9]", "7", span.lstrip("+")) + " "
+            yield row(kind, head + other[-_CONTEXT:], span, tail, 1)
+            yield row(kind, head, span, " " + other + tail, 1)
+    if zlib.crc32(text.encode("utf-8", "replace")) % 4 == 0:
+        for example in made_up(text):
+            yield row(*example)
 
 
 @dataclass
@@ -189,12 +295,19 @@ class SpanModel:
 
 
 def _threshold(p: np.ndarray, y: np.ndarray, precision: float) -> float:
-    """Smallest score at or above which held-out candidates are true often enough."""
+    """Score at or above which held-out candidates are true often enough.
+
+    It lies half way between the last candidate that may be let in and the first that may
+    not, and never below one half.
+    """
     order = np.argsort(-p, kind="stable")
     right = np.cumsum(y[order]) / np.arange(1, len(y) + 1)
     last_of_score = np.r_[p[order][1:] != p[order][:-1], True] if len(y) else np.empty(0, bool)
     good = np.flatnonzero(last_of_score & (right >= precision))
-    return max(0.5, float(p[order][good[-1]])) if len(good) else 2.0
+    if not len(good):
+        return 2.0
+    below = p[order][good[-1] + 1] if good[-1] + 1 < len(p) else 0.0
+    return max(0.5, float(p[order][good[-1]] + below) / 2)
 
 
 def fit(
@@ -213,7 +326,7 @@ def fit(
 
     def rows(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            found = [r for t in batch["text"] if t and _ANY.search(t) for r in training_rows(t)]
+            found = [r for t in batch["text"] if t for r in training_rows(t)]
             yield pd.DataFrame(found, columns=["hash", "label", "features"]).drop_duplicates("hash")
 
     table = (
@@ -232,11 +345,11 @@ def fit(
     held = (table["hash"] % 5 == 0).to_numpy()
     if not 0 < y[~held].sum() < (~held).sum():
         return SpanModel(None, {})
-    trees = boost(x[~held], y[~held].astype(float))
+    trees = boost(x[~held], y[~held].astype(float), rounds=80, depth=4)
     p = trees.probability(x)
     thresholds = {
         kind: _threshold(p[of], y[of], precision)
-        for i, kind in enumerate(KINDS)
+        for i, kind in enumerate(ALL_KINDS)
         if y[of := held & (x[:, 0] == i)].sum()
     }
     return SpanModel(trees, thresholds)
@@ -257,7 +370,7 @@ def _chosen(text: str, base: list[Span], model: SpanModel) -> list[Span]:
 
 
 def _joined(spans: list[Span]) -> str:
-    return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (KINDS.index(x[0]), x[1], x[2])))
+    return ",".join(f"{k}:{s}:{e}" for k, s, e in sorted(spans, key=lambda x: (ALL_KINDS.index(x[0]), x[1], x[2])))
 
 
 def find(text: Column, model: SpanModel) -> Column:
