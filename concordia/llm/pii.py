@@ -15,9 +15,10 @@ There is no labelled personal data.  What the trees learn from is:
   separators, a spelled at sign), as ones, and those its checks reject as zeros;
 - values that a text itself calls a password, token, key or secret as ones, with copies
   that have lost the name;
-- made-up national numbers by their published rules as ones, and as zeros look-alikes put
-  between the words of real texts: dates, times, amounts, catalogue numbers, identifiers,
-  paths, and national numbers that break the rules.
+- made-up national numbers by their published rules, passwords behind a name and addresses
+  as ones, and as zeros look-alikes, all put between the words of real texts: dates, times,
+  amounts, catalogue numbers, identifiers, paths, words after a colon or an at sign, and
+  national numbers that break the rules.
 
 All others teach nothing.  The training table is bounded: of about ``MAX_DOCS`` documents,
 chosen by hash, it has the ``MAX_ROWS`` candidates of smallest hash.
@@ -246,6 +247,9 @@ def made_up(text: str) -> Iterator[tuple[str, str, str, str, int]]:
     name, sign = rng.choice(["password", "passwd", "pwd", "secret"]), rng.choice([": ", "=", " = ", ' = "'])
     yield "secret", f"{word()} {name}{sign}", word() + digits(rng.randint(1, 4)) + rng.choice(["", "x", "!"]), f" {word()}", 1
     yield "secret", f"{word()} key: ", word(), f" {word()}", 0
+    host = f"{word()}{rng.choice(['', '.' + word()])}.{rng.choice(['com', 'org', 'net'])}".lower()
+    yield "email", f"{word()} {word()} ", word() + rng.choice(["@", " [at] ", "(at)"]) + host, f" {word()}", 1
+    yield "email", f"{word()} {word()} ", word() + rng.choice(["@", " @ "]) + word(), f" {word()}", 0
     for kind, span in lookalikes:
         yield kind, f"{word()} {word()} ", span, f" {word()}", 0
 
