@@ -159,7 +159,7 @@ def _cells(
                 cell.labels += rows["label"].tolist()[:front]
                 cell.vectors += rows["vec"].tolist()[:front]
                 cell.known += rows["scores"].tolist()[:front]
-            if front == len(rows) or not cell.ids:
+            if front == len(rows) or not len(cell.ids):
                 continue
             if cell.matrix is None:
                 cell.matrix = whole_numbers(cell.vectors, scale)

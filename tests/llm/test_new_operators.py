@@ -125,8 +125,15 @@ def test_negatives_of_untidy_rows(spark, monkeypatch, tile, block, group):
     rows += [(3150, [float("inf"), 1.0, 1.0, 1.0], 1), (3200, [None, 1.0, 1.0, 1.0], 1)] + rows[:30]
     table = spark.createDataFrame(rows, "vec_id long, embedding array<double>, label int")
     table = table.withColumns({"scores": F.lit(1), "cell": F.lit(2), "anchor": F.lit("x")}).repartition(6)
-    found = hard_negatives.mine(table, F.col("vec_id") % 50 == 0)
-    assert sorted(map(tuple, found.collect())) == plain_negatives(rows)
+    # Cells and anchors that span many Arrow batches.
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    spark.conf.set(key, 7 if tile == 64 else 100)
+    try:
+        found = hard_negatives.mine(table, F.col("vec_id") % 50 == 0)
+        assert sorted(map(tuple, found.collect())) == plain_negatives(rows)
+    finally:
+        spark.conf.set(key, before)
     assert len(plain_negatives(rows)) > 50
     assert hard_negatives.mine(table.limit(0), F.col("vec_id") % 50 == 0).count() == 0
 
