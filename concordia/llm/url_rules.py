@@ -9,8 +9,9 @@ least as surely; they are matched through an inverted index from a rule's rarest
 
 from __future__ import annotations
 
+import itertools
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import pandas as pd
 from pyspark.ml.fpm import FPGrowth
@@ -26,8 +27,6 @@ RULES = (
 )
 MIN_SUPPORT = 0.005
 MIN_CONFIDENCE = 0.95
-#: Tokens of a URL that mining sees, its most frequent ones; matching sees all.
-MINED_TOKENS = 12
 #: Mined rules sent to the tasks at a time.
 CHUNK = 100_000
 DEFAULT = "allow"
@@ -124,12 +123,14 @@ def mine(
     rules=RULES,
     min_support: float = MIN_SUPPORT,
     min_confidence: float = MIN_CONFIDENCE,
-    mined_tokens: int = MINED_TOKENS,
 ) -> list[MinedRule]:
     """Association rules from tokens to verdicts, of all distinct URLs that a listed rule fits.
 
-    Of each URL the ``mined_tokens`` most frequent tokens take part, so there are at most
-    ``2 ** mined_tokens / min_support`` frequent combinations, however many URLs there are.
+    All frequent tokens of a URL take part.  Tokens that occur in exactly the same URLs, as
+    the parts of one address do, are mined as one: a combination of several of them has
+    the support and confidence of any one, so pruning would drop it, and the others stand
+    in for that one in the rules found.  This keeps long URLs from yielding all subsets of
+    their parts.  Support alone bounds the combinations of tokens that differ.
     Without URLs of a listed rule there are no mined rules.
     """
     known = _parsed(pages, url_col).withColumn(
@@ -140,40 +141,39 @@ def mine(
     if not total:
         return []
     frequent = (
-        known.select(F.explode("tokens").alias("token"))
+        known.select(F.explode("tokens").alias("token"), F.xxhash64("url").alias("place"))
         .groupBy("token")
-        .count()
-        .filter(F.col("count") >= min_support * total)
+        .agg(F.count(F.lit(1)).alias("n"), F.bit_xor("place").alias("places"))
+        .filter(F.col("n") >= min_support * total)
     )
     # At most (tokens of a URL) / min_support tokens are frequent.
-    often = {r["token"]: r["count"] for r in frequent.collect()}
-    order = F.create_map(*(F.lit(x) for t, n in often.items() for x in (t, n))) if often else None
-    if order is None:
+    often: dict[str, int] = {}
+    alike: dict[tuple[int, int], list[str]] = {}
+    for r in frequent.orderBy("token").collect():
+        often[r["token"]] = r["n"]
+        alike.setdefault((r["n"], r["places"]), []).append(r["token"])
+    if not often:
         return []
-    rank = lambda x: F.struct((-order[x]).alias("n"), x.alias("token"))
-    mined = F.slice(
-        F.array_sort(F.transform(F.filter("tokens", lambda x: order[x].isNotNull()), rank)), 1, mined_tokens
-    )
-    items = known.select(
-        F.concat(F.transform(mined, lambda x: x["token"]), F.array(F.concat(F.lit("="), "verdict"))).alias("items")
-    )
+    members = {group[0]: group for group in alike.values()}
+    first = F.create_map(*(F.lit(x) for name, group in members.items() for t in group for x in (t, name)))
+    mined = F.array_distinct(F.filter(F.transform("tokens", lambda x: first[x]), lambda x: x.isNotNull()))
+    items = known.select(F.concat(mined, F.array(F.concat(F.lit("="), "verdict"))).alias("items"))
     model = FPGrowth(itemsCol="items", minSupport=min_support, minConfidence=min_confidence).fit(items)
     found = (
         model.associationRules.filter(F.col("consequent")[0].startswith("="))
         .filter(~F.exists("antecedent", lambda x: x.startswith("=")))
         .collect()
     )
-    return _pruned(
-        [
-            MinedRule(
-                tuple(sorted(r["antecedent"], key=lambda t: (often[t], t))),
-                r["consequent"][0][1:],
-                r["confidence"],
-                r["support"],
-            )
-            for r in found
-        ]
+    by_count = lambda names: tuple(sorted(names, key=lambda t: (often[t], t)))
+    kept = _pruned(
+        [MinedRule(by_count(r["antecedent"]), r["consequent"][0][1:], r["confidence"], r["support"]) for r in found]
+    )
+    spelled = (
+        replace(rule, tokens=by_count(names))
+        for rule in kept
+        for names in itertools.product(*(members[t] for t in rule.tokens))
     )
+    return sorted(spelled, key=lambda r: r.order)
 
 
 def _best_rule(chunk: list[MinedRule]):

@@ -194,6 +194,50 @@ def test_mined_rules_match_by_all_their_tokens(spark):
     assert url_rules.mine(pages.limit(0)) == []
 
 
+def plain_rules(urls, support, confidence):
+    """All sets of tokens counted one by one, without those a subset makes needless."""
+    known = []
+    for url in urls:
+        host, _, path = url.split("://")[1].partition("/")
+        labels, parts = host.split("."), path.split("/")
+        verdict = "allow" if host.endswith("example.net") and parts[0] == "en" else "block"
+        known.append(({f"h:{x}" for x in labels} | {f"p:{x}" for x in parts if x}, verdict))
+    least = support * len(known)
+    every = {t for have, _ in known for t in have}
+    often = sorted(t for t in every if sum(t in have for have, _ in known) >= least)
+    sure = {}
+    for size in range(1, len(often) + 1):
+        for chosen in itertools.combinations(often, size):
+            verdicts = [v for have, v in known if have.issuperset(chosen)]
+            for v in ("allow", "block"):
+                n = verdicts.count(v)
+                if not n or n < least or n / len(verdicts) < confidence:
+                    continue
+                shorter = (sure.get((s, v)) for k in range(1, size) for s in itertools.combinations(chosen, k))
+                if not any(c is not None and c[0] >= n / len(verdicts) for c in shorter):
+                    sure[chosen, v] = (n / len(verdicts), n / len(known))
+    return sure
+
+
+def test_mined_rules_count_all_tokens_of_long_urls(spark):
+    rng = random.Random(5)
+    urls = set()
+    while len(urls) < 90:
+        # Five parts that always come together, seven that come and go, and a rare one.
+        parts = [f"part{c}" for c in "abcdefg" if rng.random() < 0.6]
+        start = rng.choice(["en/one/two/three/four/", "de/"])
+        urls.add(f"http://{rng.choice('xy')}.example.net/{start}" + "/".join(parts))
+    urls = sorted(urls) + ["http://rare.net/only/" + "/".join(f"part{c}" for c in "abcdefg")]
+    pages = spark.createDataFrame([(i, u) for i, u in enumerate(urls * 2)], "page_id long, url string")
+    mined = url_rules.mine(pages, min_support=0.1, min_confidence=0.6)
+    wanted = plain_rules(urls, 0.1, 0.6)
+    found = {(tuple(sorted(r.tokens)), r.verdict): (r.confidence, r.support) for r in mined}
+    assert max(len(u.split("/")) for u in urls) > 12 and len(found) == len(mined) > 8
+    assert found.keys() == wanted.keys()
+    assert all(found[k] == pytest.approx(wanted[k]) for k in wanted)
+    assert [r.order for r in mined] == sorted(r.order for r in mined)
+
+
 def plain_counts(text):
     text = text or ""
     words = WORDS.findall(text)
