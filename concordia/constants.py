@@ -31,6 +31,11 @@ BROADCAST_BUCKETS = 1 << 20
 # Samples up to this many hashes are broadcast, larger ones are joined by shuffle.
 BROADCAST_SAMPLE = 100_000
 
+# Rows one task reads from a database table without a configured split, and the most
+# tasks, that is connections, for one such table.
+JDBC_ROWS_PER_TASK = 2_000_000
+JDBC_MAX_TASKS = 32
+
 # Rows one reduce task of a row diff should count: some 400 MB of hashes and counters.
 ROWS_PER_SHUFFLE_TASK = 8_000_000
 

@@ -19,6 +19,7 @@ from ..constants import (
     CHECKSUM_REFINEMENT,
     COMMON,
     ERROR,
+    JDBC_ROWS_PER_TASK,
     READ_SOURCE,
     TABLE_COUNT,
     TABLE_TIMEOUT_MINUTES,
@@ -73,24 +74,33 @@ class SourceTables(Protocol):
 
 class JdbcTables:
     """A live database; ``splits`` gives scan_jdbc arguments (such as partition_column)
-    for tables that are read in parallel, by OWNER.TABLE, in place of the catalogue's."""
+    for tables that are read in parallel, by OWNER.TABLE, in place of the catalogue's.
+    Other tables of more than ``rows_per_task`` rows are split as ``planned_split`` says;
+    None leaves each of them to one task."""
 
     changes_while_read = True
 
     def __init__(
-        self, spark: SparkSession, config: DatabaseConfig, splits: dict[str, dict] | None = None
+        self,
+        spark: SparkSession,
+        config: DatabaseConfig,
+        splits: dict[str, dict] | None = None,
+        rows_per_task: int | None = JDBC_ROWS_PER_TASK,
     ):
-        self.spark, self.config = spark, config
+        self.spark, self.config, self.rows_per_task = spark, config, rows_per_task
         self.dialect = jdbc.dialect_of(config.db_type).name
         chosen = config.splits if splits is None else splits
         self.splits = {k.upper(): v for k, v in chosen.items()}
         self._names: dict[str, list[tuple[str, str]]] = {}
+        self._sizes: dict[tuple[str, str], int | None] = {}
 
     def tables(self) -> DataFrame:
         listed = jdbc.list_source_tables(self.spark, self.config).collect()
         self._names = {}
         for r in listed:
             self._names.setdefault(r["table_name"], []).append((r["owner"], r["table"]))
+        if self.rows_per_task is not None:
+            self._sizes = jdbc.known_sizes(self.spark, self.config)
         return jdbc.non_empty_tables(
             self.spark, self.config, [(r["table_name"], r["owner"], r["table"]) for r in listed]
         )
@@ -105,9 +115,13 @@ class JdbcTables:
 
     def scan(self, table_name: str) -> DataFrame:
         owner, table = one_spelling(table_name, self._names[table_name])
-        return jdbc.scan_jdbc(
-            self.spark, self.config, owner, table, **self.splits.get(table_name, {})
-        )
+        split = self.splits.get(table_name)
+        if split is None:
+            rows = self._sizes.get((owner, table))
+            split = (
+                jdbc.planned_split(self.spark, self.config, owner, table, rows, self.rows_per_task) if rows else {}
+            )
+        return jdbc.scan_jdbc(self.spark, self.config, owner, table, **split)
 
 
 class ParquetTables:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Callable, Iterable
 from dataclasses import dataclass
 from decimal import Decimal
@@ -11,7 +12,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..constants import JDBC_FETCH_SIZE
+from ..constants import JDBC_FETCH_SIZE, JDBC_MAX_TASKS, JDBC_ROWS_PER_TASK
 from .catalogs import DatabaseConfig
 
 # Schemas that belong to the database system, per dialect.
@@ -31,6 +32,13 @@ MSSQL_SYSTEM_SCHEMAS = [
 _PROBES_PER_QUERY = 50
 
 
+_TABLE = ("TABLE_SCHEMA", "TABLE_NAME")
+
+
+def _literal(text: str) -> str:
+    return "'" + text.replace("'", "''") + "'"
+
+
 @dataclass(frozen=True)
 class Dialect:
     """How one kind of database spells its dictionary and its identifiers."""
@@ -46,6 +54,10 @@ class Dialect:
     system_schemas: tuple[str, ...]
     system_patterns: tuple[str, ...]
     one_row: str
+    sizes_from: str
+    size_columns: tuple[str, str, str]
+    key_part: str
+    row_part: str | None
 
     def quote(self, identifier: str) -> str:
         start, end = self.quotes
@@ -65,6 +77,40 @@ class Dialect:
         where = " AND ".join(c for c in (self.table_filter, self._user_schemas(owner)) if c)
         return f"SELECT {owner} AS owner_name, {table} AS bare_name FROM {self.tables_from} WHERE {where}"
 
+    def sizes_query(self) -> str:
+        """Rows of each table as the dictionary last counted or estimated them."""
+        owner, table, rows = self.size_columns
+        return (
+            f"SELECT {owner} AS owner_name, {table} AS bare_name, {rows} AS row_estimate "
+            f"FROM {self.sizes_from} WHERE {self._user_schemas(owner)}"
+        )
+
+    def key_query(self, owner: str, table: str) -> str:
+        """Columns of a table's primary key; for databases without row addresses of their own."""
+        match = " AND ".join(f"k.{c} = c.{c}" for c in ("CONSTRAINT_SCHEMA", "CONSTRAINT_NAME", *_TABLE))
+        wanted = " AND ".join(f"c.{c} = {_literal(v)}" for c, v in zip(_TABLE, (owner, table)))
+        return (
+            "SELECT k.COLUMN_NAME AS column_name, k.ORDINAL_POSITION AS ordinal_no "
+            "FROM INFORMATION_SCHEMA.TABLE_CONSTRAINTS c "
+            f"JOIN INFORMATION_SCHEMA.KEY_COLUMN_USAGE k ON {match} "
+            f"WHERE c.CONSTRAINT_TYPE = 'PRIMARY KEY' AND {wanted}"
+        )
+
+    def part_predicates(self, parts: int, key: Iterable[str] = ()) -> list[str] | None:
+        """Conditions that deal the rows into ``parts``, each row into exactly one.
+
+        Rows are dealt by a hash of their ``key`` if there is one, else by that of their
+        address; None if the database has neither.
+        """
+        columns = ", ".join(self.quote(c) for c in key)
+        if columns and self.key_part:
+            part = self.key_part.format(columns=columns, parts=parts, last=parts - 1)
+        elif self.row_part is not None:
+            part = self.row_part.format(parts=parts, last=parts - 1)
+        else:
+            return None
+        return [f"{part} = {i}" for i in range(parts)]
+
     def columns_query(self) -> str:
         owner, table, column, position, data_type = self.column_columns
         return (
@@ -101,6 +147,10 @@ DIALECTS = {
         system_schemas=tuple(ORACLE_SYSTEM_SCHEMAS),
         system_patterns=tuple(ORACLE_SYSTEM_PATTERNS),
         one_row="SELECT 1 AS has_row FROM {relation} WHERE ROWNUM = 1",
+        sizes_from="ALL_TABLES",
+        size_columns=("OWNER", "TABLE_NAME", "NUM_ROWS"),
+        key_part="",
+        row_part="ORA_HASH(ROWID, {last})",
     ),
     "mysql": Dialect(
         name="mysql",
@@ -114,6 +164,10 @@ DIALECTS = {
         system_schemas=tuple(MYSQL_SYSTEM_SCHEMAS),
         system_patterns=(),
         one_row="SELECT 1 AS has_row FROM {relation} LIMIT 1",
+        sizes_from="INFORMATION_SCHEMA.TABLES",
+        size_columns=("TABLE_SCHEMA", "TABLE_NAME", "TABLE_ROWS"),
+        key_part="MOD(CRC32(CONCAT_WS(',', {columns})), {parts})",
+        row_part=None,
     ),
     "mssql": Dialect(
         name="mssql",
@@ -127,6 +181,16 @@ DIALECTS = {
         system_schemas=tuple(MSSQL_SYSTEM_SCHEMAS),
         system_patterns=(),
         one_row="SELECT TOP 1 1 AS has_row FROM {relation}",
+        # The heap or the clustered index of a table holds each of its rows once.
+        sizes_from=(
+            "(SELECT SCHEMA_NAME(t.schema_id) AS owner_name, t.name AS bare_name, SUM(p.rows) AS row_count "
+            "FROM sys.tables t JOIN sys.partitions p ON p.object_id = t.object_id AND p.index_id IN (0, 1) "
+            "GROUP BY t.schema_id, t.name) s"
+        ),
+        size_columns=("owner_name", "bare_name", "row_count"),
+        # CHECKSUM may be the lowest int, which has no absolute value as an int.
+        key_part="ABS(CAST(CHECKSUM({columns}) AS BIGINT)) % {parts}",
+        row_part="ABS(CAST(CHECKSUM(%%physloc%%) AS BIGINT)) % {parts}",
     ),
 }
 
@@ -257,6 +321,63 @@ def _whole(bound: object, rounded: Callable) -> object:
     return rounded(bound) if isinstance(bound, (Decimal, float)) else bound
 
 
+def table_sizes(spark: SparkSession, config: DatabaseConfig) -> DataFrame:
+    """(table_name, owner, table, rows) of all user tables; rows are the dictionary's estimate or NULL."""
+    found = _query(spark, config, dialect_of(config.db_type).sizes_query())
+    return found.select(
+        F.upper(F.concat_ws(".", "owner_name", "bare_name")).alias("table_name"),
+        F.col("owner_name").alias("owner"),
+        F.col("bare_name").alias("table"),
+        F.col("row_estimate").cast("long").alias("rows"),
+    )
+
+
+def known_sizes(spark: SparkSession, config: DatabaseConfig) -> dict[tuple[str, str], int | None]:
+    """``table_sizes`` by (owner, table).
+
+    They only plan splits, so a user who may not read them gets a warning and one task a table.
+    """
+    try:
+        return {(r["owner"], r["table"]): r["rows"] for r in table_sizes(spark, config).collect()}
+    except Exception as error:  # noqa: BLE001 - drivers raise all kinds of Java errors
+        if not _is_database_error(error):
+            raise
+        warnings.warn(f"no table sizes from {config.name}, tables are not split: {type(error).__name__}", stacklevel=2)
+        return {}
+
+
+def planned_split(
+    spark: SparkSession,
+    config: DatabaseConfig,
+    owner: str,
+    table: str,
+    rows: int | None,
+    rows_per_task: int = JDBC_ROWS_PER_TASK,
+    max_tasks: int = JDBC_MAX_TASKS,
+) -> dict[str, list[str]]:
+    """Arguments of ``scan_jdbc`` for a table without a configured split.
+
+    A table of more than ``rows_per_task`` rows is dealt by a hash of its primary key, or
+    of its row address, among as many tasks as that takes.  ``max_tasks`` bounds the connections to the
+    database, not the rows: each task of a larger table reads more.  Every task makes the
+    database look through the whole table, so a partition column with an index, where
+    there is one, is better configured.  A table of unknown size, or one that has neither
+    a key nor an address to hash, stays one task.
+    """
+    if rows_per_task < 1 or max_tasks < 1:
+        raise ValueError("rows_per_task and max_tasks must be positive")
+    parts = min(max_tasks, -(-(rows or 0) // rows_per_task))
+    if parts < 2:
+        return {}
+    dialect = dialect_of(config.db_type)
+    key = []
+    if dialect.key_part:
+        found = _query(spark, config, dialect.key_query(owner, table)).collect()
+        key = [name for name, _ in sorted(found, key=lambda r: r[1])]
+    predicates = dialect.part_predicates(parts, key)
+    return {} if predicates is None else {"predicates": predicates}
+
+
 def scan_jdbc(
     spark: SparkSession,
     config: DatabaseConfig,

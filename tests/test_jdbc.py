@@ -178,3 +178,103 @@ def test_scan_uses_the_splits_of_the_catalogue():
     tables._names = {"APP.T1": [("APP", "T1")]}
     tables.scan("APP.T1")
     assert spark.log[0]["predicates"] == ["a = 1", "a <> 1"]
+
+
+@pytest.mark.parametrize(
+    "db_type, source, rows",
+    [
+        ("oracle", "FROM ALL_TABLES WHERE OWNER NOT IN", "NUM_ROWS AS row_estimate"),
+        ("mysql", "FROM INFORMATION_SCHEMA.TABLES WHERE TABLE_SCHEMA NOT IN", "TABLE_ROWS AS row_estimate"),
+        ("mssql", "p.index_id IN (0, 1) GROUP BY t.schema_id, t.name) s WHERE owner_name NOT IN", "row_count AS row_estimate"),
+    ],
+)
+def test_sizes_come_from_the_dictionary_in_one_query(db_type, source, rows):
+    sql = jdbc.dialect_of(db_type).sizes_query()
+    assert source in sql and rows in sql and sql.startswith("SELECT ")
+
+
+@pytest.mark.parametrize(
+    "db_type, key, first, last",
+    [
+        ("oracle", [], "ORA_HASH(ROWID, 2) = 0", "ORA_HASH(ROWID, 2) = 2"),
+        (
+            "mysql",
+            [("b`", 2), ("a", 1)],
+            "MOD(CRC32(CONCAT_WS(',', `a`, `b```)), 3) = 0",
+            "MOD(CRC32(CONCAT_WS(',', `a`, `b```)), 3) = 2",
+        ),
+        (
+            "mssql",
+            [("ID", 1)],
+            "ABS(CAST(CHECKSUM([ID]) AS BIGINT)) % 3 = 0",
+            "ABS(CAST(CHECKSUM([ID]) AS BIGINT)) % 3 = 2",
+        ),
+        (
+            "mssql",
+            [],
+            "ABS(CAST(CHECKSUM(%%physloc%%) AS BIGINT)) % 3 = 0",
+            "ABS(CAST(CHECKSUM(%%physloc%%) AS BIGINT)) % 3 = 2",
+        ),
+    ],
+)
+def test_large_tables_are_dealt_by_key_or_address(db_type, key, first, last):
+    spark = FakeSpark(lambda options: Rows(key))
+    split = jdbc.planned_split(spark, config(db_type), "app", "o'b", 25, rows_per_task=10)
+    assert [split["predicates"][i] for i in (0, -1)] == [first, last] and len(split["predicates"]) == 3
+    asked = [o["dbtable"] for o in spark.log]
+    assert len(asked) == (db_type != "oracle")
+    assert all("c.TABLE_SCHEMA = 'app' AND c.TABLE_NAME = 'o''b'" in sql for sql in asked)
+    jdbc.scan_jdbc(spark, config(db_type), "app", "o'b", **split)
+    assert spark.log[-1]["predicates"] == split["predicates"]
+
+
+class Rows:
+    def __init__(self, rows):
+        self.rows = rows
+
+    def collect(self):
+        return self.rows
+
+
+def test_tables_that_stay_one_task():
+    spark = FakeSpark(lambda options: Rows([]))
+    for rows in (None, 0, 1, 10):
+        assert jdbc.planned_split(spark, config("mysql"), "APP", "T1", rows, rows_per_task=10) == {}
+    assert not spark.log
+    assert jdbc.planned_split(spark, config("mysql"), "APP", "T1", 11, rows_per_task=10) == {}
+    many = jdbc.planned_split(spark, config(), "APP", "T1", 10**12, rows_per_task=10, max_tasks=16)
+    assert len(many["predicates"]) == 16
+    with pytest.raises(ValueError, match="positive"):
+        jdbc.planned_split(spark, config(), "APP", "T1", 5, rows_per_task=0)
+
+
+def test_configured_splits_come_before_planned_ones():
+    from concordia.plans.compare_database import JdbcTables
+
+    spark = FakeSpark(lambda options: Rows([]))
+    tables = JdbcTables(spark, config(splits={"app.t1": {"predicates": ["a = 1", "a <> 1"]}}), rows_per_task=10)
+    tables._names = {f"APP.T{i}": [("APP", f"T{i}")] for i in (1, 2, 3)}
+    tables._sizes = {("APP", "T1"): 100, ("APP", "T2"): 20}
+    for name in tables._names:
+        tables.scan(name)
+    assert spark.log[0]["predicates"] == ["a = 1", "a <> 1"]
+    assert spark.log[1]["predicates"] == ["ORA_HASH(ROWID, 1) = 0", "ORA_HASH(ROWID, 1) = 1"]
+    assert spark.log[2]["numPartitions"] == "1" and "predicates" not in spark.log[2]
+
+
+def test_parts_of_numbers_cover_every_row_once(spark):
+    # The same arithmetic as Spark's: a hash modulo the number of parts hits each row once.
+    parts = jdbc.dialect_of("mysql").part_predicates(7, ["a", "b"])
+    rows = spark.range(1000).selectExpr("id as a", "cast(id % 13 as string) as b")
+    hits = rows.selectExpr(*[f"cast({p} as int) as p{i}" for i, p in enumerate(parts)])
+    assert {sum(r) for r in hits.collect()} == {1}
+
+
+def test_sizes_that_cannot_be_read_leave_tables_whole():
+    from pyspark.errors import PySparkException
+
+    def refuse(options):
+        raise PySparkException("no right to read the dictionary")
+
+    with pytest.warns(UserWarning, match="not split"):
+        assert jdbc.known_sizes(FakeSpark(refuse), config("mssql")) == {}
