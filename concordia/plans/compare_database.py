@@ -7,6 +7,7 @@ import time
 from collections.abc import Callable
 from concurrent.futures import FIRST_COMPLETED, ThreadPoolExecutor, wait
 from dataclasses import dataclass
+from threading import Event
 from typing import Any, Protocol
 
 from pyspark import InheritableThread
@@ -174,8 +175,13 @@ class TimeLimitReached(Exception):
     """A table took longer than allowed."""
 
 
-def run_limited(spark: SparkSession, work: Callable[[], Any], seconds: float, tag: str) -> Any:
-    """Run ``work`` with a time limit; on reaching it its Spark jobs are cancelled."""
+def run_limited(
+    spark: SparkSession, work: Callable[[], Any], seconds: float, tag: str, expired: Event | None = None
+) -> Any:
+    """Run ``work`` with a time limit; on reaching it its Spark jobs are cancelled.
+
+    ``expired`` is set first, so that ``work`` can tell a cancelled job from a failed one.
+    """
     outcome: dict[str, Any] = {}
     context = spark.sparkContext
 
@@ -192,6 +198,8 @@ def run_limited(spark: SparkSession, work: Callable[[], Any], seconds: float, ta
     worker.start()
     worker.join(seconds)
     if worker.is_alive():
+        if expired is not None:
+            expired.set()
         # Cancelling ends the running job; repeating it catches a job started meanwhile.
         for _ in range(_CANCEL_ATTEMPTS):
             context.cancelJobsWithTag(tag)
@@ -324,6 +332,7 @@ def compare_database(
     store([plain_verdict(run, name, READ_SOURCE, ERROR, detail) for name in unknown])
     def one_table(name: str) -> list[Row]:
         rows: list[Row] = []
+        expired = Event()
         # Settings are adapted to the table in a session of its own.
         session = child_session(spark)
         target = (verdict_root, run.run_id, run.db_name, name, attempt)
@@ -332,6 +341,11 @@ def compare_database(
             reader = session.read.schema(landed[name]) if name in landed else session.read
             return reader.parquet(one_spelling(name, paths[name]))
 
+        def emit(row: Row) -> None:
+            if expired.is_set():  # what a cancelled check reports is no finding
+                raise TimeLimitReached(name)
+            rows.append(row)
+
         def work() -> None:
             left, failure = read_check(lambda: source.on(session).scan(name), run, name, "source")
             if failure is None:
@@ -343,12 +357,15 @@ def compare_database(
             if settings.store_diffs:
                 stores["store_buckets"] = lambda nodes: write_diff_buckets(nodes, *target)
                 stores["store_rows"] = lambda diff: write_diff_rows(diff, *target)
-            given = stores | {"phase_folder": f"{phases}/{name}"} | options
-            compare_table(left, right, run, name, schema_verdict=schemas[name], emit=rows.append, **given)
-            delete_directory(spark, f"{phases}/{name}")
+            given = stores | {"phase_folder": f"{phases}/{name}", "errors": "verdict"} | options
+            compare_table(left, right, run, name, schema_verdict=schemas[name], emit=emit, **given)
+            # What phase 1 has found serves the next attempt after a failure.
+            if not any(row["status"] == ERROR for row in rows):
+                delete_directory(spark, f"{phases}/{name}")
 
         try:
-            run_limited(spark, work, settings.time_limit_seconds, f"{run.run_id}-{run.db_name}-{name}")
+            tag = f"{run.run_id}-{run.db_name}-{name}"
+            run_limited(spark, work, settings.time_limit_seconds, tag, expired)
         except TimeLimitReached as limit:
             return list(rows) + [plain_verdict(run, name, TIMEOUT, ERROR, error_text(limit))]
         except Exception as error:  # noqa: BLE001 - one bad table must not stop the others

@@ -11,7 +11,9 @@ from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from ..constants import (
+    CHECKSUM,
     CHECKSUM_BUCKETS,
+    COUNT,
     DETAIL_ERROR_CHARS,
     ERROR,
     OK,
@@ -22,6 +24,7 @@ from ..constants import (
     ROW_DIFF,
     ROW_SAMPLE,
     ROWS_PER_SHUFFLE_TASK,
+    SCHEMA,
     VERDICT_SCHEMA,
 )
 from ..functions.canonical import DEFAULT_OPTIONS, CanonicalOptions, quoted
@@ -86,6 +89,7 @@ def compare_table(
     phase_folder: str | None = None,
     store_buckets: Callable[[DataFrame], None] | None = None,
     store_rows: Callable[[DataFrame], DataFrame] | None = None,
+    errors: str = "raise",
 ) -> DataFrame:
     """SCHEMA, COUNT, CHECKSUM and ROW_DIFF verdicts of one table pair.
 
@@ -113,9 +117,15 @@ def compare_table(
     ``phase_folder`` keeps the result of phase 1 for a later attempt, which takes it up if
     both sides still read the same files (only with "rescan").  ``schema_verdict`` is taken
     for SCHEMA if it is at hand.  Session settings are the same afterwards as before.
+
+    With ``errors="verdict"`` a check that fails is an ERROR verdict with the message, and the
+    others still run; those that need the checksums of phase 1 are ERROR, too, if these fail.
+    Only wrong arguments and failures of ``emit`` and ``samples`` are raised then.
     """
     if columns not in ("all", "common"):
         raise ValueError(f"columns must be 'all' or 'common', got {columns!r}")
+    if errors not in ("raise", "verdict"):
+        raise ValueError(f"errors must be 'raise' or 'verdict', got {errors!r}")
     if reuse not in ("rescan", "cache", "freeze_source"):
         raise ValueError(f"reuse must be rescan, cache or freeze_source, got {reuse!r}")
     spark = sink.sparkSession
@@ -129,11 +139,20 @@ def compare_table(
         if emit is not None:
             emit(row)
 
-    def timed(build: Callable[[], DataFrame]) -> Row:
-        """Run one check; its frame has exactly one row."""
+    def timed(check_type: str, build: Callable[[], DataFrame]) -> Row | None:
+        """Run one check; its frame has exactly one row.  None if it fails and that is a verdict."""
         start = time.monotonic()
-        values = build().first().asDict()
-        values["duration_ms"] = int((time.monotonic() - start) * 1000)
+        try:
+            values, failure = build().first().asDict(), None
+        except Exception as error:  # noqa: BLE001 - any failure of a check is its verdict
+            if errors == "raise":
+                raise
+            values, failure = {}, error_text(error)
+        duration = int((time.monotonic() - start) * 1000)
+        if failure is not None:
+            add(plain_verdict(run, table_name, check_type, ERROR, failure, duration))
+            return None
+        values["duration_ms"] = duration
         row = Row(*VERDICT_SCHEMA.fieldNames())(*[values[n] for n in VERDICT_SCHEMA.fieldNames()])
         add(row)
         return row
@@ -142,20 +161,26 @@ def compare_table(
         if schema_verdict is not None:
             add(schema_verdict)
         else:
-            if source_columns is None:
-                source_columns, dialect = columns_of(spark, table_name, source.schema), "spark"
-            declared = source_columns.filter(F.upper("table_name") == table_name.upper())
-            landed = columns_of(spark, table_name, sink.schema)
-            timed(lambda: schema_check(schema_diff(declared, landed, dialect, categories), run, table_name))
+
+            def schema_phase() -> DataFrame:
+                own = source_columns is None
+                listed = columns_of(spark, table_name, source.schema) if own else source_columns
+                declared = listed.filter(F.upper("table_name") == table_name.upper())
+                landed = columns_of(spark, table_name, sink.schema)
+                diff = schema_diff(declared, landed, "spark" if own else dialect, categories)
+                return schema_check(diff, run, table_name)
+
+            timed(SCHEMA, schema_phase)
 
         if columns == "common":
             source, sink = shared_columns(source, sink)
-        source_hashes = fingerprint(source, options, keep_columns=False)
-        sink_hashes = fingerprint(sink, options, keep_columns=False)
+        source_hashes = sink_hashes = None
         compared: list[DataFrame] = []
 
         def phase_one() -> DataFrame:
             nonlocal source_hashes, sink_hashes
+            source_hashes = fingerprint(source, options, keep_columns=False)
+            sink_hashes = fingerprint(sink, options, keep_columns=False)
             if reuse == "freeze_source":
                 source_hashes = stack.enter_context(frozen_hashes(source_hashes))
             elif reuse == "cache":
@@ -174,13 +199,8 @@ def compare_table(
                 compared.append(checkpointed(both))
             return count_check(compared[0], run, table_name)
 
-        timed(phase_one)
-        differing = compared[0].filter("differs")
-        checksum = timed(lambda: checksum_check(differing, run, table_name, bucket_count))
-        if checksum["status"] == OK:
-            detail = "No checksum differences, row diff skipped"
-            add(plain_verdict(run, table_name, ROW_DIFF, OK, detail))
-        else:
+        def phase_two() -> DataFrame:
+            nonlocal diff
             tree = checksum_tree(
                 source_hashes, sink_hashes, bucket_count, refinement, bucket_fn, leaf_rows, compared[0]
             )
@@ -192,17 +212,23 @@ def compare_table(
             diff = row_diff(
                 source_hashes, sink_hashes, tree.leaves, tree.bucket_count, bucket_fn, tree.differing
             )
-
-            def phase_two() -> DataFrame:
-                nonlocal diff
-                if store_rows is not None:
-                    diff = store_rows(diff)
-                return row_diff_check(diff, run, table_name, multiset)
-
-            timed(phase_two)
-            if samples is not None:
-                samples("source", diff_sample(source, diff, ONLY_IN_SOURCE, sample_size, options))
-                samples("sink", diff_sample(sink, diff, ONLY_IN_SINK, sample_size, options))
+            if store_rows is not None:
+                diff = store_rows(diff)
+            return row_diff_check(diff, run, table_name, multiset)
+
+        diff: DataFrame | None = None
+        if timed(COUNT, phase_one) is None:
+            for check_type in (CHECKSUM, ROW_DIFF):
+                add(plain_verdict(run, table_name, check_type, ERROR, "Not run, the checksums of COUNT have failed"))
+            return spark.createDataFrame(rows, VERDICT_SCHEMA)
+        differing = compared[0].filter("differs")
+        checksum = timed(CHECKSUM, lambda: checksum_check(differing, run, table_name, bucket_count))
+        if checksum is not None and checksum["status"] == OK:
+            detail = "No checksum differences, row diff skipped"
+            add(plain_verdict(run, table_name, ROW_DIFF, OK, detail))
+        elif timed(ROW_DIFF, phase_two) is not None and samples is not None:
+            samples("source", diff_sample(source, diff, ONLY_IN_SOURCE, sample_size, options))
+            samples("sink", diff_sample(sink, diff, ONLY_IN_SINK, sample_size, options))
     return spark.createDataFrame(rows, VERDICT_SCHEMA)
 
 

@@ -223,6 +223,48 @@ def test_shuffle_grows_with_the_rows_to_compare(spark):
         spark.conf.set("spark.sql.shuffle.partitions", before)
 
 
+def unreadable(frame, column):
+    """Any row that is read fails the job."""
+    return frame.withColumn(column, F.raise_error(F.lit("a row was read")).cast(frame.schema[column].dataType))
+
+
+def test_a_failing_check_is_a_verdict(spark, table):
+    seen = []
+    region = table("region")
+    found = by_check(
+        compare_table(unreadable(region, "r_name"), region, RUN, "R", errors="verdict", emit=seen.append)
+    )
+    assert {k: v.status for k, v in found.items()} == {
+        "SCHEMA": "OK", "COUNT": "ERROR", "CHECKSUM": "ERROR", "ROW_DIFF": "ERROR",
+    }
+    assert "a row was read" in found["COUNT"].detail and "Not run" in found["ROW_DIFF"].detail
+    assert [r.check_type for r in seen] == ["SCHEMA", "COUNT", "CHECKSUM", "ROW_DIFF"]
+    with pytest.raises(Exception, match="a row was read"):
+        compare_table(unreadable(region, "r_name"), region, RUN, "R")
+    with pytest.raises(ValueError, match="errors"):
+        compare_table(region, region, RUN, "R", errors="ignore")
+
+
+def test_a_failing_column_list_does_not_stop_the_other_checks(spark, table):
+    region = table("region")
+    declared = spark.createDataFrame([("R", "R_NAME", "string")], "table_name string, column_name string, data_type string")
+    bad = unreadable(declared, "column_name")
+    found = by_check(compare_table(region, region, RUN, "R", source_columns=bad, errors="verdict"))
+    assert {k: v.status for k, v in found.items()} == {
+        "SCHEMA": "ERROR", "COUNT": "OK", "CHECKSUM": "OK", "ROW_DIFF": "OK",
+    }
+
+
+def test_a_failing_row_diff_keeps_counts_and_checksums(spark, table):
+    def broken_store(diff):
+        raise OSError("no room for differences")
+
+    copy = t.sql(spark, SF, t.ORDERS_COPY, "orders")
+    found = by_check(compare_table(table("orders"), copy, RUN, "O", errors="verdict", store_rows=broken_store))
+    assert [found[c].status for c in ("COUNT", "CHECKSUM", "ROW_DIFF")] == ["MISMATCH", "MISMATCH", "ERROR"]
+    assert found["ROW_DIFF"].detail == "no room for differences" and found["ROW_DIFF"].duration_ms >= 0
+
+
 def slow_frame(spark):
     return spark.range(200, numPartitions=200).select(
         F.expr("java_method('java.lang.Thread', 'sleep', id * 0 + 1000L)").alias("x")
