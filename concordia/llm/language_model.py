@@ -3,7 +3,7 @@
 The probability of a token after its history has three factors: that of its class, that of
 its slot within the class, and that of the token within its slot.  Classes and slots are
 softmaxes over sums of hashed features of the history (the word before, the pair before,
-the word two back), so one token costs two short softmaxes whatever the size of the
+the words two and three back), so one token costs two short softmaxes whatever the size of the
 vocabulary.  The most frequent tokens have slots of their own; all others share slots by
 hash, where corpus counts tell them apart.  Biases start at the corpus shares, so without
 any feature the model is the unigram model.
@@ -35,11 +35,11 @@ from pyspark.sql import functions as F
 from .common import stored, values
 
 #: Classes, and as many slots in each.
-CLASSES = WIDTH = 16
+CLASSES = WIDTH = 32
 #: Slots of single tokens; the others are shared by hash.
 OWN = CLASSES * WIDTH * 3 // 4
 #: Rows of hashed feature weights for classes, and for slots; powers of two.
-CLASS_ROWS, SLOT_ROWS = 1 << 13, 1 << 14
+CLASS_ROWS, SLOT_ROWS = 1 << 13, 1 << 15
 ROUNDS = 2
 RATE = 0.3
 SMOOTHING = 0.1
@@ -50,7 +50,9 @@ STEP, BATCH = 1 << 12, 1 << 14
 #: Rows of weights in a slice that is summed in one piece.
 SLICE = 1 << 10
 SALTS = 4
-FEATURES = 3
+FEATURES = 4
+#: Uses of a row in a gradient step that are added row by row of tokens.
+_TURNS = 8
 #: The end of a text, which no word can be.
 END = b" "
 
@@ -87,7 +89,7 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             [list(held)],
             [list(turns)],
             [list(sizes)],
-            [np.concatenate(parts).astype("<u4").tobytes()],
+            [_planes(np.concatenate(parts))],
         ]
         for kept in (number, ids, held, turns, sizes, parts):
             kept.clear()
@@ -117,8 +119,14 @@ def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield block()
 
 
+def _planes(numbers: np.ndarray) -> bytes:
+    """The lowest bytes of all numbers, then the next; the high ones, mostly zeros, compress well."""
+    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
 def _numbers(row) -> np.ndarray:
-    return np.frombuffer(row.numbers, dtype="<u4").astype(np.int64)
+    planes = np.frombuffer(row.numbers, dtype=np.uint8).reshape(4, -1)
+    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
 
 
 def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -205,16 +213,17 @@ def features(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
     n = len(hashes)
     place = np.arange(n) - np.repeat(starts, np.diff(np.append(starts, n)))
     back = []
-    for k in (1, 2):
+    for k in (1, 2, 3):
         h = np.zeros(n, dtype=np.uint64)
         h[k:] = hashes[: n - k]
         h[place < k] = 0
         back.append(h)
-    one, two = back
+    one, two, three = back
     found = np.empty((n, FEATURES), dtype=np.uint64)
     found[:, 0] = one * _MIX[0] + _MIX[1]
     found[:, 1] = (one * _MIX[1] + two) * _MIX[2] + _MIX[0]
     found[:, 2] = two * _MIX[2] + _MIX[3]
+    found[:, 3] = three * _MIX[3] + _MIX[2]
     return found
 
 
@@ -245,16 +254,26 @@ def _activations(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
 def _gradient_step(weights: Weights, moved: np.ndarray, at: np.ndarray, error: np.ndarray) -> None:
     """One step against the summed gradient of every row that the tokens use."""
     flat = at.ravel()
-    order = flat.argsort()
-    ordered = flat[order]
-    ends = np.flatnonzero(np.append(ordered[1:] != ordered[:-1], True))
-    used, times = ordered[ends], np.diff(ends, prepend=-1)
-    # Running sums at the ends of equal rows; their differences are the sums of the rows.
-    # They run along memory, which is several times faster than across it.
-    across = np.ascontiguousarray(error.T).take(order // at.shape[1], axis=1)
-    gradient = np.ascontiguousarray(across.cumsum(axis=1, out=across).take(ends, axis=1).T)
-    gradient[1:] -= gradient[:-1].copy()
-    squares = weights.squares[used] + np.einsum("ij,ij->i", gradient, gradient)
+    # Numbers of 16 bits are sorted by their digits.
+    order = flat.astype(np.uint16 if len(weights.rows) <= 1 << 16 else np.int64).argsort(kind="stable")
+    ordered, token = flat.take(order), order // at.shape[1]
+    starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
+    times = np.diff(starts, append=len(flat))
+    # Rows from the most used down: the first tokens of all rows are added, then the second
+    # ones of those rows that have one, and so on; the few rows used still oftener in runs.
+    by_times = np.argsort(-np.minimum(times, _TURNS + 1).astype(np.int8), kind="stable")
+    starts, times = starts[by_times], times[by_times]
+    error = np.ascontiguousarray(error)
+    gradient = error.take(token[starts], axis=0)
+    for turn in range(1, _TURNS):
+        n = np.searchsorted(-np.minimum(times, _TURNS + 1), -turn)
+        if not n:
+            break
+        gradient[:n] += error.take(token[starts[:n] + turn], axis=0)
+    for row in np.flatnonzero(times > _TURNS).tolist():
+        gradient[row] += error.take(token[starts[row] + _TURNS : starts[row] + times[row]], axis=0).sum(axis=0)
+    used = ordered[starts]
+    squares = weights.squares.take(used) + np.einsum("ij,ij->i", gradient, gradient)
     weights.squares[used] = squares
     gradient *= (RATE / np.sqrt(squares + 1))[:, None]
     weights.rows[used] = weights.rows.take(used, axis=0) - gradient

@@ -8,6 +8,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -204,6 +205,33 @@ def test_the_model_learns_from_context(spark):
     assert all(again[r.doc_id] == r.score for r in rows)
 
 
+def test_the_model_tells_hundreds_of_words_apart(spark):
+    """Of 600 words of equal frequency each is followed by one of two."""
+    rng, texts = random.Random(3), []
+    for i in range(3000):
+        at, words = rng.randrange(600), []
+        for _ in range(60):
+            at = (at * 7 + 3 + rng.choice([0, 1])) % 600
+            words.append(f"w{at}")
+        texts.append((i, " ".join(words)))
+    rows = [r for r in language_model.scored(docs_of(spark, texts).repartition(2)).collect() if r.held_out]
+    tokens = sum(r.n_tokens for r in rows)
+    assert sum(r.score for r in rows) / tokens > sum(r.base_score for r in rows) / tokens + 1.8
+
+
+def test_features_reach_three_words_back():
+    hashes = language_model._term_hashes([b"a", b"b", b"c", b"d", b"x"])
+    one, other = (language_model.features(hashes[np.array(t)], np.array([0])) for t in ([0, 1, 2, 3], [4, 1, 2, 3]))
+    assert (one[3] != other[3]).sum() == 1 and one.shape == (4, 4)
+
+
+def test_numbers_of_terms_come_back():
+    numbers = np.random.default_rng(5).integers(0, 1 << 32, 1000).astype(np.uint32)
+    for some in (numbers, numbers[:1], numbers % 7):
+        row = pd.DataFrame({"numbers": [language_model._planes(some)]}).iloc[0]
+        assert (language_model._numbers(row) == some).all()
+
+
 def test_probabilities_of_all_tokens_add_up_to_one():
     rng = np.random.default_rng(0)
     counts = {f"t{i}".encode(): int(rng.integers(1, 50)) for i in range(3000)} | {language_model.END: 90}
