@@ -255,3 +255,30 @@ def test_exact_digits(spark):
     assert set(canonical_columns(same, by_value).first()) == {"5"}
     with pytest.raises(ValueError, match="digits"):
         CanonicalOptions(digits="some")
+
+
+def test_no_task_gets_all_verdicts_or_commits_of_a_run(spark, tmp_path):
+    """Where an advisory partition is small, a database is written by several tasks."""
+    root, adaptive = f"{tmp_path}/verdicts", "spark.sql.adaptive"
+    sizes = (f"{adaptive}.advisoryPartitionSizeInBytes", f"{adaptive}.coalescePartitions.minPartitionSize")
+    values = {"run_id": "r1", "run_time": "", "db_name": "DB", "check_type": "COUNT", "status": "OK"}
+    rows = spark.range(20000).select(
+        *[F.when(F.col("id") >= 0, v).alias(k) for k, v in values.items()],
+        F.concat(F.lit("T"), F.col("id").cast("string")).alias("table_name"),
+        *[F.lit("").alias(k) for k in ("source_value", "sink_value", "detail")],
+        F.lit(0).cast("long").alias("duration_ms"),
+    )
+
+    def files(path):
+        return len(set(spark.read.parquet(path).inputFiles()))
+
+    with restored_settings(spark, sizes):
+        for key in sizes:
+            spark.conf.set(key, "10k")
+        write_verdicts(rows, root, "1")
+        assert files(f"{root}_commits") > 1
+        compact_verdicts(spark, root, "r1", "DB")
+        assert files(root) > 1 and files(f"{root}_commits") > 1
+    compact_verdicts(spark, root, "r1", "DB")
+    assert files(root) == 1 and files(f"{root}_commits") == 1
+    assert read_verdicts(spark, root).select("table_name").distinct().count() == 20000
