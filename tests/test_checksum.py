@@ -9,7 +9,9 @@ from pyspark.sql import functions as F
 from concordia.constants import HASH
 from concordia.functions.fingerprint import SHA_PREFIX, XXHASH64, fingerprint
 from concordia.operators import bucket_checksum, bucket_compare, checksum_diff, checksum_refined
+from concordia.sources.sessions import restored_settings
 from workload import tables as t
+from workload.queries import _dealt_anew
 
 SF = "/root/testdata/sf0.001"
 
@@ -109,3 +111,15 @@ def test_row_hash_is_computed_once(spark, table):
     differing = spark.createDataFrame([(1,)], "bucket_id int")
     plan = row_diff(left, left, differing)._jdf.queryExecution().executedPlan().toString()
     assert Counter(w for w in plan.split() if "sha2(" in w).total() == 2
+
+
+def test_a_copy_has_as_many_partitions_as_the_table_is_read_in(spark, table):
+    """So a task of the copy gets no more, however large the table is."""
+    key = "spark.sql.files.maxPartitionBytes"
+    with restored_settings(spark, (key,)):
+        spark.conf.set(key, "4k")
+        lines = table("lineitem")
+        read = lines.rdd.getNumPartitions()
+        assert read > 20 and _dealt_anew(lines, 5).rdd.getNumPartitions() == read
+    assert _dealt_anew(table("region"), 7).rdd.getNumPartitions() == 7
+    assert _dealt_anew(table("region"), 7).exceptAll(table("region")).count() == 0
