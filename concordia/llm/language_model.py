@@ -9,8 +9,9 @@ hash, where corpus counts tell them apart.  Biases start at the corpus shares, s
 any feature the model is the unigram model.
 
 Documents are tokenised once into blocks, each with its own list of terms and its documents
-as term numbers.  Term counts of all training documents are summed by Spark and joined back
-to the blocks, so no task holds a vocabulary larger than that of its block.
+as term numbers.  Spark sums the counts of a term over all blocks in one shuffle and sends them
+back to the blocks with the term's hash, so no task holds a vocabulary larger than that of its
+block, and the terms themselves do not travel with the texts.
 
 Training takes every training document.  In each round the tasks start from the weights
 they are sent, take gradient steps through their documents of that round, and send back how
@@ -24,15 +25,17 @@ from __future__ import annotations
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
+from types import SimpleNamespace
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import stored, values
+from .common import stored
 
 #: Classes, and as many slots in each.
 CLASSES = WIDTH = 32
@@ -45,6 +48,8 @@ RATE = 0.3
 SMOOTHING = 0.1
 #: Words of a block; the block of one very long document may have more.
 BLOCK_WORDS = 1 << 21
+#: Documents whose words are cut at a time, and counts that go back to the blocks at a time.
+CUT_ROWS, PACK_ROWS = 128, 1 << 20
 #: Tokens of a gradient step, and tokens whose features are made at a time.
 STEP, BATCH = 1 << 12, 1 << 14
 #: Rows of weights in a slice that is summed in one piece.
@@ -59,9 +64,16 @@ END = b" "
 _MIX = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93)]
 
 
-def tokens(text: str | None) -> list[bytes]:
-    """Words with A-Z lower-cased; bytes beyond ASCII stay as they are."""
-    return (text or "").encode("utf-8", "replace").lower().split()
+def words(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """Words of some texts with A-Z lower-cased, and how many each text has."""
+    plain = pc.ascii_trim_whitespace(pc.ascii_lower(pc.fill_null(texts, "")))
+    cut = pc.ascii_split_whitespace(plain)
+    # A text without words is cut into one that is empty.
+    some = pc.binary_length(plain).to_numpy(zero_copy_only=False) > 0
+    found = cut.flatten()
+    if not some.all():
+        found = found.filter(pc.greater(pc.binary_length(found), 0))
+    return found, np.where(some, pc.list_value_length(cut).to_numpy(zero_copy_only=False), 0)
 
 
 def held_out(doc_id: Column, folds: int = 10) -> Column:
@@ -78,68 +90,107 @@ _BLOCK = (
 def _encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Blocks of documents: distinct terms, and each document as numbers of terms."""
     part, serial = TaskContext.get().partitionId(), 0
-    number: dict[bytes, int] = {}
     ids, held, turns, sizes, parts, total = [], [], [], [], [], 0
 
     def block() -> pa.RecordBatch:
-        row = [
-            [(part << 24) + serial],
-            [list(number)],
-            [list(ids)],
-            [list(held)],
-            [list(turns)],
-            [list(sizes)],
-            [_planes(np.concatenate(parts))],
-        ]
-        for kept in (number, ids, held, turns, sizes, parts):
-            kept.clear()
+        found = pa.concat_arrays(parts).dictionary_encode()
+        # Term 0 is the end, which stands behind the words of each document.
+        terms = pa.concat_arrays([pa.array([END], pa.binary()), found.dictionary.cast(pa.binary())])
+        numbers = np.zeros(total, dtype=np.uint32)
+        is_word = np.ones(total, dtype=bool)
+        is_word[np.cumsum(sizes) - 1] = False
+        numbers[is_word] = found.indices.to_numpy() + 1
+        row = [[(part << 24) + serial], None, [list(ids)], [list(held)], [list(turns)], [list(sizes)], [_planes(numbers)]]
         types = [
-            pa.int64(), pa.list_(pa.binary()), pa.list_(pa.string()), pa.list_(pa.bool_()),
+            pa.int64(), None, pa.list_(pa.string()), pa.list_(pa.bool_()),
             pa.list_(pa.int32()), pa.list_(pa.int64()), pa.binary(),
         ]
-        return pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(row, types)], names)
+        for kept in (ids, held, turns, sizes, parts):
+            kept.clear()
+        arrays = [t and pa.array(v, t) for v, t in zip(row, types)]
+        arrays[1] = pa.ListArray.from_arrays(pa.array([0, len(terms)], pa.int32()), terms)
+        return pa.RecordBatch.from_arrays(arrays, names)
 
     names = [c.split()[0] for c in _BLOCK.split(", ")]
     for batch in batches:
-        rows = zip(*(values(batch.column(c)) for c in range(4)))
-        for i, out, turn, text in rows:
-            found = tokens(text) + [END]
-            for w in set(found).difference(number):
-                number[w] = len(number)
-            ids.append(i)
-            held.append(out)
-            turns.append(turn)
-            sizes.append(len(found))
-            parts.append(np.fromiter(map(number.__getitem__, found), np.uint32, len(found)))
-            total += len(found)
-            if total >= BLOCK_WORDS or len(ids) == 1 << 16:
-                yield block()
-                serial, total = serial + 1, 0
+        for first in range(0, batch.num_rows, CUT_ROWS):
+            rows = batch.slice(first, CUT_ROWS)
+            found, n = words(rows.column(3))
+            ends = np.cumsum(n)
+            plain = [rows.column(c).to_pylist() for c in range(3)]
+            at = 0
+            while at < len(n):
+                # Up to the document that fills the block.
+                before = ends[at] - n[at]
+                sums = total + np.cumsum(n[at:] + 1)
+                end = at + min(int(np.searchsorted(sums, BLOCK_WORDS)) + 1, (1 << 16) - len(ids), len(n) - at)
+                for kept, column in zip((ids, held, turns), plain):
+                    kept.extend(column[at:end])
+                sizes.extend((n[at:end] + 1).tolist())
+                parts.append(found.slice(before, ends[end - 1] - before))
+                total = int(sums[end - at - 1])
+                if total >= BLOCK_WORDS or len(ids) == 1 << 16:
+                    yield block()
+                    serial, total = serial + 1, 0
+                at = end
     if ids:
         yield block()
 
 
-def _planes(numbers: np.ndarray) -> bytes:
+def _planes(numbers: np.ndarray, kind: str = "<u4") -> bytes:
     """The lowest bytes of all numbers, then the next; the high ones, mostly zeros, compress well."""
-    return np.ascontiguousarray(numbers.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(numbers.astype(kind).view(np.uint8).reshape(-1, size).T).tobytes()
+
+
+def _of_planes(planes, kind: str = "<u4") -> np.ndarray:
+    size = np.dtype(kind).itemsize
+    return np.ascontiguousarray(np.frombuffer(planes, dtype=np.uint8).reshape(size, -1).T).view(kind).ravel()
 
 
 def _numbers(row) -> np.ndarray:
-    planes = np.frombuffer(row.numbers, dtype=np.uint8).reshape(4, -1)
-    return np.ascontiguousarray(planes.T).view("<u4").ravel().astype(np.int64)
+    return _of_planes(row.numbers).astype(np.int64)
 
 
-def _term_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Occurrences of each term of a block in its training documents."""
+def _each(batches: Iterator[pa.RecordBatch]) -> Iterator[SimpleNamespace]:
+    """Blocks one by one; terms stay an Arrow array."""
     for batch in batches:
-        for row in batch.itertuples(index=False):
-            learn = np.repeat(~np.array(row.held, dtype=bool), row.sizes)
-            n = np.bincount(_numbers(row)[learn], minlength=len(row.terms))
-            for s in range(0, len(n), 1 << 16):
-                e = min(s + (1 << 16), len(n))
-                yield pd.DataFrame(
-                    {"block": row.block, "number": np.arange(s, e), "term": list(row.terms[s:e]), "n": n[s:e]}
-                )
+        for i in range(batch.num_rows):
+            row = SimpleNamespace()
+            for name in batch.schema.names:
+                value = batch.column(name)[i]
+                if name == "terms":
+                    row.terms = value.values
+                elif name == "numbers":
+                    row.numbers = value.as_buffer()
+                elif pa.types.is_list(value.type):
+                    setattr(row, name, value.values.to_numpy(zero_copy_only=False))
+                else:
+                    setattr(row, name, value.as_py())
+            yield row
+
+
+_COUNTS = pa.schema([("block", pa.int64()), ("number", pa.int32()), ("term", pa.binary()), ("n", pa.int64())])
+
+
+def _term_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Occurrences of each term of a block in its training documents."""
+    for row in _each(batches):
+        learn = np.repeat(~row.held.astype(bool), row.sizes)
+        n = np.bincount(_numbers(row)[learn], minlength=len(row.terms))
+        for s in range(0, len(n), 1 << 16):
+            e = min(s + (1 << 16), len(n))
+            columns = [np.full(e - s, row.block), np.arange(s, e, dtype=np.int32), row.terms.slice(s, e - s), n[s:e]]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, _COUNTS.types)], schema=_COUNTS)
+
+
+def _crcs(terms: list[bytes]) -> np.ndarray:
+    return np.fromiter(map(zlib.crc32, terms), np.int64, len(terms))
+
+
+def _slots_of(own: np.ndarray, crc: np.ndarray) -> np.ndarray:
+    """Slots of terms by their own one, or -1, and their hash."""
+    return np.where(own < 0, OWN + crc % (CLASSES * WIDTH - OWN), own)
 
 
 @dataclass
@@ -154,9 +205,7 @@ class Vocabulary:
 
     def slots(self, terms: list[bytes]) -> np.ndarray:
         """Slot of each term; classes are consecutive runs of slots."""
-        found = np.fromiter((self.own.get(t, -1) for t in terms), np.int64, len(terms))
-        crc = np.fromiter(map(zlib.crc32, terms), np.int64, len(terms))
-        return np.where(found < 0, OWN + crc % (CLASSES * WIDTH - OWN), found)
+        return _slots_of(np.fromiter((self.own.get(t, -1) for t in terms), np.int64, len(terms)), _crcs(terms))
 
     def slot_mass(self) -> np.ndarray:
         """Smoothed tokens of a slot: one unseen term more in those that are shared."""
@@ -189,19 +238,27 @@ class Weights:
         return Weights(self.class_bias, self.slot_bias, self.rows.copy(), self.squares.copy())
 
 
-def _softmax(x: np.ndarray) -> np.ndarray:
-    """Softmax of each column."""
-    x -= x.max(axis=0)
+def _exp_sums(x: np.ndarray) -> np.ndarray:
+    """Put exponentials, but for a factor of each row, in place of ``x``; their sums."""
+    # Exponentials of these and their sums are ordinary floats; others are shifted first.
+    if not -60 < x.min() <= x.max() < 60:
+        x -= x.max(axis=1, keepdims=True)
     np.exp(x, out=x)
-    x /= x.sum(axis=0)
+    return x @ np.ones(x.shape[1], dtype=x.dtype)
+
+
+def _softmax(x: np.ndarray) -> np.ndarray:
+    """Softmax of each row."""
+    x *= (1 / _exp_sums(x))[:, None]
     return x
 
 
 def _log_softmax_at(x: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Logarithm of the softmax of each column, at one place of it."""
-    x -= x.max(axis=0)
-    chosen = x[at, np.arange(len(at))].astype(np.float64)
-    return chosen - np.log(np.exp(x, out=x).sum(axis=0).astype(np.float64))
+    """Logarithm of the softmax of each row, at one place of it."""
+    if not -60 < x.min() <= x.max() < 60:
+        x -= x.max(axis=1, keepdims=True)
+    chosen = x[np.arange(len(at)), at].astype(np.float64)
+    return chosen - np.log(_exp_sums(x).astype(np.float64))
 
 
 def features(hashes: np.ndarray, starts: np.ndarray) -> np.ndarray:
@@ -241,14 +298,11 @@ def _slot_rows(found: np.ndarray, classes: np.ndarray) -> np.ndarray:
 
 
 def _activations(rows: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Summed weights of each token's features: a column per token.
-
-    What follows reduces over the few rows, which runs along memory this way round.
-    """
+    """Summed weights of each token's features."""
     total = rows.take(at[:, 0], axis=0)
     for k in range(1, at.shape[1]):
         total += rows.take(at[:, k], axis=0)
-    return np.ascontiguousarray(total.T)
+    return total
 
 
 def _gradient_step(weights: Weights, moved: np.ndarray, at: np.ndarray, error: np.ndarray) -> None:
@@ -260,19 +314,21 @@ def _gradient_step(weights: Weights, moved: np.ndarray, at: np.ndarray, error: n
     starts = np.flatnonzero(np.append(True, ordered[1:] != ordered[:-1]))
     times = np.diff(starts, append=len(flat))
     # Rows from the most used down: the first tokens of all rows are added, then the second
-    # ones of those rows that have one, and so on; the few rows used still oftener in runs.
+    # ones of those rows that have one, and so on; what is left of the few others in runs.
     by_times = np.argsort(-np.minimum(times, _TURNS + 1).astype(np.int8), kind="stable")
-    starts, times = starts[by_times], times[by_times]
-    error = np.ascontiguousarray(error)
-    gradient = error.take(token[starts], axis=0)
-    for turn in range(1, _TURNS):
-        n = np.searchsorted(-np.minimum(times, _TURNS + 1), -turn)
+    starts, times = starts.take(by_times), times.take(by_times)
+    gradient = error.take(token.take(starts), axis=0)
+    with_more = np.searchsorted(-np.minimum(times, _TURNS + 1), -np.arange(1, _TURNS + 1))
+    for turn, n in enumerate(with_more[:-1].tolist(), 1):
         if not n:
             break
-        gradient[:n] += error.take(token[starts[:n] + turn], axis=0)
-    for row in np.flatnonzero(times > _TURNS).tolist():
-        gradient[row] += error.take(token[starts[row] + _TURNS : starts[row] + times[row]], axis=0).sum(axis=0)
-    used = ordered[starts]
+        gradient[:n] += error.take(token.take(starts[:n] + turn), axis=0)
+    if many := with_more[-1]:
+        left = times[:many] - _TURNS
+        ends = np.cumsum(left)
+        at_left = np.arange(ends[-1]) + np.repeat(starts[:many] + _TURNS - (ends - left), left)
+        gradient[:many] += np.add.reduceat(error.take(token.take(at_left), axis=0), ends - left, axis=0)
+    used = ordered.take(starts)
     squares = weights.squares.take(used) + np.einsum("ij,ij->i", gradient, gradient)
     weights.squares[used] = squares
     gradient *= (RATE / np.sqrt(squares + 1))[:, None]
@@ -282,66 +338,69 @@ def _gradient_step(weights: Weights, moved: np.ndarray, at: np.ndarray, error: n
 
 def learn(weights: Weights, moved: np.ndarray, found: np.ndarray, slots: np.ndarray) -> None:
     """Gradient steps through some tokens, given the features of their histories."""
-    slot_bias = np.ascontiguousarray(weights.slot_bias.T)
     for s in range(0, len(slots), STEP):
         part, slot = found[s : s + STEP], slots[s : s + STEP]
         every, cls = np.arange(len(slot)), slot // WIDTH
         at = _class_rows(part)
-        error = _softmax(_activations(weights.rows, at) + weights.class_bias[:, None])
-        error[cls, every] -= 1
-        _gradient_step(weights, moved, at, error.T)
+        error = _softmax(_activations(weights.rows, at) + weights.class_bias)
+        error[every, cls] -= 1
+        _gradient_step(weights, moved, at, error)
         at = _slot_rows(part, cls)
-        error = _softmax(_activations(weights.rows, at) + slot_bias.take(cls, axis=1))
-        error[slot % WIDTH, every] -= 1
-        _gradient_step(weights, moved, at, error.T)
+        error = _softmax(_activations(weights.rows, at) + weights.slot_bias.take(cls, axis=0))
+        error[every, slot % WIDTH] -= 1
+        _gradient_step(weights, moved, at, error)
 
 
 def log_probabilities(weights: Weights, found: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """Natural logarithm of the probability of each token's slot after its history."""
-    out, slot_bias = np.empty(len(slots)), np.ascontiguousarray(weights.slot_bias.T)
+    out = np.empty(len(slots))
     # As many at a time as stay in the processor's cache.
     for s in range(0, len(slots), STEP):
         part, slot = found[s : s + STEP], slots[s : s + STEP]
         cls = slot // WIDTH
-        of_class = _activations(weights.rows, _class_rows(part)) + weights.class_bias[:, None]
-        of_slot = _activations(weights.rows, _slot_rows(part, cls)) + slot_bias.take(cls, axis=1)
+        of_class = _activations(weights.rows, _class_rows(part)) + weights.class_bias
+        of_slot = _activations(weights.rows, _slot_rows(part, cls)) + weights.slot_bias.take(cls, axis=0)
         out[s : s + STEP] = _log_softmax_at(of_class, cls) + _log_softmax_at(of_slot, slot % WIDTH)
     return out
 
 
 def _term_hashes(terms: list[bytes]) -> np.ndarray:
-    crc = np.fromiter(map(zlib.crc32, terms), np.uint64, len(terms))
+    return _mixed(_crcs(terms))
+
+
+def _mixed(crc: np.ndarray) -> np.ndarray:
+    crc = crc.astype(np.uint64)
     return (crc + np.uint64(1)) * _MIX[1] ^ crc
 
 
-def _slices(before: Weights, after: Weights, moved: np.ndarray, salt: int) -> Iterator[pd.DataFrame]:
+def _slices(before: Weights, after: Weights, moved: np.ndarray, salt: int) -> Iterator[pa.RecordBatch]:
     """Movements of all rows, in slices: weights and squares times tokens, and tokens."""
     changes = [after.rows - before.rows, (after.squares - before.squares)[:, None]]
     both = np.concatenate([c * moved[:, None] for c in changes] + [moved[:, None]], axis=1).astype("<f4")
     for s in range(0, len(both), SLICE):
         if moved[s : s + SLICE].any():
-            yield pd.DataFrame({"slice": [s // SLICE], "salt": [salt], "moved": [both[s : s + SLICE].tobytes()]})
+            columns = [pa.array([s // SLICE], pa.int32()), pa.array([salt], pa.int32()), pa.array([both[s : s + SLICE].tobytes()])]
+            yield pa.RecordBatch.from_arrays(columns, ["slice", "salt", "moved"])
 
 
 def _train_pass(start: Weights, vocabulary: Vocabulary, turn: int):
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         weights = start.copy()
         moved = np.zeros(len(weights.rows))
-        for batch in batches:
-            for row in batch.itertuples(index=False):
-                sizes, numbers = np.array(row.sizes, dtype=np.int64), _numbers(row)
-                mine = ~np.array(row.held, dtype=bool) & (np.array(row.turns) == turn)
-                starts = np.cumsum(sizes) - sizes
-                hashes, slots = _term_hashes(list(row.terms)), vocabulary.slots(list(row.terms))
-                pool, held = [], 0
-                for d in np.flatnonzero(mine).tolist():
-                    pool.append(numbers[starts[d] : starts[d] + sizes[d]])
-                    held += len(pool[-1])
-                    if held >= BATCH:
-                        _learn_pool(weights, moved, pool, hashes, slots)
-                        pool, held = [], 0
-                if pool:
+        for row in _each(batches):
+            numbers, terms = _numbers(row), row.terms.to_pylist()
+            mine = ~row.held.astype(bool) & (row.turns == turn)
+            starts = np.cumsum(row.sizes) - row.sizes
+            hashes, slots = _term_hashes(terms), vocabulary.slots(terms)
+            pool, held = [], 0
+            for d in np.flatnonzero(mine).tolist():
+                pool.append(numbers[starts[d] : starts[d] + row.sizes[d]])
+                held += len(pool[-1])
+                if held >= BATCH:
                     _learn_pool(weights, moved, pool, hashes, slots)
+                    pool, held = [], 0
+            if pool:
+                _learn_pool(weights, moved, pool, hashes, slots)
         yield from _slices(start, weights, moved, TaskContext.get().partitionId() % SALTS)
 
     return run
@@ -384,7 +443,7 @@ def train(blocks: DataFrame, vocabulary: Vocabulary, rounds: int = ROUNDS) -> We
     weights = Weights.of(vocabulary)
     columns = ["block", "terms", "held", "turns", "sizes", "numbers"]
     for turn in range(rounds):
-        moved = blocks.select(*columns).mapInPandas(_train_pass(weights, vocabulary, turn), _MOVED)
+        moved = blocks.select(*columns).mapInArrow(_train_pass(weights, vocabulary, turn), _MOVED)
         salted = (
             moved.repartition("slice", "salt").sortWithinPartitions("slice", "salt").mapInPandas(_sum_slices, _MOVED)
         )
@@ -410,14 +469,19 @@ def _score_pass(weights: Weights, vocabulary: Vocabulary):
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for row in batch.itertuples(index=False):
-                terms, sizes, at = list(row.terms), np.array(row.sizes, dtype=np.int64), _numbers(row)
-                counts = np.zeros(len(terms))
+                sizes, at = np.array(row.sizes, dtype=np.int64), _numbers(row)
+                # Every term of the block comes back once.
+                n = sum(len(piece["numbers"]) for piece in row.counts) // 4
+                counts, crc, own = np.zeros(n), np.zeros(n, np.int64), np.zeros(n, np.int64)
                 for piece in row.counts:
-                    counts[np.frombuffer(piece["numbers"], "<i4")] = np.frombuffer(piece["counts"], "<i8")
-                slots = vocabulary.slots(terms)
+                    number = _of_planes(piece["numbers"])
+                    counts[number] = _of_planes(piece["counts"], "<i8")
+                    crc[number] = _of_planes(piece["crcs"])
+                    own[number] = _of_planes(piece["own"], "<i2")
+                slots = _slots_of(own, crc)
                 base = np.log10((counts + SMOOTHING) / scale)
                 within = np.log10(vocabulary.within_slot(counts, slots))
-                hashes, starts = _term_hashes(terms), np.cumsum(sizes) - sizes
+                hashes, starts = _mixed(crc), np.cumsum(sizes) - sizes
                 score = np.empty(len(at))
                 # Whole documents, about a batch of tokens at a time.
                 cuts = np.flatnonzero(np.diff(starts // BATCH, prepend=-1))
@@ -440,21 +504,32 @@ def _score_pass(weights: Weights, vocabulary: Vocabulary):
     return run
 
 
-def _pack_counts(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-    """Counts on their way back to the blocks, many in a row."""
+_PACKED = "block long, numbers binary, counts binary, crcs binary, own binary"
+
+
+def _pack_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Counts, hashes and own slots on their way back to the blocks, many in a row."""
+    held: list[pa.RecordBatch] = []
+
+    def packed() -> pa.RecordBatch:
+        rows = pa.Table.from_batches(held)
+        held.clear()
+        columns = [rows.column(c).to_numpy() for c in ("block", "number", "c", "crc", "own")]
+        order = np.lexsort(columns[1::-1])
+        block, *rest = (c[order] for c in columns)
+        cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), len(block)]
+        out = [pa.array(block[cuts[:-1]])]
+        for column, kind in zip(rest, ("<u4", "<i8", "<u4", "<i2")):
+            out.append(pa.array([_planes(column[s:e], kind) for s, e in zip(cuts, cuts[1:])], pa.binary()))
+        return pa.RecordBatch.from_arrays(out, [c.split()[0] for c in _PACKED.split(", ")])
+
     for batch in batches:
-        if len(batch):
-            ordered = batch.sort_values(["block", "number"])
-            block = ordered["block"].to_numpy()
-            number, c = ordered["number"].to_numpy().astype("<i4"), ordered["c"].to_numpy().astype("<i8")
-            cuts = [0, *(np.flatnonzero(np.diff(block)) + 1), len(block)]
-            yield pd.DataFrame(
-                {
-                    "block": block[cuts[:-1]],
-                    "numbers": [number[s:e].tobytes() for s, e in zip(cuts, cuts[1:])],
-                    "counts": [c[s:e].tobytes() for s, e in zip(cuts, cuts[1:])],
-                }
-            )
+        if batch.num_rows:
+            held.append(batch)
+        if sum(b.num_rows for b in held) >= PACK_ROWS:
+            yield packed()
+    if held:
+        yield packed()
 
 
 def corpus_vocabulary(counts: DataFrame) -> Vocabulary:
@@ -510,27 +585,35 @@ def scored(
         F.col(text_col).alias("text"),
     )
     blocks = stored(plain.mapInArrow(_encode, _BLOCK), "tokens")
-    by_block = stored(
-        blocks.select("block", "terms", "held", "sizes", "numbers").mapInPandas(
-            _term_counts, "block long, number int, term binary, n long"
+    # Each term of each block with its count in the corpus: one shuffle, in which a term has a
+    # row for each of its blocks at most.
+    of_term = Window.partitionBy("term").orderBy("block")
+    whole = of_term.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    by_term = stored(
+        blocks.select("block", "terms", "held", "sizes", "numbers")
+        .mapInArrow(_term_counts, "block long, number int, term binary, n long")
+        .select(
+            "block", "number", "term", F.sum("n").over(whole).alias("c"), (F.row_number().over(of_term) == 1).alias("first")
         ),
         "terms",
     )
-    counts = stored(by_block.groupBy("term").agg(F.sum("n").alias("c")), "counts")
-    vocabulary = corpus_vocabulary(counts)
+    vocabulary = corpus_vocabulary(by_term.filter("first").select("term", "c"))
     weights = train(blocks, vocabulary, rounds)
+    own = docs.sparkSession.createDataFrame(
+        [(bytearray(term), slot) for term, slot in vocabulary.own.items()], "term binary, own int"
+    )
     packed = (
-        by_block.select("block", "number", "term")
-        .join(counts, "term")
-        .select("block", "number", "c")
-        .mapInPandas(_pack_counts, "block long, numbers binary, counts binary")
+        by_term.join(F.broadcast(own), "term", "left")
+        .select("block", "number", "c", F.crc32("term").alias("crc"), F.coalesce("own", F.lit(-1)).alias("own"))
+        .mapInArrow(_pack_counts, _PACKED)
     )
     returned = packed.groupBy(F.col("block").alias("counted")).agg(
-        F.collect_list(F.struct("numbers", "counts")).alias("counts")
+        F.collect_list(F.struct("numbers", "counts", "crcs", "own")).alias("counts")
     )
     scores = (
-        blocks.join(returned, F.col("block") == F.col("counted"))
-        .drop("counted", "turns")
+        blocks.drop("terms", "turns")
+        .join(returned, F.col("block") == F.col("counted"))
+        .drop("counted")
         .mapInPandas(
             _score_pass(weights, vocabulary),
             "doc_id string, held_out boolean, n_tokens long, n_known long, base_score double, score double",

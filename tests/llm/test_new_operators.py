@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -232,6 +233,36 @@ def test_numbers_of_terms_come_back():
         assert (language_model._numbers(row) == some).all()
 
 
+def test_terms_do_not_travel_with_the_texts(spark):
+    """What is shuffled with the texts has hashes and counts of terms, not the terms."""
+    plan = language_model.scored(docs_of(spark, english(20, 4)))._jdf.queryExecution().executedPlan().toString()
+    assert "numbers#" in plan and "terms#" not in plan
+
+
+def test_words_of_untidy_texts():
+    texts = [None, "", " \n", "a", " A  b\t\x0bc\x0c\r", "Ä\xa0É\u2003z \x1cÿ\x85q", "x\x00Y", "  ", "İZ é"]
+    for some in (texts, texts[3:4], texts[:3], texts[5:]):
+        found, n = language_model.words(pa.array(some, pa.string()))
+        expected = [(t or "").encode().lower().split() for t in some]
+        assert n.tolist() == [len(w) for w in expected]
+        assert [w.encode() for w in found.to_pylist()] == [w for ws in expected for w in ws]
+
+
+def test_blocks_keep_documents_whole(spark, monkeypatch):
+    """Blocks end with the document that fills them, also amid the rows that are cut together."""
+    monkeypatch.setattr(language_model, "BLOCK_WORDS", 100)
+    texts = [(i, " ".join(f"w{i * k % 17}" for k in range(i % 7 * 20))) for i in range(300)]
+    docs = docs_of(spark, texts).coalesce(1).selectExpr("cast(doc_id as string)", "false", "0", "text")
+    at = 0
+    for r in docs.mapInArrow(language_model._encode, language_model._BLOCK).collect():
+        assert sum(r.sizes[:-1]) < 100 and (sum(r.sizes) >= 100 or r.ids[-1] == "299")
+        words = iter(bytes(r.terms[k]).decode() for k in language_model._numbers(r))
+        for i, size in zip(r.ids, r.sizes):
+            assert int(i) == at and [next(words) for _ in range(size)] == [*texts[at][1].split(), " "]
+            at += 1
+    assert at == 300
+
+
 def test_probabilities_of_all_tokens_add_up_to_one():
     rng = np.random.default_rng(0)
     counts = {f"t{i}".encode(): int(rng.integers(1, 50)) for i in range(3000)} | {language_model.END: 90}
