@@ -150,7 +150,7 @@ def pack(
             return pa.RecordBatch.from_pylist(out, schema=_ROWS)
 
         for batch in batches:
-            for name, ids in zip(values(batch.column(0)), encoder.encode(values(batch.column(1)))):
+            for name, ids in zip(values(batch.column(0)), encoder.encode(batch.column(1))):
                 for start in range(0, len(ids), width):
                     names.append(name)
                     offsets.append(start)

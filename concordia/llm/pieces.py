@@ -11,19 +11,21 @@ from __future__ import annotations
 
 import gc
 import re
-from array import array
-from collections.abc import Iterable, Iterator
+from collections.abc import Iterator
 from functools import lru_cache
+from itertools import accumulate, chain, pairwise
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 import sentencepiece
 
 SPACE = "▁"
 PRETOKEN = re.compile(rf"\n+[^\n {SPACE}]*|[ {SPACE}]+[^\n {SPACE}]*|[^\n {SPACE}]+")
-#: Pre-tokens whose ids a task remembers.
-CACHE = 1 << 18
-#: Characters whose new pre-tokens are cut together.
-SLICE_CHARS = 1 << 20
+#: Pre-tokens whose ids a task remembers, but for those of the slice at hand.
+CACHE = 1 << 19
+#: Bytes of texts whose pre-tokens are cut together.
+SLICE_BYTES = 8 << 20
 
 
 @lru_cache(maxsize=4)
@@ -48,6 +50,35 @@ def pretokens(text: str | None) -> list[str]:
     return PRETOKEN.findall(f" {text}") if text else []
 
 
+def cuts(texts: pa.Array) -> tuple[pa.Array, np.ndarray]:
+    """The cuts of some texts, as ``pretokens`` makes them, and how many there are up to each text's end."""
+    texts = pc.fill_null(texts, "").cast(pa.large_string())
+    empty = pa.scalar("", pa.large_string())
+    spaced = pc.binary_join_element_wise(empty, texts, pa.scalar(" ", pa.large_string()))
+    plain = pc.if_else(pc.equal(texts, empty), empty, spaced)
+    offsets = np.frombuffer(plain.buffers()[1], np.int64)[plain.offset : plain.offset + len(plain) + 1]
+    if not len(plain) or offsets[0] == offsets[-1]:
+        return pa.array([], pa.large_string()), np.zeros(len(plain), np.int64)
+    data = np.frombuffer(plain.buffers()[2], np.uint8)[offsets[0] : offsets[-1]]
+    offsets = offsets - offsets[0]
+    # Where a blank begins, and where one ends; they differ for U+2581 of three bytes.
+    begins = data == 0x20
+    ends = begins
+    if (mark := SPACE.encode()) in data.tobytes():
+        wide = np.flatnonzero((data[:-2] == mark[0]) & (data[1:-1] == mark[1]) & (data[2:] == mark[2]))
+        ends = begins.copy()
+        begins[wide], ends[wide + 2] = True, True
+    feeds = data == 0x0A
+    cut = begins.copy()
+    cut[1:] &= ~ends[:-1]
+    cut[1:] |= feeds[1:] & ~feeds[:-1]
+    cut[offsets[:-1][np.diff(offsets) > 0]] = True
+    starts = np.flatnonzero(cut)
+    bounds = pa.py_buffer(np.append(starts, len(data)))
+    found = pa.LargeStringArray.from_buffers(len(starts), bounds, pa.py_buffer(data))
+    return found, np.searchsorted(starts, offsets[1:])
+
+
 def pretoken_ids(model: sentencepiece.SentencePieceProcessor, terms: list[str]) -> list[list[int]]:
     """Token ids of pre-tokens as they stand inside a text."""
     # The space that the model puts before its input stands for a leading space.  Other
@@ -62,40 +93,61 @@ def pretoken_ids(model: sentencepiece.SentencePieceProcessor, terms: list[str])
     return [ids[n:] if text else lone for ids, n, text in zip(found, drop, inputs)]
 
 
-class PieceIds(dict):
-    """Ids of pre-tokens as little-endian bytes; when full, only those in use are kept."""
+class PieceIds:
+    """Ids of pre-tokens as little-endian bytes; those not seen for long are forgotten."""
 
     def __init__(self, model_path: str):
         self.model = load_model(model_path)
-        self.code = "H" if self.model.get_piece_size() <= 1 << 16 else "I"
-        self.dtype = "<u2" if self.code == "H" else "<u4"
-
-    def encode(self, texts: Iterable[str | None]) -> Iterator[np.ndarray]:
-        """Token ids of whole texts; new pre-tokens of a few megabytes are cut in one call."""
-        cuts: list[list[str]] = []
-        chars = 0
-        for text in texts:
-            cuts.append(pretokens(text))
-            chars += len(text or "")
-            if chars >= SLICE_CHARS:
-                yield from self._encoded(cuts)
-                cuts, chars = [], 0
-        yield from self._encoded(cuts)
-
-    def _encoded(self, cuts: list[list[str]]) -> Iterator[np.ndarray]:
+        self.dtype = np.dtype("<u2" if self.model.get_piece_size() <= 1 << 16 else "<u4")
+        #: Those seen lately, and those seen before them.
+        self.known: dict[str, bytes] = {}
+        self.earlier: dict[str, bytes] = {}
+
+    def encode(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        """Token ids of whole texts; the pre-tokens of a few megabytes are cut and looked up together."""
+        sums = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64)
+        at, before = 0, 0
+        while at < len(texts):
+            end = max(at + 1, int(np.searchsorted(sums, before + SLICE_BYTES, side="right")))
+            yield from self._encoded(texts.slice(at, end - at))
+            at, before = end, sums[end - 1]
+
+    def _encoded(self, texts: pa.Array) -> Iterator[np.ndarray]:
+        found, ends = cuts(texts)
+        found = found.dictionary_encode()
         # Millions of small lists, none in a cycle: looking for cycles only costs time.
         gc.disable()
         try:
-            self._learn(set().union(*cuts))
+            ids = self._learned(found.dictionary.to_numpy(zero_copy_only=False).tolist())
         finally:
             gc.enable()
-        for cut in cuts:
-            yield np.frombuffer(b"".join(map(self.__getitem__, cut)), dtype=self.dtype)
-
-    def _learn(self, terms: set[str]) -> None:
-        new = [t for t in terms if t not in self]
-        if len(self) + len(new) > CACHE:
-            used = {t: self[t] for t in terms if t in self}
-            self.clear()
-            self.update(used)
-        self.update((t, array(self.code, ids).tobytes()) for t, ids in zip(new, pretoken_ids(self.model, new)))
+        flat = np.frombuffer(b"".join(ids), self.dtype)
+        sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
+        starts = np.cumsum(sizes) - sizes
+        # The ids of every cut, one after the other.
+        which = found.indices.to_numpy()
+        n = sizes.take(which)
+        stops = np.cumsum(n)
+        at = np.arange(n.sum()) + np.repeat(starts.take(which) - (stops - n), n)
+        out = flat.take(at)
+        stops = np.append(0, stops).take(ends)
+        for s, e in pairwise([0, *stops.tolist()]):
+            yield out[s:e]
+
+    def _learned(self, terms: list[str]) -> list[bytes]:
+        """Ids of distinct pre-tokens."""
+        if len(self.known) >= CACHE // 2:
+            self.known, self.earlier = {}, self.known
+        found, absent = list(map(self.known.get, terms)), []
+        for i in [i for i, ids in enumerate(found) if ids is None]:
+            if (ids := self.earlier.get(terms[i])) is None:
+                absent.append(i)
+            else:
+                self.known[terms[i]] = found[i] = ids
+        new = [terms[i] for i in absent]
+        cut = pretoken_ids(self.model, new)
+        flat = np.fromiter(chain.from_iterable(cut), self.dtype).tobytes()
+        places = accumulate((len(ids) * self.dtype.itemsize for ids in cut), initial=0)
+        for i, term, (s, e) in zip(absent, new, pairwise(places)):
+            self.known[term] = found[i] = flat[s:e]
+        return found

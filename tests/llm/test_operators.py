@@ -7,6 +7,7 @@ import re
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import sentencepiece
 import xxhash
@@ -17,6 +18,7 @@ from concordia.llm import (
     decontaminate,
     mixing,
     packing,
+    pieces,
     pii,
     quality_list,
     queries,
@@ -365,6 +367,32 @@ def test_packed_rows_restore_all_ids(spark, untidy, empty):
     assert packing.pack(empty, MODEL).count() == 0
 
 
+def test_cuts_of_whole_columns_are_those_of_each_text():
+    rng = np.random.default_rng(11)
+    texts = [t for _, t in TEXTS] + ["▁a ▁ ▁b", " ▁", "\n", "\n\n x\ny", "x\n", "ÿ▂▀ é", "a\r\tb", None, ""]
+    texts += ["".join(rng.choice(list("aé ▁\n☃."), rng.integers(0, 30))) for _ in range(500)]
+    for some in (texts, texts[5:9], [None, ""], []):
+        column = pa.array([*some, "left out"], pa.string()).slice(0, len(some))
+        found, ends = pieces.cuts(column)
+        expected = [pieces.pretokens(t) for t in some]
+        assert found.to_pylist() == [c for cut in expected for c in cut]
+        assert ends.tolist() == np.cumsum([len(cut) for cut in expected]).tolist()
+
+
+def test_ids_do_not_depend_on_slices_and_memory(monkeypatch):
+    """Words in use are cut once, however many others come and go."""
+    texts = [f"the cat and\nthe dog w{i} x{i * 7}" for i in range(400)] + [None, "", "▁ é  ▁x"]
+    expected = [pieces.load_model(MODEL).encode(t or "") for t in texts]
+    monkeypatch.setattr(pieces, "SLICE_BYTES", 100)
+    monkeypatch.setattr(pieces, "CACHE", 40)
+    fresh, cut = [], pieces.pretoken_ids
+    monkeypatch.setattr(pieces, "pretoken_ids", lambda model, terms: fresh.extend(terms) or cut(model, terms))
+    encoder = pieces.PieceIds(MODEL)
+    assert [ids.tolist() for ids in encoder.encode(pa.array(texts, pa.string()))] == expected
+    assert fresh.count(" cat") == fresh.count("\nthe") == 1
+    assert list(encoder.encode(pa.array([], pa.string()))) == []
+
+
 def test_decontamination_against_brute_force(spark, untidy, empty, table, monkeypatch):
     # Small blocks and chunks: several passes over several blocks.
     monkeypatch.setattr(decontaminate, "BLOCK_WORDS", 3000)
