@@ -23,9 +23,11 @@ import sentencepiece
 SPACE = "▁"
 PRETOKEN = re.compile(rf"\n+[^\n {SPACE}]*|[ {SPACE}]+[^\n {SPACE}]*|[^\n {SPACE}]+")
 #: Pre-tokens whose ids a task remembers, but for those of the slice at hand.
-CACHE = 1 << 19
+CACHE = 1 << 18
 #: Bytes of texts whose pre-tokens are cut together.
-SLICE_BYTES = 8 << 20
+SLICE_BYTES = 4 << 20
+#: Pre-tokens whose ids are put in a row at a time.
+_RUN = 1 << 17
 
 
 @lru_cache(maxsize=4)
@@ -125,12 +127,14 @@ class PieceIds:
         sizes = np.fromiter(map(len, ids), np.int64, len(ids)) // self.dtype.itemsize
         starts = np.cumsum(sizes) - sizes
         # The ids of every cut, one after the other.
-        which = found.indices.to_numpy()
-        n = sizes.take(which)
-        stops = np.cumsum(n)
-        at = np.arange(n.sum()) + np.repeat(starts.take(which) - (stops - n), n)
-        out = flat.take(at)
-        stops = np.append(0, stops).take(ends)
+        which, parts = found.indices.to_numpy(), [flat[:0]]
+        for first in range(0, len(which), _RUN):
+            some = which[first : first + _RUN]
+            n = sizes.take(some)
+            at = np.arange(n.sum()) + np.repeat(starts.take(some) - (np.cumsum(n) - n), n)
+            parts.append(flat.take(at))
+        out = np.concatenate(parts)
+        stops = np.append(0, np.cumsum(sizes.take(which))).take(ends)
         for s, e in pairwise([0, *stops.tolist()]):
             yield out[s:e]
 
